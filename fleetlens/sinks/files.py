@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.schemas import LOG_META_FIELDS
 
 
+# JSON text keeps milliseconds only unless it is told otherwise.
+_MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def append_ndjson(payloads: DataFrame, path: str, rows_per_file: int = 500_000) -> None:
     """Append one JSON object per line; the folder is created when missing."""
-    payloads.write.mode("append").option("maxRecordsPerFile", rows_per_file).json(path)
+    payloads.write.mode("append").options(maxRecordsPerFile=rows_per_file, **_MICROS).json(path)
+
+
+def read_ndjson(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Payloads that :func:`append_ndjson` wrote."""
+    return spark.read.schema(schema).options(**_MICROS).json(path)
 
 
 def write_export(nested: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
