@@ -5,40 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Month names as syslog writes them.
-MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+def parse_syslog_clock(month: Column, day: Column, clock: Column) -> Column:
+    """Month, day and time of a syslog line as a wall clock in the year 2000; null when
+    they are no date. 2000 is a leap year, so 29 February passes."""
+    text = F.concat_ws(" ", F.lit("2000"), month, day, F.regexp_replace(clock, r"[.,]\d+$", ""))
+    return F.try_to_timestamp(text, F.lit("yyyy MMM d H:mm:ss")).cast("timestamp_ntz")
 
 
-def syslog_timestamp(month: Column, day: Column, clock: Column, ref_ts: Column, zone: str = "UTC") -> Column:
-    """Year-less syslog time to an instant.
+def resolve_syslog_year(parsed: Column, ref_ts: Column, zone: str = "UTC") -> Column:
+    """Instant of a parsed syslog time.
 
     The year is the one of ``ref_ts`` in ``zone``, or the year before when the month
-    lies after the reference month. Text that is no date yields ``ref_ts``. Counting
-    days from the first of the month lets 29 February roll into March.
+    lies after the reference month. What did not parse yields ``ref_ts``. Counting days
+    from the first of the month lets 29 February roll into March.
     """
-    local_ref = F.convert_timezone(None, F.lit(zone), ref_ts.cast("timestamp_ntz"))
-    month_no = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(month)).cast("int")
-    day_no = F.when(day.rlike(r"^\d{1,2}$"), day.try_cast("int"))
-    # 2000 is a leap year, so 29 February passes in every year.
-    month_len = F.day(F.last_day(F.make_date(F.lit(2000), F.greatest(month_no, F.lit(1)), F.lit(1))))
-    hms = r"^(\d{1,2}):(\d{2}):(\d{2})(?:[.,]\d+)?$"
-    hour, minute, second = (
-        F.regexp_extract(clock, hms, i).try_cast("int") for i in (1, 2, 3)
-    )
-    valid = (
-        clock.rlike(hms)
-        & (month_no > 0)
-        & day_no.between(1, month_len)
-        & (hour < 24)
-        & (minute < 60)
-        & (second < 60)
-    )
-    year = F.year(local_ref) - F.when(month_no > F.month(local_ref), 1).otherwise(0)
-    date = F.date_add(F.make_date(year, F.greatest(month_no, F.lit(1)), F.lit(1)), day_no - 1)
-    parsed = F.try_make_timestamp(
-        F.year(date), F.month(date), F.day(date), hour, minute, second.cast("decimal(8,6)"), F.lit(zone)
+    here = F.lit(zone)
+    local_ref = F.convert_timezone(None, here, ref_ts.cast("timestamp_ntz"))
+    year = F.year(local_ref) - (F.month(parsed) > F.month(local_ref)).cast("int")
+    month_start = F.make_date(year, F.month(parsed), F.lit(1)).cast("timestamp_ntz")
+    into_month = F.make_dt_interval(
+        F.day(parsed) - 1, F.hour(parsed), F.minute(parsed), F.second(parsed).cast("decimal(18,6)")
     )
-    return F.coalesce(F.when(valid, parsed), ref_ts)
+    wall = F.convert_timezone(here, F.current_timezone(), month_start + into_month)
+    return F.coalesce(wall.cast("timestamp"), ref_ts)
+
+
+def syslog_timestamp(month: Column, day: Column, clock: Column, ref_ts: Column, zone: str = "UTC") -> Column:
+    """Year-less syslog time to an instant."""
+    return resolve_syslog_year(parse_syslog_clock(month, day, clock), ref_ts, zone)
 
 
 def rfc3339(text: Column) -> Column:

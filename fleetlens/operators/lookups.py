@@ -18,9 +18,9 @@ def resolve_user(
 ) -> DataFrame:
     """User of a record: a named field, else the account of its uid on that host.
 
-    Rows that already have a name take part in the join with a null uid, so they are
-    not matched; hot ``(host, uid)`` pairs are split by AQE, and a measured-small
-    account table is broadcast.
+    Hot ``(host, uid)`` pairs are split by AQE, and a measured-small account table is
+    broadcast. Rows that have a name keep their uid in the join, so that they do not all
+    meet in one null key.
     """
     uid = F.when(uid_text.rlike(r"^[+-]?[0-9]+$"), uid_text.try_cast("int"))
     accounts = users.select(
@@ -28,7 +28,7 @@ def resolve_user(
     )
     return (
         df.withColumn("__named", first_named(*named))
-        .withColumn("__uid", F.when(F.col("__named").isNull(), uid))
+        .withColumn("__uid", uid)
         .join(accounts, ["host_id", "__uid"], "left")
         .withColumn(into, F.coalesce("__named", "__username", F.lit("")))
         .drop("__named", "__uid", "__username")

@@ -55,8 +55,7 @@ def with_previous(
     return (
         sliced.withColumn("__local", local)
         .join(last_rows, [*keys, _SLICE], "left")
-        .withColumn(into, F.coalesce("__local", "__carried"))
-        .select(*df.columns, into)
+        .select(*df.columns, F.coalesce("__local", "__carried").alias(into))
     )
 
 
@@ -85,8 +84,7 @@ def with_position(
     return (
         sliced.withColumn("__local", local)
         .join(offsets, [*keys, _SLICE])
-        .withColumn(into, F.col("__offset") + F.col("__local") - 1)
-        .select(*df.columns, into)
+        .select(*df.columns, (F.col("__offset") + F.col("__local") - 1).alias(into))
     )
 
 

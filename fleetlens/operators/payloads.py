@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.maps import literal_map, merge_maps
+from fleetlens.functions.maps import drop_null, literal_map, merge_maps, sorted_entries
 from fleetlens.functions.resource import META_FIELDS, endpoint_id
+from fleetlens.operators.batching import collect_batches, number_batches
 from fleetlens.operators.ordered import with_position
+from fleetlens.schemas import LOG_COLUMNS
 
 ENDPOINT = ["host_id", "kind", "container_id"]
 
@@ -19,12 +21,12 @@ def route_endpoints(metrics: DataFrame) -> DataFrame:
     """
     container = F.coalesce(F.col("dimensions")["container_id"], F.lit(""))
     kind = F.when(container != "", "container").otherwise("host")
-    return (
-        metrics.withColumn("container_id", container)
-        .withColumn("kind", kind)
-        .withColumn(
-            "endpoint_id", endpoint_id(F.col("kind"), F.col("host_id"), F.col("container_id"))
-        )
+    return metrics.withColumns(
+        {
+            "container_id": container,
+            "kind": kind,
+            "endpoint_id": endpoint_id(kind, F.col("host_id"), container),
+        }
     )
 
 
@@ -36,30 +38,39 @@ def container_rows(routed: DataFrame) -> DataFrame:
     return routed.filter(F.col("kind") == "container")
 
 
-def container_identity(routed: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
-    """Container id, name, image and status per key, each from its last non-null row.
+def endpoint_profile(routed: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
+    """What the rows of an endpoint say about it, one row per key.
 
-    Every column is a ``max_by``, so rows are combined before the shuffle.
+    Container name, image and status come from the last row that carries them; the
+    namespaces that tag the endpoint from its first row in name order. All columns are
+    plain aggregates, so rows are combined before the shuffle.
     """
     order = F.struct(*[F.col(s) for s in seq])
     dims = F.col("dimensions")
+    is_container = F.col("kind") == "container"
 
     def last(value: Column, alias: str) -> Column:
-        return F.max_by(value, F.when(value.isNotNull(), order)).alias(alias)
+        own = F.when(is_container, value)
+        return F.max_by(own, F.when(own.isNotNull(), order)).alias(alias)
 
     status = F.when(
         F.col("name") == "running", F.when(F.col("value") == 1, "running").otherwise("stopped")
     )
-    return (
-        container_rows(routed)
-        .groupBy(*keys)
-        .agg(
-            last(F.coalesce(dims["name"], dims["container_name"]), "container_name"),
-            last(dims["image_id"], "container_image_id"),
-            last(dims["image"], "container_image_name"),
-            last(status, "status"),
-        )
+    first = F.min(F.struct("namespace", "sub_namespace", "name"))
+    profile = routed.groupBy(*keys).agg(
+        last(F.coalesce(dims["name"], dims["container_name"]), "container_name"),
+        last(dims["image_id"], "container_image_id"),
+        last(dims["image"], "container_image_name"),
+        last(status, "status"),
+        first.alias("first"),
     )
+    return profile.select("*", "first.namespace", "first.sub_namespace").drop("first")
+
+
+def container_identity(routed: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
+    """Name, image and status of the containers alone."""
+    profile = endpoint_profile(container_rows(routed), keys, seq)
+    return profile.drop("namespace", "sub_namespace")
 
 
 def standard_tags(
@@ -106,13 +117,6 @@ def log_tags(base: Column, hostname: Column, product: str = "fleetlens") -> Colu
     )
 
 
-def first_metric(routed: DataFrame, keys: list[str]) -> DataFrame:
-    """Namespace and sub-namespace that tag each key: the first in name order."""
-    order = F.struct("namespace", "sub_namespace", "name")
-    picked = F.min_by(F.struct("namespace", "sub_namespace"), order)
-    return routed.groupBy(*keys).agg(picked.alias("first")).select(*keys, "first.*")
-
-
 def attach_meta(df: DataFrame, meta: DataFrame, on: tuple[str, ...] = ("host_id",)) -> DataFrame:
     """Left join of the metadata table as a ``meta`` struct.
 
@@ -137,6 +141,16 @@ METRIC_FIELDS = [
 ]
 
 
+# Order of the metrics within a payload; the tie column makes it total.
+METRIC_ORDER = ["ts", "namespace", "sub_namespace", "name", "tie"]
+
+
+def with_tie(metrics: DataFrame) -> DataFrame:
+    """Add a tie breaker for rows of one metric and time that differ in dimensions, so
+    that a retried task numbers its rows as before."""
+    return metrics.withColumn("tie", F.xxhash64(sorted_entries(F.col("dimensions")), F.col("value")))
+
+
 def assemble_payloads(
     routed: DataFrame,
     keys: list[str],
@@ -147,7 +161,7 @@ def assemble_payloads(
 ) -> DataFrame:
     """One payload per key (endpoint and tick) with its metrics as an array.
 
-    A key with more than ``max_points`` rows is cut into numbered parts, so no array and
+    ``order`` must be total within a key. A key with more than ``max_points`` rows is cut into numbered parts, so no array and
     no task grows with a hot endpoint; ``max_points=None`` is for captures whose ticks
     are known to be small and saves a shuffle.
     """
@@ -182,3 +196,83 @@ def payload_meta(meta: Column, overrides: dict[str, Column], tags: Column) -> Co
         for f in META_FIELDS
     ]
     return F.struct(*fields, merge_maps(meta["tags"], tags).alias("tags"))
+
+
+def metric_payloads(
+    routed: DataFrame,
+    meta: DataFrame,
+    order: list[str],
+    start_ts: Column,
+    max_points: int | None = 1000,
+    slice_by: Column | None = None,
+    product: str = "fleetlens",
+) -> DataFrame:
+    """Payloads per endpoint and ``tick`` with identity and metadata.
+
+    ``routed`` carries a ``tick`` column. The host's record is extended by what the rows
+    say about a container and by the standard tags.
+    """
+    keys = ["host_id", "kind", "container_id", "endpoint_id", "tick"]
+    endpoint = ["endpoint_id", "tick"]
+    enriched = attach_meta(
+        assemble_payloads(routed, keys, order, max_points, slice_by), meta
+    ).join(endpoint_profile(routed, endpoint, order), endpoint)
+    tags = standard_tags(
+        F.col("namespace"),
+        F.col("sub_namespace"),
+        F.col("kind"),
+        F.col("meta.hostname"),
+        F.col("container_id"),
+        F.col("container_name"),
+        start_ts,
+        product,
+    )
+    status = drop_null(literal_map({"status": F.col("status")}))
+    overrides = {
+        "kind": F.col("kind"),
+        "endpoint_id": F.col("endpoint_id"),
+        "container_id": F.when(F.col("kind") == "container", F.col("container_id")),
+        "container_name": F.col("container_name"),
+        "container_image_id": F.col("container_image_id"),
+        "container_image_name": F.col("container_image_name"),
+    }
+    return enriched.select(
+        "host_id",
+        "kind",
+        "endpoint_id",
+        "tick",
+        "part",
+        "metrics",
+        F.col("meta.agent_id").alias("agent_id"),
+        F.col("meta.hostname").alias("hostname"),
+        payload_meta(F.col("meta"), overrides, merge_maps(tags, status)).alias("meta"),
+    )
+
+
+def log_payloads(
+    logs: DataFrame,
+    meta: DataFrame,
+    keys: list[str],
+    order: list[str],
+    size: int,
+    slice_by: Column | None,
+    product: str = "fleetlens",
+) -> DataFrame:
+    """Batches of log entries per key (host, source and, in a running job, tick) with
+    identity and metadata."""
+    numbered = number_batches(logs, keys, order, size, slice_by)
+    batches = collect_batches(numbered, keys, F.struct(*LOG_COLUMNS))
+    enriched = attach_meta(batches, meta).withColumn(
+        "endpoint_id", endpoint_id(F.lit("host"), F.col("host_id"))
+    )
+    tags = log_tags(F.col("meta.tags"), F.col("meta.hostname"), product)
+    overrides = {"kind": F.lit("host"), "endpoint_id": F.col("endpoint_id")}
+    return enriched.select(
+        *keys,
+        "batch",
+        "logs",
+        F.col("meta.agent_id").alias("agent_id"),
+        F.col("meta.hostname").alias("hostname"),
+        "endpoint_id",
+        payload_meta(F.col("meta"), overrides, tags).alias("meta"),
+    )

@@ -66,11 +66,14 @@ def rate_columns(paired: DataFrame, compat: bool = False) -> DataFrame:
     prev = F.col("prev")
     cpu = cpu_percent(F.col("cpu_total"), F.col("cpu_system"), F.col("online"), prev, compat)
     shrunk = [F.col(c) < prev[c] for c in ("cpu_total", "rx", "tx")]
-    return (
-        paired.withColumn("cpu_percent", cpu)
-        .withColumn("rx_rate", byte_rate(F.col("ts"), F.col("rx"), prev["ts"], prev["rx"], compat))
-        .withColumn("tx_rate", byte_rate(F.col("ts"), F.col("tx"), prev["ts"], prev["tx"], compat))
-        .withColumn("reset", F.coalesce(shrunk[0] | shrunk[1] | shrunk[2], F.lit(False)))
+    rate = lambda c: byte_rate(F.col("ts"), F.col(c), prev["ts"], prev[c], compat)
+    return paired.withColumns(
+        {
+            "cpu_percent": cpu,
+            "rx_rate": rate("rx"),
+            "tx_rate": rate("tx"),
+            "reset": F.coalesce(shrunk[0] | shrunk[1] | shrunk[2], F.lit(False)),
+        }
     )
 
 

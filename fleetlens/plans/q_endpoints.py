@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.functions.maps import literal_map, merge_maps, render_map
+from fleetlens.functions.maps import merge_maps, render_map
 from fleetlens.functions.resource import endpoint_id, payload_resource, resource_attributes
 from fleetlens.functions.timestamps import from_micros
-from fleetlens.operators.batching import collect_batches, number_batches
 from fleetlens.operators.otlp import log_attributes, otlp_logs, otlp_metrics
 from fleetlens.operators.payloads import (
     assemble_payloads,
     attach_meta,
     container_identity,
-    first_metric,
-    log_tags,
-    payload_meta,
+    log_payloads,
+    metric_payloads,
     route_endpoints,
     standard_tags,
 )
@@ -49,40 +47,14 @@ def meta_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payloads with the endpoint's metadata: the host's record, the container's identity
-    and the standard tags."""
-    rows = routed(spark, sf_dir)
-    identity = container_identity(rows, ["endpoint_id", "tick"], ["ts", "event_id"])
-    tagged = first_metric(rows, ["endpoint_id", "tick"])
-    enriched = (
-        attach_meta(payloads(spark, sf_dir), meta_table(spark, sf_dir))
-        .join(identity, ["endpoint_id", "tick"], "left")
-        .join(tagged, ["endpoint_id", "tick"], "left")
-    )
-    tags = standard_tags(
-        F.col("namespace"),
-        F.col("sub_namespace"),
-        F.col("kind"),
-        F.col("meta.hostname"),
-        F.col("container_id"),
-        F.col("container_name"),
+    """The same payloads with identity, metadata and tags."""
+    return metric_payloads(
+        routed(spark, sf_dir),
+        meta_table(spark, sf_dir),
+        ["ts", "event_id"],
         from_micros(F.lit(S.EPOCH_US)),
-    )
-    status = F.map_filter(literal_map({"status": F.col("status")}), lambda k, v: v.isNotNull())
-    is_container = F.col("kind") == "container"
-    overrides = {
-        "kind": F.col("kind"),
-        "endpoint_id": F.col("endpoint_id"),
-        "container_id": F.when(is_container, F.col("container_id")),
-        "container_name": F.col("container_name"),
-        "container_image_id": F.col("container_image_id"),
-        "container_image_name": F.col("container_image_name"),
-    }
-    meta = payload_meta(F.col("meta"), overrides, merge_maps(tags, status))
-    return enriched.select(
-        "host_id", "kind", "endpoint_id", "tick", "part", "metrics",
-        F.col("meta.agent_id").alias("agent_id"), F.col("meta.hostname").alias("hostname"),
-        meta.alias("meta"),
+        10,
+        F.expr(f"us div {DAY_US // 4}"),
     )
 
 
@@ -312,24 +284,12 @@ def log_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def log_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches of 50 log entries per host and source with identity and tags."""
-    keys = ["host_id", "source"]
-    logs = chat_logs(spark, sf_dir).withColumn("entry", F.struct(*LOG_COLUMNS))
-    numbered = number_batches(logs, keys, ["conv_id", "turn"], 50, F.expr("conv_id div 16"))
-    batches = collect_batches(numbered, keys, F.col("entry"))
+def chat_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of 50 log entries per host and source."""
     hosts = meta_table(spark, sf_dir).withColumn("host_id", F.expr("concat('host', substr(host_id, 2))"))
-    enriched = attach_meta(batches, hosts)
-    return enriched.select(
-        "host_id",
-        "source",
-        "batch",
-        "logs",
-        F.col("meta.agent_id").alias("agent_id"),
-        F.col("meta.hostname").alias("hostname"),
-        endpoint_id(F.lit("host"), F.col("host_id")).alias("endpoint_id"),
-        log_tags(F.col("meta.tags"), F.col("meta.hostname")).alias("tags"),
-        "meta",
+    return log_payloads(
+        chat_logs(spark, sf_dir), hosts, ["host_id", "source"], ["conv_id", "turn"], 50,
+        F.expr("conv_id div 16"),
     )
 
 
@@ -345,14 +305,14 @@ GROUP BY n.host_id, n.source, n.batch""",
 )
 def log_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = lambda e: F.concat(e["fields"]["conv"], F.lit("."), e["meta"]["extra"]["turn"])
-    return log_payloads(spark, sf_dir).select(
+    return chat_payloads(spark, sf_dir).select(
         "host_id",
         "source",
         "batch",
         F.size("logs").cast("bigint").alias("n"),
         "agent_id",
         "endpoint_id",
-        render_map(F.col("tags")).alias("tags"),
+        render_map(F.col("meta.tags")).alias("tags"),
         F.array_join(F.transform("logs", place), ",").alias("entries"),
     )
 
@@ -364,14 +324,14 @@ SELECT n.host_id, n.batch, CASE WHEN n.source = '' THEN 'unknown' ELSE n.source
   'agent.id=' || m.agent_id || ';agent.version=1.0;cloud.region=' || m.region || ';endpoint.id='
   || sha256('host|' || n.host_id || '|') || CASE WHEN m.environment IS NULL THEN '' ELSE ';environment=prod' END
   || ';host.id=' || n.host_id || ';host.ip=' || m.ip || ';host.name=' || m.hostname || ';os.type=' || m.os
-  || ';tag.team=' || m.team AS resource,
+  || ';resource.kind=host;tag.instance=' || m.hostname || ';tag.job=fleetlens-logs;tag.team=' || m.team AS resource,
   n.seq, n.us * 1000 AS time_unix_nano, CAST(n.severity AS INTEGER) AS severity_number,
   n.level AS severity_text, md5(n.text) AS body, {_LOG_ATTRS} AS attrs
 FROM numbered n JOIN meta m ON 'host' || substr(m.host_id, 2) = n.host_id""",
 )
 def nested_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested log export, flattened again for comparison."""
-    nested = otlp_logs(log_payloads(spark, sf_dir))
+    nested = otlp_logs(chat_payloads(spark, sf_dir))
     scopes = nested.select(
         "host_id",
         "batch",

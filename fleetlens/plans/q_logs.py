@@ -71,7 +71,7 @@ def auth_text(logs: DataFrame) -> DataFrame:
 
 @query("auth_logs", AUTH_SQL)
 def auth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return auth_text(auth_logs(A.syslog_lines(A.events(spark, sf_dir))))
+    return auth_text(auth_logs(A.syslog_lines(A.spread(A.events(spark, sf_dir)))))
 
 
 @query(
@@ -181,7 +181,7 @@ FROM named WHERE event_id % 8 <= 4 AND identifier <> 'kernel'""",
 )
 def journal(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = journal_logs(
-        A.journal_records(A.events(spark, sf_dir)),
+        A.journal_records(A.spread(A.events(spark, sf_dir))),
         A.journal_users(A.table(spark, sf_dir, "customer")),
     )
     return logs.select(
@@ -319,7 +319,7 @@ SELECT 'win' || (user_id % 10) AS host_id, CASE WHEN bad THEN {S.REF_US} ELSE us
 FROM win_full""",
 )
 def win_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_logs(A.event_xml(A.events(spark, sf_dir))).select(
+    return event_logs(A.event_xml(A.spread(A.events(spark, sf_dir)))).select(
         "host_id",
         F.unix_micros("ts").alias("us"),
         "level",
@@ -342,7 +342,7 @@ FROM win""",
 )
 def win_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both message forms; null for what is no event."""
-    parsed = A.event_xml(A.events(spark, sf_dir)).select(
+    parsed = A.event_xml(A.spread(A.events(spark, sf_dir))).select(
         "event_id", parse_event(F.col("xml")).alias("e")
     )
     event = F.col("e")
@@ -375,7 +375,7 @@ UNION ALL SELECT event_id, channel, 'all' FROM kept""",
 )
 def channel_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the listed channels, and those that remain when all are collected."""
-    events = A.event_xml(A.events(spark, sf_dir)).select("event_id", "channel_name")
+    events = A.event_xml(A.spread(A.events(spark, sf_dir))).select("event_id", "channel_name")
     include = ["SYSTEM", "Security", "application", "ForwardedEvents"]
     globs = ["Microsoft-Windows-Diagnosis-*", "Forw*Events", "broken("]
     listed = select_channels(events, include, globs).withColumn("mode", F.lit("listed"))
@@ -396,7 +396,7 @@ SELECT source, level, category, count(*) AS n FROM rows_out GROUP BY source, lev
 def log_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All log sources of a Linux host as one table, summarised. The Windows source and
     an unknown one are skipped."""
-    ev = A.events(spark, sf_dir)
+    ev = A.spread(A.events(spark, sf_dir))
     tables = {"journal": A.journal_records(ev), "syslog": A.syslog_lines(ev), "events_xml": A.event_xml(ev)}
     union = log_registry().collect(
         spark, ["journald", "security", "eventviewer", "kmsg"], {"tables": tables}

@@ -30,6 +30,26 @@ def metric_text(df: DataFrame) -> DataFrame:
     )
 
 
+CONTAINER_KEYS = ["container_id", "cpu", "device", "interface", "op"]
+
+
+def container_text(df: DataFrame) -> DataFrame:
+    """Container rows with the dimensions that tell them apart as columns, and the number
+    of all; ``container_dims`` compares the full maps."""
+    dims = F.col("dimensions")
+    return df.select(
+        F.unix_micros("ts").alias("us"),
+        "sub_namespace",
+        "name",
+        "type",
+        "unit",
+        F.round("value", 6).alias("value"),
+        *[dims[k].alias(k) for k in CONTAINER_KEYS],
+        dims["status"].alias("status"),
+        F.size(dims).alias("n_dims"),
+    )
+
+
 # --- rates --------------------------------------------------------------------
 
 
@@ -176,7 +196,7 @@ HOST_CPU_SQL = S.metric_rows(
 
 @query("host_cpu", HOST_CPU_SQL)
 def host_cpu(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metric_text(host.cpu_metrics(A.host_cpu(A.table(spark, sf_dir, "part"))))
+    return metric_text(host.cpu_metrics(A.host_cpu(A.spread(A.table(spark, sf_dir, "part")))))
 
 
 _MEM = """(SELECT *, o_orderkey * 1000 + 4096 AS total,
@@ -205,7 +225,7 @@ HOST_MEM_SQL = S.metric_rows(
 
 @query("host_mem", HOST_MEM_SQL)
 def host_mem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metric_text(host.mem_metrics(A.host_mem(A.table(spark, sf_dir, "orders"))))
+    return metric_text(host.mem_metrics(A.host_mem(A.spread(A.table(spark, sf_dir, "orders")))))
 
 
 def _disk_sql() -> str:
@@ -254,7 +274,7 @@ HOST_DISK_SQL = _disk_sql()
 
 @query("host_disk", HOST_DISK_SQL)
 def host_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metric_text(host.disk_metrics(A.host_disk(A.table(spark, sf_dir, "part"))))
+    return metric_text(host.disk_metrics(A.host_disk(A.spread(A.table(spark, sf_dir, "part")))))
 
 
 HOST_INFO_SQL = S.metric_rows(
@@ -277,7 +297,7 @@ HOST_INFO_SQL = S.metric_rows(
 
 @query("host_info", HOST_INFO_SQL)
 def host_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metric_text(host.host_metrics(A.host_info(A.table(spark, sf_dir, "supplier"))))
+    return metric_text(host.host_metrics(A.host_info(A.spread(A.table(spark, sf_dir, "supplier")))))
 
 
 def _net_sql() -> str:
@@ -299,7 +319,7 @@ HOST_NET_SQL = _net_sql()
 
 @query("host_net", HOST_NET_SQL)
 def host_net(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metric_text(host.net_metrics(A.host_net(A.table(spark, sf_dir, "orders"))))
+    return metric_text(host.net_metrics(A.host_net(A.spread(A.table(spark, sf_dir, "orders")))))
 
 
 @query(
@@ -312,7 +332,7 @@ FROM m GROUP BY sub_namespace, name, type, unit""",
 def metric_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All named host sources as one table, summarised per metric. Names that repeat
     count once, unknown ones are skipped."""
-    t = lambda name: A.table(spark, sf_dir, name)
+    t = lambda name: A.spread(A.table(spark, sf_dir, name))
     tables = {
         "host_cpu": A.host_cpu(t("part")),
         "host_mem": A.host_mem(t("orders")),
@@ -349,9 +369,27 @@ j AS (SELECT r.*, c.* EXCLUDE (cid), {S.uptime(started)} AS uptime FROM rated r
 """
 
 
+def _container_rows(sub: str, rows: list[tuple], optional: str) -> str:
+    """``UNION ALL`` of (name, value, type, unit, own dimensions)."""
+    base = (
+        "7 + CASE WHEN version IS NULL THEN 0 ELSE 1 END "
+        f"+ CASE WHEN {optional} IS NULL THEN 0 ELSE 1 END"
+    )
+    out = []
+    for name, value, kind, unit, own in rows:
+        keys = {"container_id": "cid"} | own
+        columns = ", ".join(f"{keys.get(k, 'CAST(NULL AS VARCHAR)')} AS {k}" for k in CONTAINER_KEYS)
+        out.append(
+            f"SELECT CAST(us AS BIGINT) AS us, '{sub}' AS sub_namespace, '{name}' AS name, '{kind}' AS type, "
+            f"'{unit}' AS unit, round(CAST({value} AS DOUBLE), 6) AS value, {columns}, state AS status, "
+            f"CAST({base} + {len(own)} AS INTEGER) AS n_dims FROM j"
+        )
+    return "\nUNION ALL\n".join(out)
+
+
 def _docker_sql() -> str:
-    plain = S.dims("docker", health_status="health")
-    more = lambda **k: S.dims("docker", health_status="health", **k)
+    plain: dict = {}
+    more = dict
     ns, by, ct = "nanoseconds", "bytes", "count"
     rows = [
         ("uptime_seconds", "uptime", "gauge", "seconds", plain),
@@ -381,24 +419,24 @@ def _docker_sql() -> str:
     for name, (main, loop, unit) in _INTERFACE.items():
         rows.append((name, main, "counter", unit, more(interface="event_type")))
         rows.append((name, loop, "counter", unit, more(interface="'lo'")))
-    return _joined("created_us") + S.metric_rows("j", "'host0'", "us", [("Docker", *r) for r in rows])
+    return _joined("created_us") + _container_rows("Docker", rows, "health")
 
 
 @query("docker_metrics", _docker_sql())
 def docker_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = A.table(spark, sf_dir, "customer")
-    return metric_text(
+    return container_text(
         containers.docker_metrics(
             A.docker_list(customer),
-            A.docker_stats(A.events(spark, sf_dir)),
+            A.docker_stats(A.spread(A.events(spark, sf_dir))),
             A.docker_inspect(customer),
         )
     )
 
 
 def _podman_sql() -> str:
-    plain = S.dims("podman", ports="ports")
-    more = lambda **k: S.dims("podman", ports="ports", **k)
+    plain: dict = {}
+    more = dict
     ns, by, ct = "nanoseconds", "bytes", "count"
     rows = [
         ("uptime_seconds", "uptime", "gauge", "seconds", plain),
@@ -427,16 +465,16 @@ def _podman_sql() -> str:
         rows.append((name, main if known else "0", "counter", unit, more(interface="event_type")))
         rows.append((name, loop if known else "0", "counter", unit, more(interface="'lo'")))
     started = "(CASE WHEN inspected THEN created_us + 250000 END)"
-    return _joined(started) + S.metric_rows("j", "'host0'", "us", [("Podman", *r) for r in rows])
+    return _joined(started) + _container_rows("Podman", rows, "ports")
 
 
 @query("podman_metrics", _podman_sql())
 def podman_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = A.table(spark, sf_dir, "customer")
-    return metric_text(
+    return container_text(
         containers.podman_metrics(
             A.podman_list(customer),
-            A.podman_stats(A.events(spark, sf_dir)),
+            A.podman_stats(A.spread(A.events(spark, sf_dir))),
             A.podman_inspect(customer),
         )
     )

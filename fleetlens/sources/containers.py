@@ -99,12 +99,14 @@ def _zero(value: Column) -> Column:
 
 
 def _with_rates(joined: DataFrame, keys: list[str], slice_seconds: int | None, compat: bool) -> DataFrame:
-    prepared = (
-        joined.withColumn("cpu_total", F.col("cpu")["total"])
-        .withColumn("cpu_system", F.col("cpu")["system"])
-        .withColumn("online", F.coalesce(F.col("cpu")["online"], F.lit(0)))
-        .withColumn("rx", interface_total(F.col("networks"), "rx_bytes"))
-        .withColumn("tx", interface_total(F.col("networks"), "tx_bytes"))
+    prepared = joined.withColumns(
+        {
+            "cpu_total": F.col("cpu")["total"],
+            "cpu_system": F.col("cpu")["system"],
+            "online": F.coalesce(F.col("cpu")["online"], F.lit(0)),
+            "rx": interface_total(F.col("networks"), "rx_bytes"),
+            "tx": interface_total(F.col("networks"), "tx_bytes"),
+        }
     )
     return sample_rates(prepared, keys, ["ts"], slice_seconds, compat)
 

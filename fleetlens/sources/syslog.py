@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.levels import detect_severity
 from fleetlens.functions.maps import empty_map, literal_map
 from fleetlens.functions.text import truncate_bytes
-from fleetlens.functions.timestamps import syslog_timestamp
+from fleetlens.functions.timestamps import parse_syslog_clock, resolve_syslog_year
 from fleetlens.sources.logrows import log_meta, log_rows
 
 # Auth log files, the first one present is read.
@@ -44,11 +44,17 @@ def auth_logs(
     parsed = (
         lines.withColumn("__message", message)
         .filter(F.col("__message") != "")
-        .withColumns({"__lower": F.lower("__message"), "__program": program})
+        .withColumns(
+            {
+                "__lower": F.lower("__message"),
+                "__program": program,
+                "__clock": parse_syslog_clock(word(0), word(1), word(2)),
+            }
+        )
     )
     return log_rows(
         parsed,
-        ts=syslog_timestamp(word(0), word(1), word(2), F.col("ref_ts"), zone),
+        ts=resolve_syslog_year(F.col("__clock"), F.col("ref_ts"), zone),
         level=detect_severity(F.col("__lower"), lowered=True),
         message=truncate_bytes(F.col("__message"), max_bytes, zero_is_unlimited=not compat),
         source=F.col("__program"),

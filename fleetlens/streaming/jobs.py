@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.functions.timestamps import within_lookback
-from fleetlens.operators.payloads import assemble_payloads, route_endpoints
+from fleetlens.operators.payloads import (
+    METRIC_ORDER,
+    assemble_payloads,
+    metric_payloads,
+    route_endpoints,
+    with_tie,
+)
 from fleetlens.operators.topn import top_processes
 from fleetlens.options import MetricOptions, ProcessOptions, StreamOptions
 from fleetlens.sources.processes import process_payloads
@@ -74,20 +80,24 @@ def write_batches(
 
 
 def metric_stream(
-    metrics: DataFrame, tick_seconds: int, options: StreamOptions, job: MetricOptions = MetricOptions()
+    metrics: DataFrame,
+    tick_seconds: int,
+    options: StreamOptions,
+    job: MetricOptions = MetricOptions(),
+    meta: DataFrame | None = None,
+    start_ts=None,
 ) -> StreamingQuery:
-    """Payloads per endpoint and tick."""
+    """Payloads per endpoint and tick; with identity and tags when ``meta`` is given."""
 
     def shape(batch: DataFrame) -> DataFrame:
         tick = F.window("ts", f"{tick_seconds} seconds")["start"]
-        routed = route_endpoints(batch).withColumn("tick", tick)
-        return assemble_payloads(
-            routed,
-            ["host_id", "kind", "endpoint_id", "tick"],
-            ["ts", "namespace", "sub_namespace", "name"],
-            job.max_points,
-            F.unix_seconds("ts"),
-        )
+        routed = with_tie(route_endpoints(batch)).withColumn("tick", tick)
+        slices = F.unix_seconds("ts")
+        if meta is None:
+            keys = ["host_id", "kind", "endpoint_id", "tick"]
+            return assemble_payloads(routed, keys, METRIC_ORDER, job.max_points, slices)
+        start = F.lit(start_ts).cast("timestamp")
+        return metric_payloads(routed, meta, METRIC_ORDER, start, job.max_points, slices, job.product)
 
     return write_batches(metrics, shape, options, "fleetlens_metrics")
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -10,6 +13,9 @@ from pyspark.sql.streaming import StatefulProcessor
 from fleetlens.functions.timestamps import from_micros
 from fleetlens.operators.rates import rate_columns
 
+# The processor is sent to the workers as code, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 COUNTERS = ["cpu_total", "cpu_system", "rx", "tx"]
 _KEY = "series string"
 _ROW = "us bigint, cpu_total bigint, cpu_system bigint, online int, rx bigint, tx bigint"
