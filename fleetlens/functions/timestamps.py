@@ -67,8 +67,14 @@ def seconds_between(later: Column, earlier: Column) -> Column:
 
 
 def slice_of(ts: Column, seconds: int) -> Column:
-    """Number of the fixed time slice a timestamp falls in."""
-    return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000))
+    """Start of the fixed time slice a timestamp falls in, in microseconds."""
+    us = F.unix_micros(ts)
+    return us - F.pmod(us, F.lit(seconds * 1_000_000))
+
+
+def tick_of(ts: Column, seconds: int) -> Column:
+    """Start of the interval a timestamp falls in."""
+    return F.timestamp_micros(slice_of(ts, seconds))
 
 
 def within_lookback(ts: Column, start: Column, minutes: int = 5) -> Column:

@@ -14,6 +14,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 _SLICE = "__slice"
+_KEY = "__key"
+
+
+def _sliced(df: DataFrame, keys: list[str], slice_by: Column) -> DataFrame:
+    """Move the keys and the slice into one struct column.
+
+    A struct is never null and equals another one with nulls in the same places, so
+    rows with null keys are kept, and no null checks on the keys are pushed down into
+    (and evaluated once more in) the parse below.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    return df.select(F.struct(*keys, slice_by.alias(_SLICE)).alias(_KEY), *rest)
+
+
+def _by_slice(keys: list[str]):
+    return W.partitionBy(*[F.col(_KEY)[k] for k in keys]).orderBy(F.col(_KEY)[_SLICE])
+
+
+def _restored(df: DataFrame, columns: list[str], keys: list[str], into: Column) -> DataFrame:
+    return df.select(*[F.col(_KEY)[c].alias(c) if c in keys else F.col(c) for c in columns], into)
 
 
 def with_previous(
@@ -27,14 +47,14 @@ def with_previous(
     """Add ``into``: the ``values`` of the previous row of the series as a struct.
 
     ``order`` must be total within a series. ``slice_by=None`` uses one plain window,
-    for series that are known to be short. Keys must not be null.
+    for series that are known to be short.
     """
     row = F.struct(*[F.col(v) for v in values])
     by_order = [F.col(o) for o in order]
     if slice_by is None:
         return df.withColumn(into, F.lag(row).over(W.partitionBy(*keys).orderBy(*by_order)))
 
-    sliced = df.withColumn(_SLICE, slice_by)
+    sliced = _sliced(df, keys, slice_by)
     if len(order) == 1:
         # Plain columns only, so the partial aggregation is a hash one without a sort.
         last = F.struct(*[F.col(f"__last_{v}").alias(v) for v in values])
@@ -42,21 +62,14 @@ def with_previous(
     else:
         last = F.col("__last")
         tails = [F.max_by(row, F.struct(*by_order)).alias("__last")]
-    last_rows = (
-        sliced.groupBy(*keys, _SLICE)
+    carried = (
+        sliced.groupBy(_KEY)
         .agg(*tails)
-        .select(
-            *keys,
-            _SLICE,
-            F.lag(last).over(W.partitionBy(*keys).orderBy(_SLICE)).alias("__carried"),
-        )
-    )
-    local = F.lag(row).over(W.partitionBy(*keys, _SLICE).orderBy(*by_order))
-    return (
-        sliced.withColumn("__local", local)
-        .join(last_rows, [*keys, _SLICE], "left")
-        .select(*df.columns, F.coalesce("__local", "__carried").alias(into))
+        .select(_KEY, F.lag(last).over(_by_slice(keys)).alias("__carried"))
     )
+    local = F.lag(row).over(W.partitionBy(_KEY).orderBy(*by_order))
+    joined = sliced.withColumn("__local", local).join(carried, _KEY, "left")
+    return _restored(joined, df.columns, keys, F.coalesce("__local", "__carried").alias(into))
 
 
 def with_position(
@@ -73,19 +86,17 @@ def with_position(
             into, F.row_number().over(W.partitionBy(*keys).orderBy(*by_order)).cast("long") - 1
         )
 
-    sliced = df.withColumn(_SLICE, slice_by)
-    before = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
+    sliced = _sliced(df, keys, slice_by)
+    before = _by_slice(keys).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        sliced.groupBy(*keys, _SLICE)
+        sliced.groupBy(_KEY)
         .agg(F.count("*").alias("n"))
-        .select(*keys, _SLICE, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
-    )
-    local = F.row_number().over(W.partitionBy(*keys, _SLICE).orderBy(*by_order)).cast("long")
-    return (
-        sliced.withColumn("__local", local)
-        .join(offsets, [*keys, _SLICE])
-        .select(*df.columns, (F.col("__offset") + F.col("__local") - 1).alias(into))
+        .select(_KEY, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
     )
+    local = F.row_number().over(W.partitionBy(_KEY).orderBy(*by_order)).cast("long")
+    joined = sliced.withColumn("__local", local).join(offsets, _KEY)
+    place = F.col("__offset") + F.col("__local") - 1
+    return _restored(joined, df.columns, keys, place.alias(into))
 
 
 def fit_slice_seconds(

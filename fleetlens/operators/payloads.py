@@ -158,19 +158,21 @@ def assemble_payloads(
     max_points: int | None = 1000,
     slice_by: Column | None = None,
     fields: list[str] | None = None,
+    place_by: list[str] | None = None,
 ) -> DataFrame:
     """One payload per key (endpoint and tick) with its metrics as an array.
 
     ``order`` must be total within a key. A key with more than ``max_points`` rows is cut into numbered parts, so no array and
     no task grows with a hot endpoint; ``max_points=None`` is for captures whose ticks
-    are known to be small and saves a shuffle.
+    are known to be small and saves a shuffle. ``place_by`` names those of the keys that
+    determine the others, which keeps the numbering narrow.
     """
     fields = fields or METRIC_FIELDS
     rank = F.struct(*[F.col(o) for o in order])
     if max_points is None:
         parts = routed.withColumn("part", F.lit(0).cast("long"))
     else:
-        parts = with_position(routed, keys, order, slice_by, "__position").withColumn(
+        parts = with_position(routed, place_by or keys, order, slice_by, "__position").withColumn(
             "part", F.floor(F.col("__position") / F.lit(max_points))
         )
     packed = parts.groupBy(*keys, "part").agg(
@@ -215,7 +217,7 @@ def metric_payloads(
     keys = ["host_id", "kind", "container_id", "endpoint_id", "tick"]
     endpoint = ["endpoint_id", "tick"]
     enriched = attach_meta(
-        assemble_payloads(routed, keys, order, max_points, slice_by), meta
+        assemble_payloads(routed, keys, order, max_points, slice_by, place_by=endpoint), meta
     ).join(endpoint_profile(routed, endpoint, order), endpoint)
     tags = standard_tags(
         F.col("namespace"),

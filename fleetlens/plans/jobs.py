@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.functions.timestamps import tick_of
 from fleetlens.operators.channels import select_channels
 from fleetlens.operators.otlp import otlp_logs, otlp_metrics
 from fleetlens.operators.payloads import (
@@ -23,7 +24,7 @@ from fleetlens.sources.registry import log_registry, metric_registry
 
 def with_tick(df: DataFrame, seconds: int) -> DataFrame:
     """Add the start of the interval a row falls in."""
-    return df.withColumn("tick", F.window("ts", f"{seconds} seconds")["start"])
+    return df.withColumn("tick", tick_of(F.col("ts"), seconds))
 
 
 def metric_export(

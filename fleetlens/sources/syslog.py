@@ -14,6 +14,7 @@ from fleetlens.sources.logrows import log_meta, log_rows
 # Auth log files, the first one present is read.
 AUTH_LOG_PATHS = ["/var/log/secure", "/var/log/auth.log"]
 
+_HAS_MESSAGE = r"(?U)^\s*(?:\S+\s+){4}\S+\s."
 _LINE = r"(?U)^\s*(?:\S+\s+){4}\S+\s?(.*)$"
 
 
@@ -30,27 +31,27 @@ def auth_logs(
     ``compat`` finds the message by the length of the prefix written with single
     blanks, so a padded day leaves a blank in front, and treats a limit of 0 as 0.
     """
-    words = F.split(F.regexp_replace("value", r"(?U)^\s+|\s+$", ""), r"(?U)\s+")
     word = lambda i: F.get(F.col("__words"), F.lit(i))
-    lines = raw.withColumn("__words", words).filter(F.size("__words") >= 5)
+    words = F.split(F.regexp_replace("value", r"(?U)^\s+|\s+$", ""), r"(?U)\s+")
     if compat:
+        lines = raw.withColumn("__words", words).filter(F.size("__words") >= 5)
         prefix = F.octet_length(F.concat_ws(" ", *[word(i) for i in range(5)])) + 1
         tail = F.substr(F.col("value").cast("binary"), prefix + 1).cast("string")
         rest = F.array_join(F.slice("__words", F.lit(6), F.size("__words")), " ")
         message = F.when(prefix < F.octet_length("value"), tail).otherwise(rest)
+        lines = lines.withColumn("__message", message).filter(F.col("__message") != "")
     else:
-        message = F.regexp_extract("value", _LINE, 1)
-    program = F.regexp_replace(F.substring_index(word(4), "[", 1), ":+$", "")
-    parsed = (
-        lines.withColumn("__message", message)
-        .filter(F.col("__message") != "")
-        .withColumns(
-            {
-                "__lower": F.lower("__message"),
-                "__program": program,
-                "__clock": parse_syslog_clock(word(0), word(1), word(2)),
-            }
+        # One test on the raw line for "five words and a message"; a filter on the parsed
+        # columns would make Spark parse every line once more below the projection.
+        lines = raw.filter(F.col("value").rlike(_HAS_MESSAGE)).withColumns(
+            {"__words": words, "__message": F.regexp_extract("value", _LINE, 1)}
         )
+    parsed = lines.withColumns(
+        {
+            "__lower": F.lower("__message"),
+            "__program": F.regexp_replace(F.substring_index(word(4), "[", 1), ":+$", ""),
+            "__clock": parse_syslog_clock(word(0), word(1), word(2)),
+        }
     )
     return log_rows(
         parsed,

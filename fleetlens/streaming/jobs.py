@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetlens.functions.timestamps import within_lookback
+from fleetlens.functions.timestamps import tick_of, within_lookback
 from fleetlens.operators.payloads import (
     METRIC_ORDER,
     assemble_payloads,
@@ -90,8 +90,7 @@ def metric_stream(
     """Payloads per endpoint and tick; with identity and tags when ``meta`` is given."""
 
     def shape(batch: DataFrame) -> DataFrame:
-        tick = F.window("ts", f"{tick_seconds} seconds")["start"]
-        routed = with_tie(route_endpoints(batch)).withColumn("tick", tick)
+        routed = with_tie(route_endpoints(batch)).withColumn("tick", tick_of(F.col("ts"), tick_seconds))
         slices = F.unix_seconds("ts")
         if meta is None:
             keys = ["host_id", "kind", "endpoint_id", "tick"]

@@ -54,6 +54,18 @@ def test_without_slices_is_the_same(spark):
     assert sorted(cut.collect()) == sorted(whole.collect())
 
 
+def test_null_keys_are_a_series_of_their_own(spark):
+    data = [(None, 1), (None, 2), ("a", 1), (None, 9)]
+    df = spark.createDataFrame(data, "k string, at int")
+    placed = with_position(df, ["k"], ["at"], F.expr("at div 2")).collect()
+    assert sorted((r.k or "", r.at, r.position) for r in placed) == [
+        ("", 1, 0), ("", 2, 1), ("", 9, 2), ("a", 1, 0),
+    ]
+    paired = with_previous(df, ["k"], ["at"], ["at"], F.expr("at div 2")).collect()
+    assert {(r.k, r.at): r.prev and r.prev["at"] for r in paired}[None, 9] == 2
+    assert len(paired) == 4
+
+
 def test_hot_key_is_spread_over_tasks(spark):
     """One key holds nearly all rows; the wide shuffle still splits it by slice."""
     hot = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("at"))
@@ -61,7 +73,7 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert got.filter("prev.at = at - 1").count() == 999
     plan = got._jdf.queryExecution().executedPlan().toString()
     wide = [line for line in plan.splitlines() if "hashpartitioning" in line]
-    assert any("__slice" in line for line in wide)
+    assert any("__key" in line and "__key#" in line for line in wide)
 
 
 @RELAXED
