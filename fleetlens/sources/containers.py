@@ -85,6 +85,16 @@ def container_dims(runtime: str, extra: dict[str, Column]) -> Column:
     return F.map_concat(drop_null(fixed), prefix_keys(F.col("labels"), "label."))
 
 
+def _known(
+    containers: DataFrame, inspect: DataFrame, on: list[str], dims: Column, started: Column
+) -> DataFrame:
+    """Listed containers with dimensions, state and start, computed once per container
+    and not once per sample."""
+    return containers.join(inspect, on, "left").select(
+        *on, dims.alias("dims"), "state", started.alias("started")
+    )
+
+
 def _interfaces() -> Column:
     """Network interfaces with the container's dimensions plus their own name."""
     return with_dims(
@@ -157,12 +167,15 @@ def docker_metrics(
     """
     on = on or ["host_id", "id"]
     rated = _with_rates(stats, keys or ["host_id", "id"], slice_seconds, compat)
-    joined = join_captures(containers, rated, inspect, on)
     dims = F.col("dims")
-    joined = joined.withColumn(
-        "dims",
+    known = _known(
+        containers,
+        inspect,
+        on,
         container_dims("docker", {"health_status": F.col("health_status")}),
-    ).withColumn("interfaces", _interfaces())
+        F.when(F.col("created") > 0, from_seconds(F.col("created"))),
+    )
+    joined = rated.join(known, on, "inner").withColumn("interfaces", _interfaces())
     cpu, mem = F.col("cpu"), F.col("memory")
 
     def counter(name: str, value: Column, unit: str, extra: dict | None = None) -> Column:
@@ -216,9 +229,8 @@ def docker_metrics(
             },
         ),
     )
-    started = F.when(F.col("created") > 0, from_seconds(F.col("created")))
     groups = [
-        _lifecycle("Docker", started, dims),
+        _lifecycle("Docker", F.col("started"), dims),
         fixed,
         per_cpu,
         mem_stats,
@@ -242,11 +254,14 @@ def podman_metrics(
     """All rows of a Podman capture; what it does not report is a constant 0."""
     on = on or ["host_id", "id"]
     rated = _with_rates(stats, keys or ["host_id", "id"], slice_seconds, compat)
-    joined = join_captures(containers, rated, inspect, on)
-    joined = joined.withColumn(
-        "dims",
+    known = _known(
+        containers,
+        inspect,
+        on,
         container_dims("podman", {"ports": null_if_empty(format_ports(F.col("ports")))}),
-    ).withColumn("interfaces", _interfaces())
+        rfc3339(F.col("started_at")),
+    )
+    joined = rated.join(known, on, "inner").withColumn("interfaces", _interfaces())
     dims, cpu, mem = F.col("dims"), F.col("cpu"), F.col("memory")
     zero = F.lit(0.0)
     fixed = F.array(
@@ -278,7 +293,7 @@ def podman_metrics(
         ),
     )
     groups = [
-        _lifecycle("Podman", rfc3339(F.col("started_at")), dims),
+        _lifecycle("Podman", F.col("started"), dims),
         fixed,
         interfaces,
         _totals("Podman", dims),
