@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import bpe, line_quality, url_filter
+from fleetlens.llm import bpe, line_quality, mixing, secret_scan, url_filter
 from fleetlens.llm.common import table, tuned
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -21,6 +21,13 @@ URL_POLICY = url_filter.Policy(
 )
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    settings = secret_scan.Settings()
+    ratios = secret_scan.train(secret_scan.labelled_samples(docs, settings), settings)
+    return secret_scan.digests(secret_scan.scan(docs, ratios, settings))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(tuned(spark), sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, URL_POLICY).select("page_id", "host", "path", "rule", "verdict")
@@ -32,6 +39,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(docs, BPE_RANKS, pattern), BPE_RANKS, pattern))
 
 
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_quality.judge(docs).select(
@@ -124,8 +135,10 @@ FROM counted c LEFT JOIN depleted d ON c.host = d.host AND c.key = d.key
 """
 
 QUERIES = {
+    "op3_secret_scan": op3_secret_scan,
     "op5_url_filter": op5_url_filter,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_source_mix": op9_source_mix,
     "op10_line_quality": op10_line_quality,
 }
 
