@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import bpe, line_quality, mixing, secret_scan, url_filter
+from fleetlens.llm import bpe, line_quality, mixing, pivot_topk, secret_scan, url_filter, warc
 from fleetlens.llm.common import table, tuned
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -21,6 +21,11 @@ URL_POLICY = url_filter.Policy(
 )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(tuned(spark), sf_dir, "pages").select("page_id", "url", "html")
+    return warc.report(warc.read(spark, warc.write(pages), payloads=False))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     settings = secret_scan.Settings()
@@ -33,6 +38,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_POLICY).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(tuned(spark), sf_dir, "embeddings").select("vec_id", "embedding")
+    return pivot_topk.top_k(vectors, lambda vec_id: vec_id % 50 == 0)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(tuned(spark), sf_dir, "documents").select("doc_id", "text")
     pattern = public_tokenizers.PATTERN
@@ -134,15 +144,48 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM counted c LEFT JOIN depleted d ON c.host = d.host AND c.key = d.key
 """
 
+OP2_SQL = """
+WITH sized AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), grouped AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id
+  FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first_id IS DISTINCT FROM page_id AND first_id IS NOT NULL THEN 'revisit' ELSE 'response' END
+    AS record_type,
+  CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
+FROM grouped
+"""
+
+OP6_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
 QUERIES = {
+    "op2_warc": op2_warc,
     "op3_secret_scan": op3_secret_scan,
     "op5_url_filter": op5_url_filter,
+    "op6_pivot_topk": op6_pivot_topk,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_source_mix": op9_source_mix,
     "op10_line_quality": op10_line_quality,
 }
 
 ORACLES = {
+    "op2_warc": OP2_SQL,
+    "op6_pivot_topk": OP6_SQL,
     "op5_url_filter": OP5_SQL,
     "op10_line_quality": OP10_SQL,
 }
