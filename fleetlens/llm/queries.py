@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetlens.llm import bpe, line_quality, mixing, pivot_topk, secret_scan, url_filter, warc
-from fleetlens.llm.common import table, tuned
+from fleetlens.llm import bpe, language_id, lattice_lm, line_quality, mixing, pivot_topk, secret_scan, url_filter, warc
+from fleetlens.llm.common import id_remainder, table, tuned
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
 URL_POLICY = url_filter.Policy(
     rules=(
         url_filter.Rule("allow", "com"),
@@ -21,6 +24,14 @@ URL_POLICY = url_filter.Policy(
 )
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tuned(spark), sf_dir, "documents")
+    held_out = id_remainder(F.col("doc_id"), 4) == 2
+    model = language_id.fit(docs.where(~held_out).select("text", "lang"), PIECES)
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return language_id.predict(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(tuned(spark), sf_dir, "pages").select("page_id", "url", "html")
     return warc.report(warc.read(spark, warc.write(pages), payloads=False))
@@ -33,6 +44,15 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(docs, ratios, settings))
 
 
+def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tuned(spark), sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder(F.col("doc_id"), 7) == 2
+    model = lattice_lm.fit(docs.where(~held_out), PIECES)
+    return lattice_lm.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(tuned(spark), sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, URL_POLICY).select("page_id", "host", "path", "rule", "verdict")
@@ -174,8 +194,10 @@ FROM scored QUALIFY rank <= 5
 """
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_warc": op2_warc,
     "op3_secret_scan": op3_secret_scan,
+    "op4_lattice_lm": op4_lattice_lm,
     "op5_url_filter": op5_url_filter,
     "op6_pivot_topk": op6_pivot_topk,
     "op8_byte_bpe": op8_byte_bpe,
