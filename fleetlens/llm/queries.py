@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import bpe, language_id, lattice_lm, line_quality, mixing, pivot_topk, secret_scan, url_filter, warc
+from fleetlens.llm import bpe, language_id, lattice_lm, line_quality, mixing, ngram_join, pivot_topk, secret_scan, url_filter, warc
 from fleetlens.llm.common import id_remainder, table, tuned
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -63,6 +63,11 @@ def op6_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_topk.top_k(vectors, lambda vec_id: vec_id % 50 == 0)
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tuned(spark), sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.join(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(tuned(spark), sf_dir, "documents").select("doc_id", "text")
     pattern = public_tokenizers.PATTERN
@@ -200,6 +205,7 @@ QUERIES = {
     "op4_lattice_lm": op4_lattice_lm,
     "op5_url_filter": op5_url_filter,
     "op6_pivot_topk": op6_pivot_topk,
+    "op7_ngram_join": op7_ngram_join,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_source_mix": op9_source_mix,
     "op10_line_quality": op10_line_quality,
