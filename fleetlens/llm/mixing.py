@@ -154,6 +154,7 @@ def packed(rows: DataFrame, plan: Plan) -> DataFrame:
         .select(
             "row_id",
             "mix_source",
+            "size",
             "block",
             (F.greatest(F.col("block") * n, "first") - F.col("first")).alias("from_word"),
             (
