@@ -40,7 +40,7 @@ class Settings:
     in_all: float = 15.0
     pseudo: float = 0.5
     # Documents, at most about so many, whose words are samples of ordinary identifiers.
-    sample_docs: int = 4_000
+    sample_docs: int = 1_000
 
     @property
     def candidates(self) -> str:
