@@ -6,9 +6,15 @@ rare ones, then the frequent ones, each by hash. The frequent class is the at mo
 
 Two sets that link share their first common token within their prefixes (length n - ceil(75 %
 of n) + 1). If the prefix of a set is all rare, only its tokens are indexed, one by one. Else
-the prefix is extended by one token; linked sets then share two tokens of their extended
-prefixes: a rare one, which is indexed alone, or two frequent ones, which are indexed as a
-combination. All candidates that can link are among the sets that meet under one key.
+the prefix is extended by c tokens; linked sets then share c + 1 tokens of their extended
+prefixes: a rare one, which is indexed alone, or only frequent ones. Frequent tokens fall into
+c classes by hash, so two of the shared ones are in one class: combinations of two tokens of
+a class are indexed. c is about an eighth to a quarter of the size of the set, the same for
+all sets of a band of sizes, which makes the combinations about as many as the tokens. All
+candidates that can link are among the sets that meet under one key.
+
+Candidates carry a sketch, the parities of 1,024 hash buckets of their tokens. Buckets that
+differ bound the tokens that differ from below, which rules out most candidates exactly.
 
 Dense groups are not expanded into pairs. Each set is first verified against two of its
 candidate partners, chosen by a hash that all members of a group agree on; the links make
@@ -39,6 +45,7 @@ from fleetlens.llm.common import written
 
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+SKETCH_BITS = 1024
 
 
 @dataclass(frozen=True)
@@ -58,6 +65,18 @@ class Settings:
         return -(-self.percent * n // 100)
 
 
+def band_of(n: int) -> int:
+    return n.bit_length() - 1
+
+
+def classes_of(band: int) -> int:
+    """The classes of frequent tokens for sets of 2^band tokens and more.
+
+    One more than these is no more than the overlap that a link between such sets needs.
+    """
+    return max(1, (1 << band) // 4)
+
+
 class WordHashes(dict):
     """Hash by word; emptied when it holds too many."""
 
@@ -96,8 +115,14 @@ def linked(a: np.ndarray, b: np.ndarray, settings: Settings) -> bool:
     return 100 * common >= settings.percent * (len(a) + len(b) - common)
 
 
+def sketch_of(tokens: np.ndarray) -> np.ndarray:
+    """Parities of hash buckets, 64 in a number."""
+    odd = np.bincount((tokens % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
 def shingle_sets(docs: DataFrame, settings: Settings, text: str, key: str) -> DataFrame:
-    """(key, row_hash, set_id, n) for each row, written; set_id is null for the empty set."""
+    """(key, row_hash, set_id, n, sketch) for each row, written; set_id is null for the empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -105,12 +130,14 @@ def shingle_sets(docs: DataFrame, settings: Settings, text: str, key: str) -> Da
             sets = [tokens_of(t.as_py(), hashes, settings) for t in batch.column(2)]
             names = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
             sizes = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.record_batch([batch.column(0), batch.column(1), names, sizes], names=["key", *OUT])
+            sketches = pa.array([sketch_of(s) for s in sets], pa.list_(pa.int64()))
+            columns = [batch.column(0), batch.column(1), names, sizes, sketches]
+            yield pa.record_batch(columns, names=["key", "row_hash", "set_id", "n", "sketch"])
 
-    OUT = ["row_hash", "set_id", "n"]
     rows = docs.select(F.col(key).alias("key"), row_hash(key, text), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    return written(rows.mapInArrow(run, f"key {kind}, row_hash long, set_id long, n long"), "shingle-sets")
+    schema = f"key {kind}, row_hash long, set_id long, n long, sketch array<bigint>"
+    return written(rows.mapInArrow(run, schema), "shingle-sets")
 
 
 def row_hash(key: str, text: str) -> Column:
@@ -196,7 +223,7 @@ def indexed_tokens(tokens: np.ndarray, common: np.ndarray, settings: Settings) -
     prefix = n - settings.overlap(n) + 1
     if len(rare) >= prefix:
         return rare[:prefix], tokens[:0]
-    return rare, tokens[common][: prefix + 1 - len(rare)]
+    return rare, tokens[common][: prefix + classes_of(band_of(n)) - len(rare)]
 
 
 def meetings(docs: DataFrame, tokens: int, settings: Settings, text: str) -> DataFrame:
@@ -253,7 +280,7 @@ def meetings(docs: DataFrame, tokens: int, settings: Settings, text: str) -> Dat
             if kind == 1:
                 out.append(pd.DataFrame({"kind": 1, "a": values.view("<i8"), "b": names, "n": sizes}))
             else:
-                a, b = pairs_within(values, names, sizes, settings)
+                a, b = pairs_within(values, names, sizes, names, settings)
                 out.append(pd.DataFrame({"kind": 0, "a": a, "b": b, "n": 0}))
         return pd.concat(out)
 
@@ -262,25 +289,50 @@ def meetings(docs: DataFrame, tokens: int, settings: Settings, text: str) -> Dat
     return written(met, "meetings")
 
 
-def pairs_within(values: np.ndarray, names: np.ndarray, sizes: np.ndarray, settings: Settings):
-    """Distinct pairs (a < b) of sets that share a value and whose sizes allow a link."""
+def pairs_within(values: np.ndarray, names: np.ndarray, sizes: np.ndarray, groups: np.ndarray, settings: Settings):
+    """Distinct pairs (a < b) of sets that share a value, of sizes that allow a link and different groups.
+
+    The pairs of neighbours first, then those of second neighbours and so on, each time made
+    distinct, so that sets which share many values are held once.
+    """
     order = np.lexsort((names, values))
-    values, names, sizes = values[order], names[order], sizes[order].astype(np.int64)
+    values, names, sizes, groups = values[order], names[order], sizes[order].astype(np.int64), groups[order]
     fresh = np.ones(len(values), dtype=bool)
     fresh[1:] = (values[1:] != values[:-1]) | (names[1:] != names[:-1])
-    values, names, sizes = values[fresh], names[fresh], sizes[fresh]
-    found, at, apart = [], np.arange(len(values)), 1
+    values, names, sizes, groups = values[fresh], names[fresh], sizes[fresh], groups[fresh]
+    found, at, apart = [np.zeros((2, 0), dtype=np.int64)], np.arange(len(values)), 1
     while True:
         at = at[at + apart < len(values)]
         at = at[values[at] == values[at + apart]]
         if not len(at):
             break
         small, large = np.minimum(sizes[at], sizes[at + apart]), np.maximum(sizes[at], sizes[at + apart])
-        fits = at[100 * small >= settings.percent * large]
-        found.append(np.stack([names[fits], names[fits + apart]]))
+        fits = at[(100 * small >= settings.percent * large) & (groups[at] != groups[at + apart])]
+        found.append(distinct_pairs(names[fits], names[fits + apart]))
+        if len(found) > 64:
+            found = [distinct_pairs(*np.concatenate(found, axis=1))]
         apart += 1
-    both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), dtype=np.int64)
-    return both
+    return distinct_pairs(*np.concatenate(found, axis=1))
+
+
+def distinct_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    fresh = np.ones(len(a), dtype=bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return np.stack([a[fresh], b[fresh]])
+
+
+def plausible(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) that their sizes and sketches do not rule out."""
+    one = sets.select(F.col("set").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    two = sets.select(F.col("set").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    apart = F.aggregate(
+        F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
+    )
+    can = (100 + settings.percent) * apart <= (100 - settings.percent) * (F.col("na") + F.col("nb"))
+    fits = 100 * F.least("na", "nb") >= settings.percent * F.greatest("na", "nb")
+    return pairs.join(one, "a").join(two, "b").where(fits & can).select("a", "b")
 
 
 def undirected(pairs: DataFrame) -> DataFrame:
@@ -363,26 +415,74 @@ def with_component(df: DataFrame, labels: DataFrame, column: str, name: str) ->
     return df.join(own, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def left_over(pairs: DataFrame, common: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """Candidates in different components: those under rare tokens, and under combinations of frequent ones."""
-    rare = with_component(with_component(pairs, labels, "a", "ca"), labels, "b", "cb").where("ca <> cb").select("a", "b")
+def combinations(tokens: np.ndarray, n: int, settings: Settings) -> np.ndarray:
+    """Hashes of the combinations of two frequent tokens of a class, for the bands of the smaller set of a pair."""
+    out = []
+    for band in range(band_of(max(1, settings.overlap(n))), band_of(n) + 1):
+        kinds = (tokens >> np.uint64(20)) % np.uint64(classes_of(band))
+        order = np.lexsort((tokens, kinds))
+        kinds, own = kinds[order], tokens[order]
+        at, apart = np.arange(len(own)), 1
+        while True:
+            at = at[at + apart < len(own)]
+            at = at[kinds[at] == kinds[at + apart]]
+            if not len(at):
+                break
+            mixed = (own[at] * FACTOR + own[at + apart]) * FACTOR + np.uint64(band + 1)
+            out.append((mixed ^ (mixed >> np.uint64(31))) * STEP)
+            apart += 1
+    return np.concatenate(out) if out else tokens[:0]
+
+
+def met_by_combinations(common: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """Distinct pairs of sets of different components that share a combination of frequent tokens."""
     placed = with_component(common, labels, "set", "component")
+    spread = placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
+    open_tokens = placed.join(spread.where("c1 <> c2").select("token"), "token")
+    sets = open_tokens.groupBy("set", "n", "component").agg(F.collect_list("token").alias("tokens"))
+    bits = bits_for(2 * common.count(), settings)
+    high = np.uint64(64 - bits)
+    names = ["part", "values", "sets", "sizes", "components"]
 
-    def mixed(df: DataFrame, *keys: str) -> DataFrame:
-        spread = df.groupBy(*keys).agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
-        return spread.where("c1 <> c2").select(*keys)
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for name, n, component, tokens in zip(*(batch.column(i) for i in range(4))):
+                own = tokens.values.to_numpy().view(np.uint64)
+                held.append((combinations(own, n.as_py(), settings), name.as_py(), n.as_py(), component.as_py()))
+                size += len(held[-1][0])
+                if size > settings.flush_tokens:
+                    yield parts(held)
+                    held, size = [], 0
+        if size:
+            yield parts(held)
 
-    open_tokens = placed.join(mixed(placed, "token"), "token")
-    sets = open_tokens.groupBy("set", "n", "component").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    combined = sets.select(
-        "set", "n", "component", F.posexplode("tokens").alias("at", "one"), "tokens"
-    ).select("set", "n", "component", "one", F.explode(F.slice("tokens", F.col("at") + 2, F.size("tokens"))).alias("two"))
-    combined = written(combined, "combinations")
-    met = combined.join(mixed(combined, "one", "two"), ["one", "two"])
-    other = met.withColumnsRenamed({"set": "b", "n": "nb", "component": "cb"})
-    fits = 100 * F.least("n", "nb") >= settings.percent * F.greatest("n", "nb")
-    frequent = met.withColumnRenamed("set", "a").join(other, ["one", "two"]).where(fits & F.expr("component <> cb AND a < b"))
-    return rare.unionByName(frequent.select("a", "b")).distinct()
+    def parts(held: list[tuple]) -> pa.RecordBatch:
+        many = [len(h[0]) for h in held]
+        values = np.concatenate([h[0] for h in held])
+        columns = [np.repeat(np.array([h[i] for h in held], dtype="<i8"), many) for i in (1, 2, 3)]
+        part = (values >> high).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        rows = [(g, *c) for g, c in by_group(part[order], values[order], *(c[order] for c in columns))]
+        kinds = (pa.int32(), *[pa.binary()] * 4)
+        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        values = np.concatenate([np.frombuffer(x, "<u8") for x in rows["values"]])
+        columns = [np.concatenate([np.frombuffer(x, "<i8") for x in rows[c]]) for c in names[2:]]
+        a, b = pairs_within(values, *columns, settings)
+        return pd.DataFrame({"a": a, "b": b})
+
+    schema = "part int, values binary, sets binary, sizes binary, components binary"
+    indexed = sets.select("set", "n", "component", "tokens").mapInArrow(index, schema)
+    return indexed.groupBy("part").applyInPandas(meet, "a long, b long").distinct()
+
+
+def left_over(pairs: DataFrame, common: DataFrame, sets: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """Candidates in different components that are not yet ruled out."""
+    rare = with_component(with_component(pairs, labels, "a", "ca"), labels, "b", "cb").where("ca <> cb").select("a", "b")
+    frequent = plausible(met_by_combinations(common, labels, settings), sets, settings)
+    return rare.unionByName(frequent).distinct()
 
 
 def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -390,12 +490,16 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
     rows = shingle_sets(docs, settings, text, key)
     tokens = rows.agg(F.sum("n")).first()[0] or 0
     met = meetings(docs, tokens, settings, text)
-    pairs = written(met.where("kind = 0").select("a", "b").distinct(), "pairs")
+    reps = (
+        rows.where("n > 0")
+        .groupBy(F.col("set_id").alias("set"), "n")
+        .agg(F.min("row_hash").alias("row_hash"), F.min("key").alias("least"), F.first("sketch").alias("sketch"))
+    )
+    reps = written(reps, "representatives")
+    pairs = written(plausible(met.where("kind = 0").select("a", "b").distinct(), reps, settings), "pairs")
     common = written(
         met.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("set"), "n").distinct(), "common"
     )
-    reps = rows.where("n > 0").groupBy("set_id").agg(F.min("row_hash").alias("row_hash"), F.min("key").alias("least"))
-    reps = written(reps.withColumnRenamed("set_id", "set"), "representatives")
     met_sets = pairs.select(F.explode(F.array("a", "b")).alias("set")).unionByName(common.select("set")).distinct()
     needed = written(met_sets.join(reps, "set").select("set", "row_hash"), "needed")
     own = docs.select(row_hash(key, text), F.col(text).alias("text"))
@@ -403,9 +507,9 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
 
     links = verified(partners(pairs, common), texts, settings)
     labels = components(links)
-    rest = written(left_over(pairs, common, labels, settings), "rest").withColumnsRenamed({"a": "center", "b": "member"})
+    rest = written(left_over(pairs, common, reps, labels, settings), "rest")
     if rest.limit(1).count():
-        links = links.unionByName(verified(rest, texts, settings))
+        links = links.unionByName(verified(rest.select(F.col("a").alias("center"), F.col("b").alias("member")), texts, settings))
         labels = components(links)
     smallest = (
         with_component(reps.select("set", "least"), labels, "set", "component")
