@@ -18,8 +18,9 @@ differ bound the tokens that differ from below, which rules out most candidates
 
 Dense groups are not expanded into pairs. Each set is first verified against two of its
 candidate partners, chosen by a hash that all members of a group agree on; the links make
-components. After that only candidates from different components are left to verify, and
-frequent tokens whose sets are all in one component need no combinations.
+components. After that only candidates from different components are left to verify, again
+by partners first, and frequent tokens whose sets are all in one component need no
+combinations.
 
 Sets are compared by their whole texts, gathered by pair. Equal sets are one set from the
 start. Token and set hashes have 64 bits, a set is named by its hash and size.
@@ -59,6 +60,7 @@ class Settings:
     group_tokens: int = 1_000_000
     flush_tokens: int = 1_000_000
     members: int = 256
+    rounds: int = 4
 
     def overlap(self, n: int) -> int:
         """The least number of common tokens of a set of n with any set that it links with."""
@@ -289,11 +291,20 @@ def meetings(docs: DataFrame, tokens: int, settings: Settings, text: str) -> Dat
     return written(met, "meetings")
 
 
-def pairs_within(values: np.ndarray, names: np.ndarray, sizes: np.ndarray, groups: np.ndarray, settings: Settings):
+def pairs_within(
+    values: np.ndarray,
+    names: np.ndarray,
+    sizes: np.ndarray,
+    groups: np.ndarray,
+    settings: Settings,
+    known: np.ndarray | None = None,
+    sketches: np.ndarray | None = None,
+) -> np.ndarray:
     """Distinct pairs (a < b) of sets that share a value, of sizes that allow a link and different groups.
 
     The pairs of neighbours first, then those of second neighbours and so on, each time made
-    distinct, so that sets which share many values are held once.
+    distinct, so that sets which share many values are held once. With ``known`` (ascending
+    names) and their ``sketches``, pairs that these rule out are left out.
     """
     order = np.lexsort((names, values))
     values, names, sizes, groups = values[order], names[order], sizes[order].astype(np.int64), groups[order]
@@ -308,19 +319,31 @@ def pairs_within(values: np.ndarray, names: np.ndarray, sizes: np.ndarray, group
             break
         small, large = np.minimum(sizes[at], sizes[at + apart]), np.maximum(sizes[at], sizes[at + apart])
         fits = at[(100 * small >= settings.percent * large) & (groups[at] != groups[at + apart])]
-        found.append(distinct_pairs(names[fits], names[fits + apart]))
+        fits = fits[first_of_pairs(names[fits], names[fits + apart])]
+        if known is not None and len(fits):
+            one, two = (np.searchsorted(known, names[i]) for i in (fits, fits + apart))
+            differ = np.bitwise_count(sketches[one] ^ sketches[two]).sum(1, dtype=np.int64)
+            can = (100 + settings.percent) * differ <= (100 - settings.percent) * (sizes[fits] + sizes[fits + apart])
+            fits = fits[can]
+        found.append(np.stack([names[fits], names[fits + apart]]))
         if len(found) > 64:
             found = [distinct_pairs(*np.concatenate(found, axis=1))]
         apart += 1
     return distinct_pairs(*np.concatenate(found, axis=1))
 
 
-def distinct_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def first_of_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One place for each distinct pair, ascending by pair."""
     order = np.lexsort((b, a))
     a, b = a[order], b[order]
     fresh = np.ones(len(a), dtype=bool)
     fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return np.stack([a[fresh], b[fresh]])
+    return order[fresh]
+
+
+def distinct_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    places = first_of_pairs(a, b)
+    return np.stack([a[places], b[places]])
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
@@ -345,19 +368,23 @@ def undirected(pairs: DataFrame) -> DataFrame:
     return once.select("center", other.alias("member"))
 
 
-def partners(pairs: DataFrame, common: DataFrame) -> DataFrame:
-    """For each set two of its candidate partners: those with the least hashes, of two hashes."""
+def partners(pairs: DataFrame, common: DataFrame | None, turn: int) -> DataFrame:
+    """(center, member): for each set two of its candidates, those with the least hashes, of two hashes of the turn."""
 
     def least(column: str, seed: int) -> Column:
-        return F.min(F.struct(F.xxhash64(F.lit(seed), column).alias("hash"), F.col(column).alias("set"))).alias(f"c{seed}")
+        hashed = F.xxhash64(F.lit(2 * turn + seed), column).alias("hash")
+        return F.min(F.struct(hashed, F.col(column).alias("set"))).alias(f"c{seed}")
 
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    direct = both.groupBy("a").agg(least("b", 1), least("b", 2)).select(F.col("a").alias("member"), "c1", "c2")
-    centers = common.groupBy("token").agg(least("set", 1), least("set", 2))
-    shared = common.join(centers, "token").groupBy(F.col("set").alias("member")).agg(
-        F.min("c1").alias("c1"), F.min("c2").alias("c2")
-    )
-    chosen = direct.unionByName(shared).groupBy("member").agg(F.min("c1").alias("c1"), F.min("c2").alias("c2"))
+    chosen = both.groupBy("a").agg(least("b", 1), least("b", 2)).select(F.col("a").alias("member"), "c1", "c2")
+    if common is not None:
+        centers = common.groupBy("token").agg(least("set", 1), least("set", 2))
+        shared = common.select("set", "token").join(centers, "token").groupBy(F.col("set").alias("member"))
+        chosen = (
+            chosen.unionByName(shared.agg(F.min("c1").alias("c1"), F.min("c2").alias("c2")))
+            .groupBy("member")
+            .agg(F.min("c1").alias("c1"), F.min("c2").alias("c2"))
+        )
     return undirected(chosen.select(F.explode(F.array("c1.set", "c2.set")).alias("center"), "member"))
 
 
@@ -434,23 +461,27 @@ def combinations(tokens: np.ndarray, n: int, settings: Settings) -> np.ndarray:
     return np.concatenate(out) if out else tokens[:0]
 
 
-def met_by_combinations(common: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """Distinct pairs of sets of different components that share a combination of frequent tokens."""
+def met_by_combinations(common: DataFrame, sets: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """Distinct pairs of sets of different components that share a combination of frequent tokens.
+
+    Pairs are ruled out by their sketches where they meet, before they become rows.
+    """
     placed = with_component(common, labels, "set", "component")
     spread = placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
     open_tokens = placed.join(spread.where("c1 <> c2").select("token"), "token")
-    sets = open_tokens.groupBy("set", "n", "component").agg(F.collect_list("token").alias("tokens"))
-    bits = bits_for(2 * common.count(), settings)
+    grouped = open_tokens.groupBy("set", "component").agg(F.collect_list("token").alias("tokens"))
+    owners = grouped.join(sets.select("set", "n", "sketch"), "set")
+    bits = max(3, int(2 * common.count() // settings.group_tokens).bit_length())
     high = np.uint64(64 - bits)
-    names = ["part", "values", "sets", "sizes", "components"]
+    names = ["part", "values", "sets", "sizes", "components", "sketches"]
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for name, n, component, tokens in zip(*(batch.column(i) for i in range(4))):
-                own = tokens.values.to_numpy().view(np.uint64)
-                held.append((combinations(own, n.as_py(), settings), name.as_py(), n.as_py(), component.as_py()))
-                size += len(held[-1][0])
+            for name, n, component, tokens, sketch in zip(*(batch.column(i) for i in range(5))):
+                own = combinations(tokens.values.to_numpy().view(np.uint64), n.as_py(), settings)
+                held.append((own, name.as_py(), n.as_py(), component.as_py(), sketch.values.to_numpy()))
+                size += len(own)
                 if size > settings.flush_tokens:
                     yield parts(held)
                     held, size = [], 0
@@ -458,31 +489,66 @@ def met_by_combinations(common: DataFrame, labels: DataFrame, settings: Settings
             yield parts(held)
 
     def parts(held: list[tuple]) -> pa.RecordBatch:
-        many = [len(h[0]) for h in held]
+        owner = np.repeat(np.arange(len(held)), [len(h[0]) for h in held])
         values = np.concatenate([h[0] for h in held])
-        columns = [np.repeat(np.array([h[i] for h in held], dtype="<i8"), many) for i in (1, 2, 3)]
+        facts = [np.array([h[i] for h in held], dtype="<i8") for i in (1, 2, 3)]
+        sketches = np.stack([h[4] for h in held])
         part = (values >> high).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        rows = [(g, *c) for g, c in by_group(part[order], values[order], *(c[order] for c in columns))]
-        kinds = (pa.int32(), *[pa.binary()] * 4)
+        columns = [values[order], *(f[owner[order]] for f in facts)]
+        rows = [(g, *c, None) for g, c in by_group(part[order], *columns)]
+        for g in range(1 << bits):  # the sketch of a set once for every part that it is in
+            present = np.unique(owner[part == g])
+            if len(present):
+                rows.append((g, None, facts[0][present].tobytes(), None, None, sketches[present].tobytes()))
+        kinds = (pa.int32(), *[pa.binary()] * 5)
         return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        values = np.concatenate([np.frombuffer(x, "<u8") for x in rows["values"]])
-        columns = [np.concatenate([np.frombuffer(x, "<i8") for x in rows[c]]) for c in names[2:]]
-        a, b = pairs_within(values, *columns, settings)
+        has_sketch = rows["sketches"].notna()
+        own, facts = rows[~has_sketch], rows[has_sketch]
+
+        def joined(some: pd.Series, kind: str) -> np.ndarray:
+            return np.concatenate([np.frombuffer(x, kind) for x in some])
+
+        known, firsts = np.unique(joined(facts["sets"], "<i8"), return_index=True)
+        sketches = joined(facts["sketches"], "<u8").reshape(-1, SKETCH_BITS // 64)[firsts]
+        columns = [joined(own[c], "<i8") for c in names[2:5]]
+        a, b = pairs_within(joined(own["values"], "<u8"), *columns, settings, known, sketches)
         return pd.DataFrame({"a": a, "b": b})
 
-    schema = "part int, values binary, sets binary, sizes binary, components binary"
-    indexed = sets.select("set", "n", "component", "tokens").mapInArrow(index, schema)
+    schema = "part int, values binary, sets binary, sizes binary, components binary, sketches binary"
+    indexed = owners.select("set", "n", "component", "tokens", "sketch").mapInArrow(index, schema)
     return indexed.groupBy("part").applyInPandas(meet, "a long, b long").distinct()
 
 
-def left_over(pairs: DataFrame, common: DataFrame, sets: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """Candidates in different components that are not yet ruled out."""
-    rare = with_component(with_component(pairs, labels, "a", "ca"), labels, "b", "cb").where("ca <> cb").select("a", "b")
-    frequent = plausible(met_by_combinations(common, labels, settings), sets, settings)
-    return rare.unionByName(frequent).distinct()
+def apart_pairs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are in different components."""
+    placed = with_component(with_component(pairs, labels, "a", "ca"), labels, "b", "cb")
+    return placed.where("ca <> cb").select("a", "b")
+
+
+def all_links(pairs: DataFrame, common: DataFrame, sets: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """(set, component): verify two partners of each set at a time, until no candidates are apart.
+
+    After ``rounds`` of these, whatever is still apart is verified at once.
+    """
+    links = verified(partners(pairs, common, 0), texts, settings)
+    labels = components(links)
+    rest = apart_pairs(pairs, labels).unionByName(met_by_combinations(common, sets, labels, settings))
+    rest = written(rest.distinct(), "rest")
+    for turn in range(1, settings.rounds + 1):
+        if not rest.limit(1).count():
+            break
+        chosen = rest.select(F.col("a").alias("center"), F.col("b").alias("member"))
+        if turn < settings.rounds:
+            chosen = written(partners(rest, None, turn), "chosen")
+        links = links.unionByName(verified(chosen, texts, settings))
+        labels = components(links)
+        if turn < settings.rounds:
+            done = chosen.select(F.least("center", "member").alias("a"), F.greatest("center", "member").alias("b"))
+            rest = written(apart_pairs(rest.join(done, ["a", "b"], "left_anti"), labels), "rest")
+    return labels
 
 
 def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -505,12 +571,7 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
     own = docs.select(row_hash(key, text), F.col(text).alias("text"))
     texts = written(needed.join(own, "row_hash").select("set", "text"), "texts")
 
-    links = verified(partners(pairs, common), texts, settings)
-    labels = components(links)
-    rest = written(left_over(pairs, common, reps, labels, settings), "rest")
-    if rest.limit(1).count():
-        links = links.unionByName(verified(rest.select(F.col("a").alias("center"), F.col("b").alias("member")), texts, settings))
-        labels = components(links)
+    labels = all_links(pairs, common, reps, texts, settings)
     smallest = (
         with_component(reps.select("set", "least"), labels, "set", "component")
         .groupBy("component")
