@@ -113,7 +113,9 @@ def draw(sources: DataFrame, plan: Plan) -> DataFrame:
     chunks = sources.where("slots > 0").withColumn(
         "from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(CHUNK).cast("long")))
     )
-    chunks = chunks.repartition("mix_source", "from")
+    # As many partitions as chunks: a chunk's row is tiny, the slots that it becomes are not.
+    total = sources.agg(F.max("all_slots")).first()[0] or 0
+    chunks = chunks.repartition(min(10_000, 1 + total // CHUNK), "mix_source", "from")
     slots = chunks.withColumn(
         "slot", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + CHUNK, F.col("slots")) - 1))
     )
@@ -146,7 +148,7 @@ def packed(rows: DataFrame, plan: Plan) -> DataFrame:
     first = F.col("before") + F.col("offset")
     n = plan.block_words
     return (
-        local.join(offsets, same)
+        local.join(offsets.hint("merge"), same)
         .select("row_id", "mix_source", "size", first.alias("first"))
         .withColumn(
             "block", F.explode(F.sequence(F.floor(F.col("first") / n), F.floor((F.col("first") + F.col("size") - 1) / n)))
