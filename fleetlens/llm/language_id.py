@@ -83,12 +83,23 @@ def _improved(words: DataFrame, model_file: str, languages: tuple[str, ...], sco
     def expect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab = lattice.vocabulary(model_file)
         counts = np.zeros_like(scores)
+        held: dict[str, list] = {lang: [] for lang in languages}
+        sizes = Counter()
+
+        def add(lang: str) -> None:
+            at = languages.index(lang)
+            for words, n in lattice.gathered(held[lang]):
+                counts[:, at] += lattice.Batch(vocab, words).expected_counts(scores[:, at], np.array(n, dtype=float))
+            held[lang], sizes[lang] = [], 0
+
         for batch in batches:
             for lang, rows in batch.groupby("lang"):
-                at, own = languages.index(lang), list(rows["word"])
-                weights = rows["n"].to_numpy(dtype=float)
-                for a, b in lattice.batches(own):
-                    counts[:, at] += lattice.Batch(vocab, own[a:b]).expected_counts(scores[:, at], weights[a:b])
+                held[lang].append((list(rows["word"]), list(rows["n"])))
+                sizes[lang] += int(rows["word"].str.len().sum())
+                if sizes[lang] > lattice.BATCH_BYTES:
+                    add(lang)
+        for lang in languages:
+            add(lang)
         piece, at = np.nonzero(counts)
         yield pd.DataFrame({"at": at, "piece": piece, "n": counts[piece, at]})
 

@@ -205,6 +205,21 @@ def batches(words: list[bytes]):
         yield first, len(words)
 
 
+def gathered(rows):
+    """Word and weight lists of about ``BATCH_BYTES`` bytes from shorter ones."""
+    words, weights, held = [], [], 0
+    for more, n in rows:
+        for a, b in batches(more):
+            words += more[a:b]
+            weights += n[a:b]
+            held += sum(map(len, more[a:b])) + b - a
+            if held >= BATCH_BYTES:
+                yield words, weights
+                words, weights, held = [], [], 0
+    if words:
+        yield words, weights
+
+
 def word_scores(vocab: Vocabulary, words: list[bytes], scores: np.ndarray) -> np.ndarray:
     parts = [Batch(vocab, words[a:b]).log_probabilities(scores) for a, b in batches(words)]
     return np.concatenate(parts) if parts else np.zeros((0, scores.shape[1]))

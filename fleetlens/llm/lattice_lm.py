@@ -113,10 +113,9 @@ def piece_scores(counts: DataFrame, model_file: str, settings: Settings) -> np.n
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = lattice.vocabulary(model_file)
         start, total = lattice.prior(vocab), np.zeros(vocab.size)
-        for batch in batches:
-            words, n = batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float)
-            for a, b in lattice.batches(words):
-                total += lattice.Batch(vocab, words[a:b]).expected_counts(start, n[a:b])
+        rows = ((b.column(0).to_pylist(), b.column(1).to_pylist()) for b in batches)
+        for words, n in lattice.gathered(rows):
+            total += lattice.Batch(vocab, words).expected_counts(start, np.array(n, dtype=float))
         piece = np.flatnonzero(total)
         yield pa.record_batch([pa.array(piece, pa.int32()), pa.array(total[piece])], names=["piece", "n"])
 
