@@ -522,6 +522,26 @@ def met_by_combinations(common: DataFrame, sets: DataFrame, labels: DataFrame, s
     return indexed.groupBy("part").applyInPandas(meet, "a long, b long").distinct()
 
 
+def plausible_partners(common: DataFrame, labels: DataFrame, sets: DataFrame, turn: int, settings: Settings) -> DataFrame:
+    """(center, member): for each set the set of another component that most of its frequent tokens agree on.
+
+    A token names, of the sets that hold it, the one whose component has the least hash of
+    the turn, and of this component the least set; a set takes the least of what its tokens name.
+    """
+    placed = with_component(common, labels, "set", "component")
+    rank = F.struct(F.xxhash64(F.lit(turn), "component").alias("hash"), "component", F.col("set").alias("center"))
+    named = placed.groupBy("token").agg(F.min(rank).alias("named"))
+    chosen = (
+        placed.join(named, "token")
+        .where("component <> named.component")
+        .groupBy("set")
+        .agg(F.min("named").alias("named"))
+        .select(F.col("named.center").alias("a"), F.col("set").alias("b"))
+    )
+    fits = plausible(chosen, sets, settings)
+    return written(fits.select(F.col("a").alias("center"), F.col("b").alias("member")), "chosen")
+
+
 def apart_pairs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs (a, b) that are in different components."""
     placed = with_component(with_component(pairs, labels, "a", "ca"), labels, "b", "cb")
@@ -529,12 +549,20 @@ def apart_pairs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def all_links(pairs: DataFrame, common: DataFrame, sets: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """(set, component): verify two partners of each set at a time, until no candidates are apart.
+    """(set, component): verify partners of each set, a few at a time, until no candidates are apart.
 
-    After ``rounds`` of these, whatever is still apart is verified at once.
+    Sets with frequent tokens first agree on partners over some rounds, so that dense groups
+    are few components when combinations are indexed. What candidates are then apart is
+    verified by partners again, and after ``rounds`` all that is left at once.
     """
     links = verified(partners(pairs, common, 0), texts, settings)
     labels = components(links)
+    for turn in range(1, settings.rounds):
+        near = plausible_partners(common, labels, sets, turn, settings)
+        if not near.limit(1).count():
+            break
+        links = links.unionByName(verified(near, texts, settings))
+        labels = components(links)
     rest = apart_pairs(pairs, labels).unionByName(met_by_combinations(common, sets, labels, settings))
     rest = written(rest.distinct(), "rest")
     for turn in range(1, settings.rounds + 1):
