@@ -74,7 +74,7 @@ def fit(labelled: DataFrame, model_file: str, settings: Settings = Settings(), *
     languages = tuple(sorted(r.lang for r in words.select("lang").distinct().collect()))
     vocab = lattice.vocabulary(model_file)
     scores = np.repeat(lattice.prior(vocab)[:, None], len(languages), axis=1)
-    for _ in range(settings.turns):
+    for _ in range(settings.turns if languages else 0):
         scores = _improved(words, model_file, languages, scores, settings)
     return Model(model_file, languages, scores)
 
