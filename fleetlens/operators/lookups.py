@@ -18,13 +18,15 @@ def resolve_user(
 ) -> DataFrame:
     """User of a record: a named field, else the account of its uid on that host.
 
+    An account table may name a uid twice; the first name in order counts.
+
     Hot ``(host, uid)`` pairs are split by AQE, and a measured-small account table is
     broadcast. Rows that have a name keep their uid in the join, so that they do not all
     meet in one null key.
     """
-    uid = F.when(uid_text.rlike(r"^[+-]?[0-9]+$"), uid_text.try_cast("int"))
-    accounts = users.select(
-        "host_id", F.col("uid").alias("__uid"), F.col("username").alias("__username")
+    uid = F.when(uid_text.rlike(r"^[+-]?[0-9]+$"), uid_text.try_cast("bigint"))
+    accounts = users.groupBy("host_id", F.col("uid").cast("bigint").alias("__uid")).agg(
+        F.min("username").alias("__username")
     )
     return (
         df.withColumn("__named", first_named(*named))

@@ -118,12 +118,13 @@ def log_tags(base: Column, hostname: Column, product: str = "fleetlens") -> Colu
 
 
 def attach_meta(df: DataFrame, meta: DataFrame, on: tuple[str, ...] = ("host_id",)) -> DataFrame:
-    """Left join of the metadata table as a ``meta`` struct.
+    """Left join of the metadata table as a ``meta`` struct; one row of a host counts.
 
     No broadcast hint: the table grows with the fleet, and AQE broadcasts it once it
     has measured it to be small, or splits skewed hosts of a sort-merge join otherwise.
     """
-    packed = meta.select(*on, F.struct(*[F.col(c) for c in meta.columns]).alias("meta"))
+    one = meta.dropDuplicates(list(on))
+    packed = one.select(*on, F.struct(*[F.col(c) for c in meta.columns]).alias("meta"))
     return df.join(packed, list(on), "left")
 
 

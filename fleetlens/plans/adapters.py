@@ -20,16 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a part of a table that sits in fewer splits than there are cores.
-
-    For the parse and explode jobs, whose work per row is large. A table with enough
-    splits, which is any table of a size to need a cluster, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def with_instant(df: DataFrame) -> DataFrame:
     """Zone-less ``ts`` of a table as ``us`` and as an instant."""
     return df.withColumn("us", wall_clock_us(F.col("ts"))).withColumn("ts", from_micros(F.col("us")))
@@ -285,7 +275,7 @@ def journal_records(ev: DataFrame) -> DataFrame:
 def journal_users(customer: DataFrame) -> DataFrame:
     """Accounts: every even customer key is a known uid, on the host of its key."""
     return customer.filter("c_custkey % 2 = 0").selectExpr(
-        "concat('host', c_custkey % 10) as host_id", "cast(c_custkey as int) as uid", "c_name as username"
+        "concat('host', c_custkey % 10) as host_id", "cast(c_custkey as bigint) as uid", "c_name as username"
     )
 
 

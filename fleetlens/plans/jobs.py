@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.timestamps import tick_of
-from fleetlens.operators.channels import select_channels
 from fleetlens.operators.otlp import otlp_logs, otlp_metrics
 from fleetlens.operators.payloads import (
     METRIC_ORDER,
@@ -39,6 +38,8 @@ def metric_export(
 
     ``captures`` names the captured tables, see ``registry.read_capture``.
     """
+    containers = {"compat": options.compat, **captures.get("containers", {})}
+    captures = {**captures, "containers": containers}
     metrics = metric_registry().collect(spark, options.sources, captures)
     routed = with_tick(with_tie(route_endpoints(metrics)), tick_seconds)
     payloads = metric_payloads(
@@ -64,18 +65,14 @@ def log_export(
     """OTLP-shaped log batches per host, source and tick of the configured sources."""
     captures = dict(captures)
     limit = {"max_bytes": options.message_max}
-    captures.setdefault("journal", {**limit, "product": options.product})
-    captures.setdefault("syslog", {**limit, "zone": options.zone, "compat": options.compat})
-    captures.setdefault("events_xml", {**limit, "compat": options.compat})
-    tables = captures.get("tables", {})
-    if "events_xml" in tables:
-        selected = select_channels(
-            tables["events_xml"],
-            list(options.channels),
-            list(options.exclude_channels),
-            options.collect_all,
-        )
-        captures["tables"] = {**tables, "events_xml": selected}
+    defaults = {
+        "journal": {**limit, "product": options.product},
+        "syslog": {**limit, "zone": options.zone, "compat": options.compat},
+        "events_xml": {**limit, "compat": options.compat},
+    }
+    for name, values in defaults.items():
+        captures[name] = {**values, **captures.get(name, {})}
+    captures["channels"] = (list(options.channels), list(options.exclude_channels), options.collect_all)
     logs = with_tick(log_registry().collect(spark, options.sources, captures, os), tick_seconds)
     # Entries that are equal in all of these are interchangeable.
     tied = logs.withColumn("tie", F.xxhash64("level", "message", "category", "pid"))

@@ -135,4 +135,4 @@ RAW_PROCESS = ddl(
     "cmdline string, user string, cpu_percent double, mem_percent double, threads int, "
     "start_ms bigint"
 )
-USERS = ddl("host_id string, uid int, username string")
+USERS = ddl("host_id string, uid bigint, username string")

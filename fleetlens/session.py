@@ -47,10 +47,12 @@ def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder for files that executors write and read back.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; a folder on
-    this machine is used only where that is unset, which is the case in tests.
+    this machine is used only by a local master for which that is unset, as in tests.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     name = f"{label}-{uuid.uuid4().hex}"
     if shared:
         return f"{shared.rstrip('/')}/fleetlens/{name}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{tempfile.mkdtemp(prefix='fleetlens-')}/{name}"

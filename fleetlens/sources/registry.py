@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetlens import schemas
+from fleetlens.operators.channels import select_channels
 from fleetlens.sources import containers, eventlog, host, journal, syslog
 
 log = logging.getLogger(__name__)
@@ -47,13 +48,24 @@ class Registry:
     def collect(
         self, spark: SparkSession, names: Iterable[str], options: dict, os: str = "linux"
     ) -> DataFrame:
-        """Union of the named sources; one that cannot be built is skipped."""
-        frames = []
+        """Union of the named sources; one that cannot be built raises its error."""
+        chosen = self.select(names, os).values()
+        return self._union([builder(spark, options).select(*self.columns) for builder in chosen])
+
+    def collect_available(
+        self, spark: SparkSession, names: Iterable[str], options: dict, os: str = "linux"
+    ) -> tuple[DataFrame, dict[str, Exception]]:
+        """Union of the sources that can be built, and the errors of the others by name."""
+        frames, failed = [], {}
         for name, builder in self.select(names, os).items():
             try:
                 frames.append(builder(spark, options).select(*self.columns))
-            except Exception as error:  # a broken source must not stop the others
+            except Exception as error:  # reported to the caller
                 log.error("source %s failed: %s", name, error)
+                failed[name] = error
+        return self._union(frames), failed
+
+    def _union(self, frames: list[DataFrame]) -> DataFrame:
         if not frames:
             raise ValueError("no usable source among the named ones")
         return reduce(DataFrame.unionByName, frames)
@@ -139,6 +151,9 @@ def log_registry() -> Registry:
 
     def event_source(spark: SparkSession, options: dict) -> DataFrame:
         raw = read_capture(spark, options, "events_xml", schemas.RAW_EVENT_XML)
+        if "channels" in options:
+            include, exclude, collect_all = options["channels"]
+            raw = select_channels(raw, include, exclude, collect_all)
         return eventlog.event_logs(raw, **options.get("events_xml", {}))
 
     registry.register("journald", journal_source, os="linux")

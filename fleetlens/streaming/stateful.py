@@ -21,7 +21,7 @@ _KEY = "series string"
 _ROW = "us bigint, cpu_total bigint, cpu_system bigint, online int, rx bigint, tx bigint"
 _PREV = "us bigint, cpu_total bigint, cpu_system bigint, rx bigint, tx bigint"
 _OUT = (
-    f"{_KEY}, {_ROW}, has_prev boolean, "
+    f"{_KEY}, {_ROW}, has_prev boolean, late boolean, "
     + ", ".join(f"prev_{c} bigint" for c in ["us", *COUNTERS])
 )
 # Counters travel as signed 64-bit numbers shifted by 2^63, which keeps every bit.
@@ -29,7 +29,11 @@ _SHIFT = "cast(9223372036854775808 as decimal(20,0))"
 
 
 class PreviousSample(StatefulProcessor):
-    """Pairs each sample with the one before it; late and repeated ones are dropped."""
+    """Pairs each sample with the one before it.
+
+    A sample that is not newer than the stored one of an earlier micro-batch is late: it is
+    passed on without a previous sample, and the state stays as it is.
+    """
 
     def __init__(self, ttl_ms: int | None = None) -> None:
         self.ttl_ms = ttl_ms
@@ -39,27 +43,24 @@ class PreviousSample(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         fields = ["us", "cpu_total", "cpu_system", "rx", "tx"]
-        samples = pd.concat(list(rows)).sort_values(fields).drop_duplicates("us", keep="first")
+        samples = pd.concat(list(rows)).sort_values(fields)
         stored = self.last.get() if self.last.exists() else None
-        if stored is not None:
-            samples = samples[samples["us"] > stored[0]]
-        if samples.empty:
-            return
-        previous = samples[fields].shift(1, fill_value=0)
-        has_prev = pd.Series(True, index=samples.index)
-        if stored is None:
-            has_prev.iloc[0] = False
-        else:
-            previous.iloc[0] = list(stored)
-        last = samples.iloc[-1]
-        self.last.update(tuple(int(last[f]) for f in fields))
+        late = samples["us"] <= stored[0] if stored is not None else samples["us"] != samples["us"]
+        new = samples[~late]
+        previous = samples[fields].astype("int64") * 0
+        previous.loc[~late.to_numpy()] = new[fields].shift(1, fill_value=0).to_numpy()
+        has_prev = (~late).to_numpy(copy=True)
+        if len(new):
+            first = int(has_prev.argmax())
+            if stored is None:
+                has_prev[first] = False
+            else:
+                previous.iloc[first] = list(stored)
+            last = new.iloc[-1]
+            self.last.update(tuple(int(last[f]) for f in fields))
+        own = samples[["series", "us", "cpu_total", "cpu_system", "online", "rx", "tx"]]
         yield pd.concat(
-            [
-                samples[["series", "us", "cpu_total", "cpu_system", "online", "rx", "tx"]],
-                has_prev.rename("has_prev"),
-                previous.add_prefix("prev_"),
-            ],
-            axis=1,
+            [own.assign(has_prev=has_prev, late=late.to_numpy()), previous.add_prefix("prev_")], axis=1
         )
 
     def close(self) -> None:
@@ -69,7 +70,7 @@ class PreviousSample(StatefulProcessor):
 def stream_rates(
     samples: DataFrame, series: str, compat: bool = False, ttl_ms: int | None = None
 ) -> DataFrame:
-    """Rates of a stream of counter samples; the same columns as the batch operator.
+    """Rates of a stream of counter samples; the columns of the batch operator and ``late``.
 
     Only the pairing of neighbours needs state. It is one small row per container in
     the state store, and the arithmetic stays in the same column expressions as in
@@ -106,6 +107,7 @@ def stream_rates(
         from_micros(F.col("us")).alias("ts"),
         *[decode(c).alias(c) for c in COUNTERS],
         "online",
+        "late",
         prev.alias("prev"),
     )
     return rate_columns(decoded, compat).drop("prev")

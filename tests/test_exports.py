@@ -31,25 +31,25 @@ LOGS = (
 def test_log_payload_keeps_its_identity(spark):
     meta = dict.fromkeys(schemas.LOG_META_FIELDS) | {"platform": "linux", "extra": {"k": "v", "e": ""}}
     entry = {
-        "ts": T0, "level": "info", "message": "Test log message", "source": "test-source", "category": "test",
+        "ts": T0, "level": "info", "message": "disk almost full", "source": "smartd", "category": "test",
         "pid": 1234, "fields": {"f": "1", "": "2"}, "labels": {"l": "2"}, "meta": meta,
     }
     df = spark.createDataFrame(
-        [("test-agent-123", "test-host-456", "test-hostname", "test-endpoint", [entry])], LOGS
+        [("agent-7", "box-21", "box21.lan", "ep-21", [entry])], LOGS
     )
     record = meta_struct({"host_id": F.lit("wrong"), "agent_id": F.lit("wrong"), "os": F.lit("linux")})
     row = otlp_logs(df.withColumn("meta", record)).first()
     (resource_logs,) = row.resource_logs
     attrs = {a.key: a.value for a in resource_logs.resource.attributes}
-    assert attrs["host.id"] == "test-host-456" and attrs["agent.id"] == "test-agent-123"
+    assert attrs["host.id"] == "box-21" and attrs["agent.id"] == "agent-7"
     assert attrs["os.type"] == "linux"
     (scope,) = resource_logs.scope_logs
-    assert scope.scope.name == "test-source"
+    assert scope.scope.name == "smartd"
     (log,) = scope.log_records
-    assert (log.severity_text, log.severity_number, log.body) == ("info", 9, "Test log message")
+    assert (log.severity_text, log.severity_number, log.body) == ("info", 9, "disk almost full")
     typed = {a.key: a.string_value if a.int_value is None else a.int_value for a in log.attributes}
     assert typed == {
-        "log.source": "test-source", "log.category": "test", "process.pid": 1234, "field.f": "1",
+        "log.source": "smartd", "log.category": "test", "process.pid": 1234, "field.f": "1",
         "field.": "2", "tag.l": "2", "log.platform": "linux", "log.extra.k": "v",
     }
 
@@ -60,10 +60,10 @@ METRICS = (
 )
 
 
-def metric(sub="cpu", stats=None, dims=None, value=75.5):
+def metric(sub="cpu", stats=None, dims=None, value=41.25):
     return {
         "namespace": "system", "sub_namespace": sub, "name": "usage_percent", "ts": T0, "value": value,
-        "unit": "percent", "dimensions": dims or {"cpu": "cpu0", "host": "test-host"}, "stats": stats,
+        "unit": "percent", "dimensions": dims or {"cpu": "cpu0", "host": "box-21"}, "stats": stats,
     }
 
 
@@ -77,8 +77,8 @@ def test_metric_payload(spark):
     (scope,) = resource.scope_metrics
     assert scope.scope.name == "system.cpu"
     (m,) = scope.metrics
-    assert (m.name, m.unit, m.gauge.as_double, m.histogram) == ("usage_percent", "percent", 75.5, None)
-    assert [(a.key, a.value) for a in m.gauge.attributes] == [("cpu", "cpu0"), ("host", "test-host")]
+    assert (m.name, m.unit, m.gauge.as_double, m.histogram) == ("usage_percent", "percent", 41.25, None)
+    assert [(a.key, a.value) for a in m.gauge.attributes] == [("cpu", "cpu0"), ("host", "box-21")]
     assert m.gauge.time_unix_nano == int(T0.timestamp()) * 10**9
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from fleetlens import schemas
@@ -106,7 +108,7 @@ def test_host_info(spark, tmp_path):
     assert rows["info"].dimensions["os"] == "linux" and rows["info"].dimensions["host_id"] == "h"
 
 
-def test_registry_reads_folders_and_skips_a_broken_source(spark, tmp_path):
+def test_registry_reads_folders_and_reports_a_broken_source(spark, tmp_path):
     folder = tmp_path / "host_mem"
     folder.mkdir()
     (folder / "part.json").write_text(json.dumps({"host_id": "h", "ts": TS, "total": 5}))
@@ -117,7 +119,10 @@ def test_registry_reads_folders_and_skips_a_broken_source(spark, tmp_path):
 
     registry.register("broken", broken)
     assert list(registry.select(["mem", "x", "mem", "cpu"])) == ["mem", "cpu"]
-    got = registry.collect(spark, ["broken", "mem"], {"path": str(tmp_path)})
+    with pytest.raises(RuntimeError, match="no capture"):
+        registry.collect(spark, ["broken", "mem"], {"path": str(tmp_path)})
+    got, failed = registry.collect_available(spark, ["broken", "mem"], {"path": str(tmp_path)})
+    assert list(failed) == ["broken"]
     assert got.columns == schemas.METRIC_COLUMNS
     assert [(r["name"], r.value) for r in got.collect()] == [("total", 5.0)]
 

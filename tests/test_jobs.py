@@ -77,3 +77,25 @@ def test_logs(spark, sf_dir, meta):
 def test_processes(spark, sf_dir, meta):
     out = jobs.process_export(q_processes.processes(spark, sf_dir), meta, ProcessOptions(top_n=2))
     assert out.agg(F.max(F.size("processes"))).first()[0] <= 4
+
+
+def test_account_named_twice_does_not_multiply_rows(spark):
+    from fleetlens.operators.lookups import resolve_user
+
+    rows = spark.createDataFrame([("h", "0"), ("h", "4294967294"), ("h", "x")], "host_id string, uid string")
+    users = spark.createDataFrame(
+        [("h", 0, "toor"), ("h", 0, "root"), ("h", 4294967294, "nobody")], "host_id string, uid bigint, username string"
+    )
+    got = resolve_user(rows, [F.lit(None).cast("string")], F.col("uid"), users)
+    assert sorted((r.uid, r.user) for r in got.collect()) == [("0", "root"), ("4294967294", "nobody"), ("x", "")]
+
+
+def test_a_source_that_fails_is_not_left_out_silently(spark):
+    from fleetlens import schemas
+    from fleetlens.sources.registry import metric_registry
+
+    registry, options = metric_registry(), {"path": "/nowhere", "tables": {"host_cpu": spark.createDataFrame([], schemas.RAW_HOST_CPU)}}
+    with pytest.raises(Exception, match="nowhere"):
+        registry.collect(spark, ["cpu", "mem"], options)
+    found, failed = registry.collect_available(spark, ["cpu", "mem"], options)
+    assert found.count() == 0 and list(failed) == ["mem"]

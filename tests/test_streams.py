@@ -60,15 +60,17 @@ def test_rates_equal_batch_across_files_and_restarts(spark, tmp_path):
     assert sorted(streamed.collect()) == sorted(batch.select("id", "ts", *COLUMNS).collect())
 
 
-def test_late_and_repeated_samples_are_dropped(spark, tmp_path):
+def test_late_and_repeated_samples_are_passed_on(spark, tmp_path):
     folder = str(tmp_path / "in")
     put(spark, [sample("a", 0, 10), sample("a", 10, 20), sample("a", 10, 20)], SAMPLE, folder, 1000)
     put(spark, [sample("a", 5, 15), sample("a", 10, 20), sample("a", 12, 30)], SAMPLE, folder, 2000)
     opts = options(tmp_path)
     jobs.rate_stream(jobs.read_files(spark, folder, SAMPLE, "parquet", 1), "id", opts).awaitTermination()
     got = spark.read.parquet(opts.output)
-    seconds = sorted(r[0] for r in got.select(F.unix_seconds("ts") - int(T0.timestamp())).collect())
-    assert seconds == [0, 10, 12]
+    second = (F.unix_seconds("ts") - int(T0.timestamp())).alias("second")
+    rows = sorted(tuple(r) for r in got.select(second, "late", "cpu_percent").collect())
+    assert [r[:2] for r in rows] == [(0, False), (5, True), (10, False), (10, False), (10, True), (12, False)]
+    assert all(r[2] == 0 for r in rows if r[1]) and rows[-1][2] == 10 / 200 * 2 * 100
 
 
 def test_log_stream_from_text_files(spark, tmp_path):
