@@ -151,8 +151,9 @@ def test_secret_scan(spark):
     docs = docs_of(spark, texts).withColumn("base_spans", F.lit(1))
     ratios = secret_scan.train(secret_scan.labelled_samples(docs.limit(0), secret_scan.Settings()))
     assert set(ratios) == {0.0}
-    words = [" ".join(f"{a}{b}ingly {b}{a}able the_{a}_{b}" for a, b in itertools.permutations(["read", "walk", "gesell", "schaft", "remark", "donau"], 2))]
-    samples = secret_scan.labelled_samples(docs_of(spark, words * 5), secret_scan.Settings())
+    syllables = ["read", "walk", "gesell", "schaft", "mark", "donau", "ident", "many", "unre", "able", "word", "fahrts"]
+    words = [" ".join(f"{a}{b}{c} {a}_{b}ing_{c}" for a, b in itertools.permutations(syllables, 2)) for c in syllables]
+    samples = secret_scan.labelled_samples(docs_of(spark, words), secret_scan.Settings())
     scanned = secret_scan.scan(docs, secret_scan.train(samples))
     got = {r.doc_id: r for r in secret_scan.digests(scanned).collect()}
     n = len(EDGES)
