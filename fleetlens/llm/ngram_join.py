@@ -347,15 +347,16 @@ def distinct_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) that their sizes and sketches do not rule out."""
+    """The pairs (a, b) that their sizes and sketches do not rule out; ``differ``: buckets that differ."""
     one = sets.select(F.col("set").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     two = sets.select(F.col("set").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    apart = F.aggregate(
+    differ = F.aggregate(
         F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
     )
-    can = (100 + settings.percent) * apart <= (100 - settings.percent) * (F.col("na") + F.col("nb"))
+    can = (100 + settings.percent) * F.col("differ") <= (100 - settings.percent) * (F.col("na") + F.col("nb"))
     fits = 100 * F.least("na", "nb") >= settings.percent * F.greatest("na", "nb")
-    return pairs.join(one, "a").join(two, "b").where(fits & can).select("a", "b")
+    both = pairs.join(one, "a").join(two, "b").where(fits)
+    return both.withColumn("differ", differ).where(can).select("a", "b", "differ")
 
 
 def undirected(pairs: DataFrame) -> DataFrame:
@@ -368,24 +369,15 @@ def undirected(pairs: DataFrame) -> DataFrame:
     return once.select("center", other.alias("member"))
 
 
-def partners(pairs: DataFrame, common: DataFrame | None, turn: int) -> DataFrame:
+def partners(pairs: DataFrame, turn: int) -> DataFrame:
     """(center, member): for each set two of its candidates, those with the least hashes, of two hashes of the turn."""
 
-    def least(column: str, seed: int) -> Column:
-        hashed = F.xxhash64(F.lit(2 * turn + seed), column).alias("hash")
-        return F.min(F.struct(hashed, F.col(column).alias("set"))).alias(f"c{seed}")
+    def least(seed: int) -> Column:
+        return F.min_by("b", F.xxhash64(F.lit(2 * turn + seed), "b"))
 
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    chosen = both.groupBy("a").agg(least("b", 1), least("b", 2)).select(F.col("a").alias("member"), "c1", "c2")
-    if common is not None:
-        centers = common.groupBy("token").agg(least("set", 1), least("set", 2))
-        shared = common.select("set", "token").join(centers, "token").groupBy(F.col("set").alias("member"))
-        chosen = (
-            chosen.unionByName(shared.agg(F.min("c1").alias("c1"), F.min("c2").alias("c2")))
-            .groupBy("member")
-            .agg(F.min("c1").alias("c1"), F.min("c2").alias("c2"))
-        )
-    return undirected(chosen.select(F.explode(F.array("c1.set", "c2.set")).alias("center"), "member"))
+    chosen = both.groupBy(F.col("a").alias("member")).agg(F.array(least(1), least(2)).alias("centers"))
+    return chosen.select(F.explode("centers").alias("center"), "member")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
@@ -522,24 +514,29 @@ def met_by_combinations(common: DataFrame, sets: DataFrame, labels: DataFrame, s
     return indexed.groupBy("part").applyInPandas(meet, "a long, b long").distinct()
 
 
-def plausible_partners(common: DataFrame, labels: DataFrame, sets: DataFrame, turn: int, settings: Settings) -> DataFrame:
-    """(center, member): for each set the set of another component that most of its frequent tokens agree on.
+def named_partners(common: DataFrame, labels: DataFrame, sets: DataFrame, turn: int, settings: Settings) -> DataFrame:
+    """(center, member): for each set up to two sets of other components, of those that its frequent tokens name.
 
-    A token names, of the sets that hold it, the one whose component has the least hash of
-    the turn, and of this component the least set; a set takes the least of what its tokens name.
+    A token names, of the sets that hold it, the one whose component has the least hash of the
+    turn, and of this component the least set. Of what is named and can link, a set takes that
+    with the least hash, so that a group agrees, and that which differs least by its sketch.
     """
     placed = with_component(common, labels, "set", "component")
-    rank = F.struct(F.xxhash64(F.lit(turn), "component").alias("hash"), "component", F.col("set").alias("center"))
+    rank = F.struct(
+        F.xxhash64(F.lit(turn), "component").alias("hash"), "component", F.col("set").alias("center"), "n"
+    )
     named = placed.groupBy("token").agg(F.min(rank).alias("named"))
-    chosen = (
+    fits = 100 * F.least("n", "named.n") >= settings.percent * F.greatest("n", "named.n")
+    offered = (
         placed.join(named, "token")
-        .where("component <> named.component")
-        .groupBy("set")
-        .agg(F.min("named").alias("named"))
+        .where((F.col("component") != F.col("named.component")) & fits)
         .select(F.col("named.center").alias("a"), F.col("set").alias("b"))
+        .distinct()
     )
-    fits = plausible(chosen, sets, settings)
-    return written(fits.select(F.col("a").alias("center"), F.col("b").alias("member")), "chosen")
+    agreed = F.min_by("a", F.struct(F.xxhash64(F.lit(turn), "a"), "a"))
+    nearest = F.min_by("a", F.struct("differ", "a"))
+    chosen = plausible(offered, sets, settings).groupBy(F.col("b").alias("member"))
+    return chosen.agg(F.array(agreed, nearest).alias("centers")).select(F.explode("centers").alias("center"), "member")
 
 
 def apart_pairs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -548,6 +545,19 @@ def apart_pairs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.where("ca <> cb").select("a", "b")
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links (a, b): only components that these connect are labelled anew."""
+    placed = with_component(with_component(links, labels, "a", "ca"), labels, "b", "cb").where("ca <> cb")
+    ends = written(placed.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "joints")
+    if not ends.limit(1).count():
+        return labels
+    joints = components(ends)
+    single = joints.select("set").join(labels, "set", "left_anti").withColumn("component", F.col("set"))
+    renamed = joints.select(F.col("set").alias("component"), F.col("component").alias("least"))
+    every = labels.unionByName(single).join(renamed, "component", "left")
+    return written(every.select("set", F.coalesce("least", "component").alias("component")), "labels")
+
+
 def all_links(pairs: DataFrame, common: DataFrame, sets: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """(set, component): verify partners of each set, a few at a time, until no candidates are apart.
 
@@ -555,14 +565,15 @@ def all_links(pairs: DataFrame, common: DataFrame, sets: DataFrame, texts: DataF
     are few components when combinations are indexed. What candidates are then apart is
     verified by partners again, and after ``rounds`` all that is left at once.
     """
-    links = verified(partners(pairs, common, 0), texts, settings)
-    labels = components(links)
-    for turn in range(1, settings.rounds):
-        near = plausible_partners(common, labels, sets, turn, settings)
+    labels = pairs.sparkSession.createDataFrame([], "set long, component long")
+    for turn in range(settings.rounds):
+        near = named_partners(common, labels, sets, turn, settings)
+        if not turn:
+            near = near.unionByName(partners(pairs, 0))
+        near = written(undirected(near), "chosen")
         if not near.limit(1).count():
             break
-        links = links.unionByName(verified(near, texts, settings))
-        labels = components(links)
+        labels = merged(labels, verified(near, texts, settings))
     rest = apart_pairs(pairs, labels).unionByName(met_by_combinations(common, sets, labels, settings))
     rest = written(rest.distinct(), "rest")
     for turn in range(1, settings.rounds + 1):
@@ -570,9 +581,8 @@ def all_links(pairs: DataFrame, common: DataFrame, sets: DataFrame, texts: DataF
             break
         chosen = rest.select(F.col("a").alias("center"), F.col("b").alias("member"))
         if turn < settings.rounds:
-            chosen = written(partners(rest, None, turn), "chosen")
-        links = links.unionByName(verified(chosen, texts, settings))
-        labels = components(links)
+            chosen = written(undirected(partners(rest, turn)), "chosen")
+        labels = merged(labels, verified(chosen, texts, settings))
         if turn < settings.rounds:
             done = chosen.select(F.least("center", "member").alias("a"), F.greatest("center", "member").alias("b"))
             rest = written(apart_pairs(rest.join(done, ["a", "b"], "left_anti"), labels), "rest")
@@ -590,7 +600,8 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
         .agg(F.min("row_hash").alias("row_hash"), F.min("key").alias("least"), F.first("sketch").alias("sketch"))
     )
     reps = written(reps, "representatives")
-    pairs = written(plausible(met.where("kind = 0").select("a", "b").distinct(), reps, settings), "pairs")
+    met_pairs = plausible(met.where("kind = 0").select("a", "b").distinct(), reps, settings)
+    pairs = written(met_pairs.select("a", "b"), "pairs")
     common = written(
         met.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("set"), "n").distinct(), "common"
     )
