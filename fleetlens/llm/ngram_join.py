@@ -60,6 +60,7 @@ class Settings:
     group_tokens: int = 1_000_000
     flush_tokens: int = 1_000_000
     members: int = 256
+    named_rounds: int = 2
     rounds: int = 4
 
     def overlap(self, n: int) -> int:
@@ -299,51 +300,79 @@ def pairs_within(
     settings: Settings,
     known: np.ndarray | None = None,
     sketches: np.ndarray | None = None,
+    nearest: bool = False,
 ) -> np.ndarray:
     """Distinct pairs (a < b) of sets that share a value, of sizes that allow a link and different groups.
 
-    The pairs of neighbours first, then those of second neighbours and so on, each time made
-    distinct, so that sets which share many values are held once. With ``known`` (ascending
-    names) and their ``sketches``, pairs that these rule out are left out.
+    Every set of a value meets only those of other groups, about ``flush_tokens`` pairs at a
+    time, which are made distinct before more are taken. With ``known`` (ascending names) and
+    their ``sketches``, pairs that these rule out are left out; with ``nearest`` also all but
+    the pair of any two groups that differs least.
     """
-    order = np.lexsort((names, values))
-    values, names, sizes, groups = values[order], names[order], sizes[order].astype(np.int64), groups[order]
+    order = np.lexsort((names, groups, values))
+    values, names, groups = values[order], names[order], groups[order]
     fresh = np.ones(len(values), dtype=bool)
     fresh[1:] = (values[1:] != values[:-1]) | (names[1:] != names[:-1])
-    values, names, sizes, groups = values[fresh], names[fresh], sizes[fresh], groups[fresh]
-    found, at, apart = [np.zeros((2, 0), dtype=np.int64)], np.arange(len(values)), 1
-    while True:
-        at = at[at + apart < len(values)]
-        at = at[values[at] == values[at + apart]]
-        if not len(at):
-            break
-        small, large = np.minimum(sizes[at], sizes[at + apart]), np.maximum(sizes[at], sizes[at + apart])
-        fits = at[(100 * small >= settings.percent * large) & (groups[at] != groups[at + apart])]
-        fits = fits[first_of_pairs(names[fits], names[fits + apart])]
-        if known is not None and len(fits):
-            one, two = (np.searchsorted(known, names[i]) for i in (fits, fits + apart))
-            differ = np.bitwise_count(sketches[one] ^ sketches[two]).sum(1, dtype=np.int64)
-            can = (100 + settings.percent) * differ <= (100 - settings.percent) * (sizes[fits] + sizes[fits + apart])
-            fits = fits[can]
-        found.append(np.stack([names[fits], names[fits + apart]]))
-        if len(found) > 64:
-            found = [distinct_pairs(*np.concatenate(found, axis=1))]
-        apart += 1
-    return distinct_pairs(*np.concatenate(found, axis=1))
-
-
-def first_of_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """One place for each distinct pair, ascending by pair."""
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    fresh = np.ones(len(a), dtype=bool)
-    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return order[fresh]
-
-
-def distinct_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    places = first_of_pairs(a, b)
-    return np.stack([a[places], b[places]])
+    values, names, groups = values[fresh], names[fresh], groups[fresh]
+    every, firsts, own = np.unique(names, return_index=True, return_inverse=True)
+    sizes, group_of = sizes[order][fresh][firsts].astype(np.int64), groups[firsts]
+    if known is not None:
+        sketches = sketches[np.searchsorted(known, every)]
+
+    new_value = np.ones(len(values), dtype=bool)
+    new_value[1:] = values[1:] != values[:-1]
+    new_group = new_value.copy()
+    new_group[1:] |= groups[1:] != groups[:-1]
+    after, last = run_ends(new_group), run_ends(new_value)
+    at = np.flatnonzero(last > after)
+    many = (last - after)[at]
+    taken = np.cumsum(many) // settings.flush_tokens
+    slices = runs(np.diff(taken, prepend=-1) > 0)
+    found, held, whole = [np.zeros(0, dtype=np.int64)], 0, len(every)
+    for first, end in zip(*slices):
+        times = many[first:end]
+        one = np.repeat(at[first:end], times)
+        two = after[one] + np.arange(len(one)) - np.repeat(np.cumsum(times) - times, times)
+        a, b = own[one], own[two]
+        low, high = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
+        fits = 100 * low >= settings.percent * high
+        a, b = np.minimum(a, b)[fits], np.maximum(a, b)[fits]
+        pairs = np.unique(a * whole + b)
+        if known is not None:
+            a, b = np.divmod(pairs, whole)
+            bound = (100 - settings.percent) * (sizes[a] + sizes[b])
+            pairs = pairs[(100 + settings.percent) * differing(sketches, a, b) <= bound]
+        found.append(pairs)
+        held += len(pairs)
+        if held > settings.flush_tokens:
+            found = [np.unique(np.concatenate(found))]
+            held = 0
+    a, b = np.divmod(np.unique(np.concatenate(found)), max(1, whole))
+    if nearest:
+        low, high = np.minimum(group_of[a], group_of[b]), np.maximum(group_of[a], group_of[b])
+        order = np.lexsort((b, a, differing(sketches, a, b), high, low))
+        low, high = low[order], high[order]
+        least = np.ones(len(order), dtype=bool)
+        least[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        a, b = a[order[least]], b[order[least]]
+    return np.stack([every[a], every[b]])
+
+
+def runs(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs start and end; ``first`` marks their starts."""
+    starts = np.flatnonzero(first)
+    return starts, np.append(starts, len(first))[1:]
+
+
+def run_ends(first: np.ndarray) -> np.ndarray:
+    """For every place the end of its run."""
+    starts, ends = runs(first)
+    return np.repeat(ends, ends - starts)
+
+
+def differing(sketches: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The buckets in which the sketches at ``a`` and ``b`` differ."""
+    return np.bitwise_count(sketches[a] ^ sketches[b]).sum(1, dtype=np.int64)
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
@@ -453,10 +482,13 @@ def combinations(tokens: np.ndarray, n: int, settings: Settings) -> np.ndarray:
     return np.concatenate(out) if out else tokens[:0]
 
 
-def met_by_combinations(common: DataFrame, sets: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+def met_by_combinations(
+    common: DataFrame, sets: DataFrame, labels: DataFrame, settings: Settings, nearest: bool = False
+) -> DataFrame:
     """Distinct pairs of sets of different components that share a combination of frequent tokens.
 
-    Pairs are ruled out by their sketches where they meet, before they become rows.
+    Pairs are ruled out by their sketches where they meet, before they become rows. With
+    ``nearest`` a task gives of any two components only the pair that differs least.
     """
     placed = with_component(common, labels, "set", "component")
     spread = placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
@@ -506,7 +538,7 @@ def met_by_combinations(common: DataFrame, sets: DataFrame, labels: DataFrame, s
         known, firsts = np.unique(joined(facts["sets"], "<i8"), return_index=True)
         sketches = joined(facts["sketches"], "<u8").reshape(-1, SKETCH_BITS // 64)[firsts]
         columns = [joined(own[c], "<i8") for c in names[2:5]]
-        a, b = pairs_within(joined(own["values"], "<u8"), *columns, settings, known, sketches)
+        a, b = pairs_within(joined(own["values"], "<u8"), *columns, settings, known, sketches, nearest)
         return pd.DataFrame({"a": a, "b": b})
 
     schema = "part int, values binary, sets binary, sizes binary, components binary, sketches binary"
@@ -562,11 +594,12 @@ def all_links(pairs: DataFrame, common: DataFrame, sets: DataFrame, texts: DataF
     """(set, component): verify partners of each set, a few at a time, until no candidates are apart.
 
     Sets with frequent tokens first agree on partners over some rounds, so that dense groups
-    are few components when combinations are indexed. What candidates are then apart is
-    verified by partners again, and after ``rounds`` all that is left at once.
+    are few components when combinations are indexed. Combinations first give the nearest sets
+    of any two components, and when these are verified all candidates that are still apart.
+    They are verified by partners again, and after ``rounds`` all that is left at once.
     """
     labels = pairs.sparkSession.createDataFrame([], "set long, component long")
-    for turn in range(settings.rounds):
+    for turn in range(settings.named_rounds):
         near = named_partners(common, labels, sets, turn, settings)
         if not turn:
             near = near.unionByName(partners(pairs, 0))
@@ -574,6 +607,10 @@ def all_links(pairs: DataFrame, common: DataFrame, sets: DataFrame, texts: DataF
         if not near.limit(1).count():
             break
         labels = merged(labels, verified(near, texts, settings))
+    near = met_by_combinations(common, sets, labels, settings, nearest=True)
+    near = written(near.select(F.col("a").alias("center"), F.col("b").alias("member")), "chosen")
+    if near.limit(1).count():
+        labels = merged(labels, verified(near, texts, settings))
     rest = apart_pairs(pairs, labels).unionByName(met_by_combinations(common, sets, labels, settings))
     rest = written(rest.distinct(), "rest")
     for turn in range(1, settings.rounds + 1):
