@@ -102,7 +102,7 @@ def tokens_of(text: str | None, hashes: WordHashes, settings: Settings) -> np.nd
     for i in range(1, width):
         rolled = rolled * FACTOR + codes[i : n - width + 1 + i]
     rolled = rolled + np.uint64(width)
-    return np.unique((rolled ^ (rolled >> np.uint64(31))) * STEP)
+    return distinct((rolled ^ (rolled >> np.uint64(31))) * STEP)
 
 
 def set_id(tokens: np.ndarray) -> int:
@@ -304,50 +304,50 @@ def pairs_within(
 ) -> np.ndarray:
     """Distinct pairs (a < b) of sets that share a value, of sizes that allow a link and different groups.
 
-    Every set of a value meets only those of other groups, about ``flush_tokens`` pairs at a
-    time, which are made distinct before more are taken. With ``known`` (ascending names) and
-    their ``sketches``, pairs that these rule out are left out; with ``nearest`` also all but
-    the pair of any two groups that differs least.
+    About ``flush_tokens`` pairs are taken at a time, set by set, and made distinct. With ``known`` (ascending names) and their ``sketches``,
+    pairs that these rule out are left out. With ``nearest`` one set stands for each group at
+    a value, by a hash of both, and of any two groups the pair that differs least is given.
     """
-    order = np.lexsort((names, groups, values))
+    order = np.lexsort(((names.view(np.uint64) ^ values) * FACTOR, groups, values))
     values, names, groups = values[order], names[order], groups[order]
-    fresh = np.ones(len(values), dtype=bool)
-    fresh[1:] = (values[1:] != values[:-1]) | (names[1:] != names[:-1])
-    values, names, groups = values[fresh], names[fresh], groups[fresh]
-    every, firsts, own = np.unique(names, return_index=True, return_inverse=True)
-    sizes, group_of = sizes[order][fresh][firsts].astype(np.int64), groups[firsts]
-    if known is not None:
-        sketches = sketches[np.searchsorted(known, every)]
-
     new_value = np.ones(len(values), dtype=bool)
     new_value[1:] = values[1:] != values[:-1]
     new_group = new_value.copy()
     new_group[1:] |= groups[1:] != groups[:-1]
-    after, last = run_ends(new_group), run_ends(new_value)
-    at = np.flatnonzero(last > after)
-    many = (last - after)[at]
-    taken = np.cumsum(many) // settings.flush_tokens
-    slices = runs(np.diff(taken, prepend=-1) > 0)
-    found, held, whole = [np.zeros(0, dtype=np.int64)], 0, len(every)
-    for first, end in zip(*slices):
-        times = many[first:end]
+    every, firsts, own = np.unique(names, return_index=True, return_inverse=True)
+    sizes, group_of, whole = sizes[order][firsts].astype(np.int64), groups[firsts], max(1, len(every))
+    fresh = new_group.copy()
+    if not nearest:
+        fresh[1:] |= own[1:] != own[:-1]
+    own = own[fresh]
+    # Marks stay where they are: the first of a run is always kept.
+    after, last = run_ends(new_group[fresh]), run_ends(new_value[fresh])
+    if known is not None:
+        sketches = sketches[np.searchsorted(known, every)]
+
+    def fitting(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        fits = 100 * np.minimum(sizes[a], sizes[b]) >= settings.percent * np.maximum(sizes[a], sizes[b])
+        pairs = distinct((np.minimum(a, b) * whole + np.maximum(a, b))[fits])
+        if known is None:
+            return pairs
+        a, b = np.divmod(pairs, whole)
+        bound = (100 - settings.percent) * (sizes[a] + sizes[b])
+        return pairs[(100 + settings.percent) * differing(sketches, a, b) <= bound]
+
+    many = last - after
+    at = np.flatnonzero(many)
+    at = at[np.argsort(own[at], kind="stable")]
+    taken = np.cumsum(many[at]) // settings.flush_tokens
+    found, held = [np.zeros(0, dtype=np.int64)], 0
+    for first, end in zip(*runs(np.diff(taken, prepend=-1) > 0)):
+        times = many[at[first:end]]
         one = np.repeat(at[first:end], times)
         two = after[one] + np.arange(len(one)) - np.repeat(np.cumsum(times) - times, times)
-        a, b = own[one], own[two]
-        low, high = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
-        fits = 100 * low >= settings.percent * high
-        a, b = np.minimum(a, b)[fits], np.maximum(a, b)[fits]
-        pairs = np.unique(a * whole + b)
-        if known is not None:
-            a, b = np.divmod(pairs, whole)
-            bound = (100 - settings.percent) * (sizes[a] + sizes[b])
-            pairs = pairs[(100 + settings.percent) * differing(sketches, a, b) <= bound]
-        found.append(pairs)
-        held += len(pairs)
+        found.append(fitting(own[one], own[two]))
+        held += len(found[-1])
         if held > settings.flush_tokens:
-            found = [np.unique(np.concatenate(found))]
-            held = 0
-    a, b = np.divmod(np.unique(np.concatenate(found)), max(1, whole))
+            found, held = [distinct(np.concatenate(found))], 0
+    a, b = np.divmod(distinct(np.concatenate(found)), whole)
     if nearest:
         low, high = np.minimum(group_of[a], group_of[b]), np.maximum(group_of[a], group_of[b])
         order = np.lexsort((b, a, differing(sketches, a, b), high, low))
@@ -358,6 +358,14 @@ def pairs_within(
     return np.stack([every[a], every[b]])
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Ascending distinct values, by sorting: much faster here than hashing them."""
+    values = np.sort(values)
+    fresh = np.ones(len(values), dtype=bool)
+    fresh[1:] = values[1:] != values[:-1]
+    return values[fresh]
+
+
 def runs(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where runs start and end; ``first`` marks their starts."""
     starts = np.flatnonzero(first)
