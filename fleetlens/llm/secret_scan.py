@@ -3,8 +3,11 @@
 Patterns give the spans of the kinds ``assign``, ``access`` and ``hex``. Runs of
 ``candidate_chars`` or more characters of an alphabet of 66 are scored as well: two
 first-order Markov models, one of random strings and one of ordinary identifiers, give a
-log-likelihood ratio; a run above the limits is a span of the kind ``random`` unless it
-overlaps a span of a pattern. The models are trained from labelled strings, with a pseudo
+log-likelihood ratio; a run above the limits is a span of the kind ``random``. What spans of
+patterns cover is cut out of a run, and what is left on either side is a run of its own. In
+a run that is not above the limits as a whole (a path, a key joined to words) the stretches
+of the largest ratio are looked for, first from separator to separator, then the parts
+between separators, then from any character to any; those above the limits are spans. The models are trained from labelled strings, with a pseudo
 count for every pair of characters, so they work even without samples.
 
 Places are code points, ends are exclusive. A null or empty text has no spans. Rows are
@@ -149,6 +152,129 @@ def places(text: Column, pattern: str, kind: int, group: int = 0, least: int = 1
     return F.when(text.rlike(pattern), kept).otherwise(empty)
 
 
+def free_parts(run: Column, spans: Column, settings: Settings) -> Column:
+    """The parts of a run that no span covers, if long enough; spans in order of their starts."""
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+
+    def part(start: Column, end: Column) -> Column:
+        own = F.array(F.struct(start.alias("start"), end.alias("end")))
+        return F.when(end - start >= settings.candidate_chars, own).otherwise(empty)
+
+    parts = F.aggregate(
+        F.filter(spans, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])),
+        F.struct(run["start"].alias("at"), empty.alias("parts")),
+        lambda s, b: F.struct(
+            F.greatest(s["at"], b["end"]).alias("at"), F.concat(s["parts"], part(s["at"], b["start"])).alias("parts")
+        ),
+        lambda s: F.concat(s["parts"], part(s["at"], run["end"])),
+    )
+    return F.transform(
+        parts,
+        lambda p: F.struct(
+            p["start"].alias("start"),
+            run["kind"].alias("kind"),
+            p["end"].alias("end"),
+            F.substring(run["value"], p["start"] - run["start"] + 1, p["end"] - p["start"]).alias("value"),
+        ),
+    )
+
+
+def total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+
+
+def stretches(items: Column, settings: Settings) -> Column:
+    """Stretches (start, end) of neighbouring items with the largest sums.
+
+    An item has a sum of its own and one that joins it to the item before. A stretch ends at its
+    largest sum; another begins where nothing is left of it or ``in_all`` of it is lost.
+    """
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+
+    def ended(s: Column) -> Column:
+        own = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))
+        return F.concat(s["out"], F.when(s["best"] > settings.per_char, own).otherwise(empty))
+
+    def step(s: Column, item: Column) -> Column:
+        fresh = (s["sum"] < 0) | (s["sum"] + item["join"] <= 0)
+        now = item["own"] + F.when(fresh, 0.0).otherwise(s["sum"] + item["join"])
+        above = fresh | (now > s["best"])
+        # Lost too much: the next item begins another stretch.
+        lost = ~fresh & (now < s["best"] - settings.in_all)
+        return F.struct(
+            F.when(lost, -1.0).otherwise(now).alias("sum"),
+            F.when(fresh, item["start"]).otherwise(s["start"]).alias("start"),
+            F.when(above, item["end"]).otherwise(s["end"]).alias("end"),
+            F.when(above, now).otherwise(s["best"]).alias("best"),
+            F.when(fresh, ended(s)).otherwise(s["out"]).alias("out"),
+        )
+
+    first = F.struct(
+        F.lit(-1.0).alias("sum"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(-1.0).alias("best"), empty.alias("out")
+    )
+    return F.aggregate(items, first, step, ended)
+
+
+def random_spans(run: Column, table: Column, settings: Settings) -> Column:
+    """The run, if it is random as a whole, or else what is random in it; spans do not overlap."""
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+
+    def let(value: Column, then) -> Column:
+        return F.element_at(F.transform(F.array(value), then), 1)
+
+    def passes(ratio: Column, chars: Column) -> Column:
+        return (chars >= settings.candidate_chars) & (ratio > settings.in_all) & (ratio > settings.per_char * chars)
+
+    def inside(ratios: Column) -> Column:
+        # ratios[i] is that of the characters i and i + 1; a stretch gains by those above per_char.
+        gains = F.transform(ratios, lambda r: r - settings.per_char)
+
+        def item(start: Column, end: Column, own: Column, join: Column) -> Column:
+            return F.struct(start.alias("start"), end.alias("end"), own.alias("own"), join.alias("join"))
+
+        def of_words(words: Column) -> Column:
+            def word(w: Column, i: Column) -> Column:
+                before = F.when(i > 0, F.element_at(words, F.greatest(i, F.lit(1)))["end"])
+                own = total(F.slice(gains, w["start"] + 1, w["end"] - w["start"] - 1))
+                join = F.when(i > 0, total(F.slice(gains, before, w["start"] - before + 1))).otherwise(0.0)
+                return item(w["start"], w["end"], own, join)
+
+            alone = F.transform(words, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end")))
+            return F.concat(stretches(F.transform(words, word), settings), alone)
+
+        chars = F.concat(
+            F.array(item(F.lit(0), F.lit(1), F.lit(0.0), F.lit(0.0))),
+            F.transform(gains, lambda g, i: item(i + 1, i + 2, F.lit(0.0), g)),
+        )
+        found = F.concat(let(places(run["value"], "[A-Za-z0-9]+", 3), of_words), stretches(chars, settings))
+        good = F.filter(
+            found,
+            lambda c: passes(total(F.slice(ratios, c["start"] + 1, c["end"] - c["start"] - 1)), c["end"] - c["start"]),
+        )
+        return F.aggregate(
+            good,
+            empty,
+            lambda kept, c: F.when(
+                F.exists(kept, lambda k: (k["start"] < c["end"]) & (c["start"] < k["end"])), kept
+            ).otherwise(F.concat(kept, F.array(c))),
+        )
+
+    def within(ratios: Column) -> Column:
+        whole = F.array(F.struct(F.lit(0).alias("start"), F.length(run["value"]).alias("end")))
+        return F.when(passes(total(ratios), F.length(run["value"])), whole).otherwise(inside(ratios))
+
+    ratios = F.transform(pairs(run["value"]), lambda p: F.element_at(table, p + 1))
+    return F.transform(
+        let(ratios, within),
+        lambda c: F.struct(
+            (run["start"] + c["start"]).alias("start"),
+            run["kind"].alias("kind"),
+            (run["start"] + c["end"]).alias("end"),
+            F.substring(run["value"], c["start"] + 1, c["end"] - c["start"]).alias("value"),
+        ),
+    )
+
+
 def scan(docs: DataFrame, ratios: list[float], settings: Settings = Settings(), text: str = "text") -> DataFrame:
     """Add ``base_spans`` and ``found_spans``: arrays of (start, kind, end, value), in order."""
     body = F.col("__body")
@@ -163,14 +289,12 @@ def scan(docs: DataFrame, ratios: list[float], settings: Settings = Settings(),
     )
     based = spans.withColumn("base_spans", F.array_sort(F.concat("__assign", "__access", "__hex")))
 
-    def is_random(span: Column) -> Column:
-        ratio = F.aggregate(pairs(span["value"]), F.lit(0.0), lambda total, p: total + F.element_at(table, p + 1))
-        return (ratio > settings.in_all) & (ratio > settings.per_char * F.length(span["value"]))
-
-    def is_free(span: Column) -> Column:
-        return ~F.exists("base_spans", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-
-    more = F.filter("__random", lambda s: is_free(s) & is_random(s))
+    more = F.flatten(
+        F.transform(
+            F.flatten(F.transform("__random", lambda run: free_parts(run, F.col("base_spans"), settings))),
+            lambda run: random_spans(run, table, settings),
+        )
+    )
     return based.withColumn("found_spans", F.array_sort(F.concat("base_spans", more))).drop(
         "__body", "__assign", "__access", "__hex", "__random"
     )
