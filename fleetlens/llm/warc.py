@@ -7,9 +7,10 @@ of a task writes files of its own names; a table of the files that finished atte
 is the archive's list, so an executor's loss leaves no half file in it.
 
 Reading: a record counts only if its gzip member is whole, its version line, header and
-length hold, and its block has the stated digest. After a failed check the reader looks for
-the next member that begins with a version line (in plain files: the next version line at
-the beginning of a line), goes on from there, and returns the bytes in between as a gap.
+length hold, and its block has the stated digest. Whether a record is a gzip member or plain
+is decided at its own place. After a failed check the reader looks for the next member that
+begins with a version line and the next plain version line, goes on from the nearer, and
+returns the bytes in between as a gap.
 
 A null payload is empty, a null URL leaves the target out, a page without an id is written
 with the id ``null`` and never referred to. Repeated rows are records of their own; those
@@ -40,6 +41,9 @@ SALTS = 32
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
 END = b"\r\n\r\n"
+# What a record may begin with, and the most bytes of that.
+PLACE = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
+PLACE_BYTES = 10
 CHUNK = 1 << 20
 # A header section is no longer than this.
 HEAD_BYTES = 1 << 16
@@ -227,19 +231,28 @@ def begins_member(data: bytes) -> bool:
         return False
 
 
-def next_place(window: Window, packed: bool) -> int:
+def own_line(data: bytes) -> int:
+    """Where a member that stores its bytes as they are has its own version line; 0 for all others."""
+    at = max(0, data.find(b"WARC/1."))
+    try:
+        inside = [zlib.decompressobj(wbits=31).decompress(data[:n]) for n in (at, at + 7)] if begins_member(data) else []
+    except zlib.error:
+        return 0
+    return at if inside == [b"", b"WARC/1."] else 0
+
+
+def next_place(window: Window) -> int:
     """The next place behind this one where a record may begin; the file's end if there is none."""
-    mark, shift = (b"\x1f\x8b\x08", 0) if packed else (b"\nWARC/1.", 1)
-    window.move(window.at + (1 if packed else 0))
+    window.move(window.at + own_line(window.fill(512)) + 1)
     while True:
-        found = window.held.find(mark)
-        while found < 0:
-            window.move(window.at + max(0, len(window.held) - len(mark)))
+        found = PLACE.search(window.held)
+        while not found:
+            window.move(window.at + max(0, len(window.held) - PLACE_BYTES + 1))
             if not window.more():
                 return window.size
-            found = window.held.find(mark)
-        window.move(window.at + found + shift)
-        if not packed or begins_member(window.fill(512)):
+            found = PLACE.search(window.held)
+        window.move(window.at + found.start())
+        if found[0][:1] == b"W" or begins_member(window.fill(512)):
             return window.at
         window.move(window.at + 1)
 
@@ -247,18 +260,17 @@ def next_place(window: Window, packed: bool) -> int:
 def records(file, size: int) -> Iterator[tuple[int, int, Record | None, str | None]]:
     """(place, length, record, None) or, for a gap, (place, length, None, reason)."""
     window = Window(file, size)
-    packed = None
     while window.at < size:
-        if packed is None:
-            packed = window.fill(7) != b"WARC/1."
-        at = window.at
+        at, start = window.at, window.fill(7)
         try:
-            if packed and window.fill(2) != b"\x1f\x8b":
-                raise Damaged("no gzip member")
-            window.fill(1)
-            found, length = (member if packed else plain)(window)
+            if start[:2] == b"\x1f\x8b":
+                found, length = member(window)
+            elif start == b"WARC/1.":
+                found, length = plain(window)
+            else:
+                raise Damaged("no gzip member and no version line")
         except Damaged as reason:
-            to = next_place(window, packed)
+            to = next_place(window)
             yield at, to - at, None, str(reason)
             window.move(to)
         else:

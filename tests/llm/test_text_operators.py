@@ -294,6 +294,35 @@ def test_salvage(tmp_path, packed):
     assert all(reason for _, _, r, reason in found if r is None)
 
 
+def salvaged(tmp_path, data):
+    path = tmp_path / "x"
+    path.write_bytes(data)
+    with fs.LocalFileSystem().open_input_file(str(path)) as file:
+        found = list(warc.records(file, len(data)))
+    assert sum(n for _, n, _, _ in found) == len(data) and all(reason for _, _, r, reason in found if r is None)
+    assert all(a[0] + a[1] == b[0] for a, b in itertools.pairwise(found))
+    return [int(r.fields["warc-record-id"][10:-1]) for _, _, r, _ in found if r]
+
+
+@pytest.mark.parametrize("packed", [True, False])
+@pytest.mark.parametrize("junk", [b"junk!" * 3, b"junk\n", b"\x1f\x8b\x08junk", b"W", b"WARC/1.7\r\n", b"\n" * (1 << 20)])
+def test_salvage_from_a_bad_beginning(tmp_path, packed, junk):
+    parts = archive(packed)
+    assert salvaged(tmp_path, junk + b"".join(parts)) == [*range(6)]
+    first = bytearray(parts[0])
+    first[0] ^= 0xFF
+    assert salvaged(tmp_path, bytes(first) + b"".join(parts[1:])) == [*range(1, 6)]
+    assert salvaged(tmp_path, junk + bytes(first) + parts[1] + parts[2][:-9] + b"".join(parts[3:])) == [1, 3, 4, 5]
+
+
+def test_salvage_of_mixed_kinds(tmp_path):
+    packed, plain = archive(True), archive(False)
+    assert salvaged(tmp_path, packed[0] + plain[1] + b"junk" + packed[2] + plain[3] + packed[4][:-9] + plain[5]) == [0, 1, 2, 3, 5]
+    stored = bytearray(warc.gzip.compress(plain[0], 0, mtime=0))
+    stored[-6] ^= 0xFF  # its checksum: the record within does not count
+    assert salvaged(tmp_path, bytes(stored) + packed[1] + plain[2]) == [1, 2]
+
+
 # 6: top-k
 
 
