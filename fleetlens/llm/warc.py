@@ -45,8 +45,8 @@ END = b"\r\n\r\n"
 PLACE = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
 PLACE_BYTES = 10
 CHUNK = 1 << 20
-# A header section is no longer than this.
-HEAD_BYTES = 1 << 16
+# No header goes on behind this.
+NEXT = re.compile(rb"\nWARC/1\.[01]\r?\n")
 
 
 def with_record_types(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
@@ -166,9 +166,9 @@ def parse(data: bytes) -> tuple[Record, int]:
         if len(data) < 10:
             raise IndexError
         raise Damaged("no version line")
-    stop = data.find(END, 0, HEAD_BYTES)
+    stop = data.find(END)
     if stop < 0:
-        if len(data) < HEAD_BYTES:
+        if not NEXT.search(data):
             raise IndexError
         raise Damaged("header without end")
     fields = {}

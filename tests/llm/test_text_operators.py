@@ -269,6 +269,15 @@ def test_warc_round_trip(spark):
     assert warc.read(spark, warc.write(pages.limit(0))).count() == 0
 
 
+def test_warc_round_trip_of_long_urls(spark):
+    urls = ["http://h/" + "x" * 70_000, "http://h/" + " ö" * 40_000, "http://h/" + "y" * 3_000_000]
+    pages = spark.createDataFrame([(i, u, "p" * 200) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    read = warc.read(spark, warc.write(pages)).orderBy("record_id").collect()
+    assert [(r.gap, r.record_type, r.target_uri) for r in read] == [
+        (None, "response" if i == 0 else "revisit", u.replace(" ", "%20")) for i, u in enumerate(urls)
+    ]
+
+
 def archive(packed):
     parts = [warc.record(i, f"http://h/{i}", bytes([65 + i]) * (50 + i), hashlib.sha256(bytes([65 + i]) * (50 + i)).hexdigest(), None, "2000-01-01T00:00:00Z") for i in range(6)]
     return [warc.gzip.compress(p, mtime=0) for p in parts] if packed else parts
@@ -323,6 +332,13 @@ def test_salvage_of_mixed_kinds(tmp_path):
     assert salvaged(tmp_path, bytes(stored) + packed[1] + plain[2]) == [1, 2]
 
 
+def test_salvage_of_long_headers(tmp_path):
+    long = [warc.record(i, "http://h/" + "x" * 200_000, b"p", hashlib.sha256(b"p").hexdigest(), None, "2000") for i in (7, 8)]
+    parts = archive(False)
+    cut = long[0].replace(warc.END, b"\r\n")[:-9] + b"\n"
+    assert salvaged(tmp_path, parts[0] + long[0] + cut + long[1] + cut + parts[1]) == [0, 7, 8, 1]
+
+
 # 6: top-k
 
 
