@@ -5,8 +5,8 @@ fitted by expectation-maximisation from word counts of labelled texts; a text's
 in a language is the sum over all segmentations of its words, by the forward algorithm.
 The language with the highest posterior (equal priors) is predicted, ties by name.
 
-Training takes all words of a hash sample of about ``sample_docs`` labelled documents of
-each language; rows without a label or text are no training rows. A null text, or one
+Training takes all words of a hash sample of ``sample_docs`` different labelled texts of each
+language, or of all if there are fewer; copies count once. Rows without a label or text are no training rows. A null text, or one
 without a letter, is ``und`` with score 0; so is every text if nothing could be learnt.
 Predictions depend on the text alone. Other columns are carried along; one that has the name
 of an output column is replaced.
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm import lattice
-from fleetlens.llm.common import written
+from fleetlens.llm.common import sampled_texts, written
 
 UNDETERMINED = "und"
 
@@ -52,11 +52,7 @@ def training_words(labelled: DataFrame, settings: Settings, text: str = "text",
     usable = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     )
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("docs")).withColumnRenamed("lang", "of_lang")
-    spot = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
-    sampled = usable.join(sizes, F.col("lang") == F.col("of_lang")).where(
-        spot * F.col("docs") < 1_000_000 * settings.sample_docs
-    )
+    sampled = sampled_texts(usable, settings.sample_docs, "lang")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

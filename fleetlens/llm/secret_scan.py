@@ -24,6 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm.common import sampled_texts
+
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -42,7 +44,7 @@ class Settings:
     per_char: float = 0.5
     in_all: float = 15.0
     pseudo: float = 0.5
-    # Documents, at most about so many, whose words are samples of ordinary identifiers.
+    # Different texts, at most so many, whose words are samples of ordinary identifiers.
     sample_docs: int = 1_000
 
     @property
@@ -68,7 +70,7 @@ def labelled_samples(docs: DataFrame, settings: Settings, text: str = "text") ->
 
     Random: what the patterns find in any document, and for every ordinary sample its MD5
     written in hex and in base64. Ordinary: the words of eight or more characters of a
-    hash sample of documents.
+    hash sample of different texts.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     found = docs.select(
@@ -80,9 +82,9 @@ def labelled_samples(docs: DataFrame, settings: Settings, text: str = "text") ->
             )
         ).alias("string")
     )
-    one_in = max(1, docs.select(text).count() // settings.sample_docs)
+    sampled = sampled_texts(docs.select(F.lit(0).alias("all"), F.col(text)), settings.sample_docs, "all", text)
     ordinary = (
-        docs.where(F.pmod(F.xxhash64(F.col(text)), F.lit(one_in)) == 0)
+        sampled
         .select(F.explode(F.regexp_extract_all(body, F.lit(r"[A-Za-z][A-Za-z0-9_-]{7,}"), 0)).alias("string"))
         .where(~F.col("string").rlike(ACCESS) & ~F.col("string").rlike(HEX) & ~F.col("string").rlike("[0-9].*[0-9]"))
     )

@@ -468,6 +468,20 @@ def test_language_id(spark):
     assert {r.lang_pred for r in language_id.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_training_samples_count_copies_once(spark):
+    settings = language_id.Settings(sample_docs=50)
+    rows = [(f"word{lang}{i}", lang) for lang in ("aa", "bb") for i in range(500)]
+    rows += [(f"copy{lang}{i}", lang) for lang in ("cc", "dd", "ee", "ff", "gg", "hh", "ii", "jj") for i in range(2)] * 400
+    rows += [(None, "aa"), ("unlabelled", None)]
+    words = language_id.training_words(spark.createDataFrame(rows, "text string, lang string").repartition(5), settings).collect()
+    assert all(r.n == 1 for r in words)
+    assert Counter(r.lang for r in words) == {"aa": 50, "bb": 50, **{x * 2: 2 for x in "cdefghij"}}
+    texts = [f"identifier_{a}_{b}" for a in "abcdefghij" for b in "abcdefghijklmnopqrs"] + ["copied_identifier"] * 200
+    samples = secret_scan.labelled_samples(docs_of(spark, texts), secret_scan.Settings(sample_docs=100))
+    got = Counter(r.string for r in samples.where("not random").collect())
+    assert len(got) == 100 and set(got.values()) == {1}
+
+
 def test_lattice_lm(spark, vocab):
     texts = EDGES + ["Foo bar FOO", "bar baz", "unseen words here", "Foo bar FOO"]
     docs = docs_of(spark, texts)
