@@ -1,6 +1,6 @@
 """All segmentations of words into the pieces of a fixed vocabulary, for many words at once.
 
-The vocabulary is that of a SentencePiece model file: its pieces up to ``PIECE_BYTES`` bytes
+The vocabulary is that of a SentencePiece model file: its pieces, of whatever length,
 and a piece for each byte, so every word has a segmentation. A word is preceded by a blank,
 the vocabulary's mark for the beginning of a word; no piece goes over the border of a word,
 so the words of a text are independent and its segmentations those of its words combined.
@@ -18,7 +18,6 @@ from dataclasses import dataclass
 import numpy as np
 import sentencepiece
 
-PIECE_BYTES = 16
 SLOT_BITS = 18
 # Fixed odd numbers of the hash.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -32,6 +31,7 @@ class Vocabulary:
     pieces: tuple[bytes, ...]
     slots: np.ndarray  # hash of the piece in a slot, 0: none
     ids: np.ndarray
+    longest: int  # bytes of the longest piece
 
     @property
     def size(self) -> int:
@@ -43,15 +43,15 @@ def _mixed(hashes: np.ndarray) -> np.ndarray:
     return np.maximum(mixed, np.uint64(1))
 
 
-def substring_hashes(data: np.ndarray, room: np.ndarray):
-    """For each length the places of the substrings that fit, and their hashes.
+def substring_hashes(data: np.ndarray, room: np.ndarray, longest: int):
+    """For each length up to ``longest`` the places of the substrings that fit, and their hashes.
 
     ``room`` is the number of bytes from a place to the end of its word.
     """
     codes = data.astype(np.uint64) + np.uint64(1)
     places = np.arange(len(data))
     rolled = np.zeros(len(data), dtype=np.uint64)
-    for length in range(1, PIECE_BYTES + 1):
+    for length in range(1, longest + 1):
         fits = np.flatnonzero(room[places] >= length)
         if not len(fits):
             return
@@ -76,7 +76,7 @@ def vocabulary(model_file: str) -> Vocabulary:
         if model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i):
             continue
         piece = model.id_to_piece(i).replace("▁", " ").encode()
-        if len(piece) <= PIECE_BYTES and b" " not in piece[1:]:
+        if b" " not in piece[1:]:
             listed.append(piece)
     pieces = tuple(dict.fromkeys(listed))
     slots = np.zeros(1 << SLOT_BITS, dtype=np.uint64)
@@ -87,7 +87,7 @@ def vocabulary(model_file: str) -> Vocabulary:
         while slots[at]:
             at = (at + 1) % len(slots)
         slots[at], ids[at] = found, i
-    return Vocabulary(pieces, slots, ids)
+    return Vocabulary(pieces, slots, ids, max(map(len, pieces)))
 
 
 def prior(vocab: Vocabulary) -> np.ndarray:
@@ -129,11 +129,13 @@ class Batch:
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
         # Nodes: a word of n bytes has n + 1 of them.
         self.nodes = self.starts + np.arange(len(words))
-        # pieces[l] are those of length l by the place where they begin.
+        # pieces[l] are those of length l by the place where they begin, if there are any.
         self.pieces = {}
         room = np.repeat(self.starts + self.sizes, self.sizes) - np.arange(len(self.data))
-        for length, places, hashes in substring_hashes(self.data, room):
+        for length, places, hashes in substring_hashes(self.data, room, vocab.longest):
             which, ids = lookup(vocab, hashes)
+            if not len(which):
+                continue
             self.pieces[length] = np.full(len(self.data), vocab.size, dtype=np.int32)
             self.pieces[length][places[which]] = ids
 
@@ -141,7 +143,7 @@ class Batch:
         """For each place t within words: how many words reach it, and the lengths to look at."""
         reach = np.searchsorted(-self.sizes, -np.arange(1, self.sizes[0] + 1), side="right")
         for t, n in enumerate(reach, start=1):
-            yield t, int(n), [l for l in range(1, min(t, PIECE_BYTES) + 1) if l in self.pieces]
+            yield t, int(n), [l for l in self.pieces if l <= t]
 
     def forward(self, scores: np.ndarray) -> np.ndarray:
         """Log-probability of every node; ``scores`` is pieces x models, natural logs."""

@@ -451,6 +451,19 @@ def test_lattice_against_all_segmentations(vocab):
     assert math.isfinite(lattice.word_scores(vocab, [long], scores[:, None])[0, 0])
 
 
+def test_lattice_has_long_pieces(vocab):
+    model = lattice.sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    usable = [i for i in range(model.get_piece_size()) if not any(f(i) for f in (model.is_control, model.is_unknown, model.is_byte, model.is_unused))]
+    pieces = {model.id_to_piece(i).replace("▁", " ").encode() for i in usable}
+    assert {p for p in pieces if b" " not in p[1:]} <= set(vocab.pieces)
+    scores = lattice.prior(vocab)
+    for word in ("является", "населения"):
+        assert (" " + word).encode() in pieces
+        weights = [math.exp(sum(scores[p] for p in way)) for way in ways((" " + word).encode(), vocab)]
+        got = lattice.word_scores(vocab, [b"a", word.encode()], scores[:, None])[1, 0]
+        assert math.isclose(got, math.log(sum(weights)), rel_tol=1e-12)
+
+
 def test_language_id(spark):
     english = ["the weather and the water are fine with them", "this is what they would say of it"]
     german = ["das wetter und das wasser sind gut mit ihnen", "dies ist was sie davon sagen würden"]
