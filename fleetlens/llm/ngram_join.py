@@ -39,7 +39,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import written
@@ -635,7 +635,10 @@ def all_links(pairs: DataFrame, common: DataFrame, sets: DataFrame, texts: DataF
 
 
 def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, n_shingles, component_id, row_hash): the component's least key for each row."""
+    """(key, n_shingles, component_id, row_hash, component): the component's least key for each row.
+
+    ``component`` names the component itself; it is null for the empty set.
+    """
     rows = shingle_sets(docs, settings, text, key)
     tokens = rows.agg(F.sum("n")).first()[0] or 0
     met = meetings(docs, tokens, settings, text)
@@ -662,19 +665,38 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
         .agg(F.min("least").alias("component_id"))
     )
     named = with_component(reps.select("set"), labels, "set", "component").join(smallest, "component")
-    named = named.select(F.col("set").alias("set_id"), "component_id")
+    named = named.select(F.col("set").alias("set_id"), "component_id", "component")
     return rows.join(named, "set_id", "left").select(
         F.col("key").alias(key),
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "key").alias("component_id"),
         "row_hash",
+        "component",
     )
 
 
 def one_of_each(docs: DataFrame, settings: Settings = Settings(), text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Keep of every component the rows with its least key; rows without a key all stay."""
-    found = join(docs, settings, text, key)
-    kept = found.where(F.col(key).isNull() | (F.col(key) == F.col("component_id"))).select("row_hash").distinct()
-    return docs.withColumn("__row", row_hash(key, text)).join(
-        kept.withColumnRenamed("row_hash", "__row"), "__row", "left_semi"
-    ).select(*docs.columns)
+    """Keep one row of every component, that of its least key; rows with the empty set all stay.
+
+    Null keys come last; of different texts under one key the one with the least hash stays,
+    and one of rows that repeat key and text, by the hash of all its columns.
+    """
+    found = join(docs, settings, text, key).select(F.col(key).alias("key"), "row_hash", "component")
+    found = written(found, "found")
+    first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "row_hash"))
+    firsts = found.where("component IS NOT NULL").groupBy("component").agg(first.alias("first")).select("first.row_hash")
+    counts = found.groupBy("row_hash").agg(F.count("*").alias("rows"))
+    firsts = written(firsts.join(counts, "row_hash"), "firsts")
+    empty = found.where("component IS NULL").select("row_hash").distinct()
+
+    def rows_of(hashes: DataFrame) -> DataFrame:
+        named = hashes.select(F.col("row_hash").alias("__row"))
+        return docs.withColumn("__row", row_hash(key, text)).join(named, "__row", "left_semi")
+
+    order = F.xxhash64(F.to_json(F.struct(*docs.columns)))
+    repeated = rows_of(firsts.where("rows > 1")).withColumn("__order", order)
+    rank = F.row_number().over(Window.partitionBy("__row").orderBy("__order"))
+    one = repeated.withColumn("__rank", rank).where("__rank = 1")
+    return rows_of(firsts.where("rows = 1").unionByName(empty.withColumn("rows", F.lit(1)))).select(*docs.columns).unionByName(
+        one.select(*docs.columns)
+    )

@@ -407,6 +407,19 @@ def test_ngram_join(spark, settings):
     assert {r.doc_id for r in kept} == {c for _, c in expected.values()}
 
 
+def test_one_row_of_each_component(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "s1"), (1, a, "s1"), (1, a, "s2"), (2, a, "s1"), (None, a, "s1")]  # repeated, a copy, a null id
+    rows += [(5, b, "s1"), (5, b + " more", "s1"), (5, b + " more", "s1")]  # linked texts under one id
+    rows += [(None, c, "s1"), (None, c, "s1"), (None, c + " more", "s1")]  # no id at all
+    rows += [(7, None, "s1"), (7, None, "s1"), (None, "", "s1"), (8, " ", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    kept = ngram_join.one_of_each(docs).collect()
+    worded = sorted((r.doc_id or 0, r.text[0]) for r in kept if r.text and r.text.strip())
+    assert worded == [(0, "c"), (1, "a"), (5, "b")]
+    assert Counter(r.doc_id for r in kept if not (r.text and r.text.strip())) == {7: 2, None: 1, 8: 1}
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.join(docs_of(spark, ["a"]).limit(0)).count() == 0
 
