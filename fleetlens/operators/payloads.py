@@ -10,6 +10,7 @@ from fleetlens.functions.resource import META_FIELDS, endpoint_id
 from fleetlens.operators.batching import collect_batches, number_batches
 from fleetlens.operators.ordered import with_position
 from fleetlens.schemas import LOG_COLUMNS
+from fleetlens.sinks.files import log_meta_or_empty
 
 ENDPOINT = ["host_id", "kind", "container_id"]
 
@@ -262,9 +263,10 @@ def log_payloads(
     product: str = "fleetlens",
 ) -> DataFrame:
     """Batches of log entries per key (host, source and, in a running job, tick) with
-    identity and metadata."""
+    identity and metadata; an entry without metadata has an empty record."""
     numbered = number_batches(logs, keys, order, size, slice_by)
-    batches = collect_batches(numbered, keys, F.struct(*LOG_COLUMNS))
+    entry = F.struct(*[log_meta_or_empty(F.col(c)).alias(c) if c == "meta" else c for c in LOG_COLUMNS])
+    batches = collect_batches(numbered, keys, entry)
     enriched = attach_meta(batches, meta).withColumn(
         "endpoint_id", endpoint_id(F.lit("host"), F.col("host_id"))
     )

@@ -28,7 +28,7 @@ def write_export(nested: DataFrame, path: str, fmt: str = "parquet", mode: str =
 
 
 def legacy_payload(payloads: DataFrame) -> DataFrame:
-    """Payload rows with re-typed counts and an empty record where metadata is null."""
+    """Payload rows with re-typed counts; null metadata stays null."""
     metric = lambda m: F.struct(
         *[
             m[f].alias(f)

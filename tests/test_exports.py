@@ -18,6 +18,7 @@ from fleetlens.operators.payloads import (
     route_endpoints,
 )
 from fleetlens.operators.rollup import stat_rollup
+from fleetlens.operators.payloads import log_payloads
 from fleetlens.sinks.files import log_meta_or_empty
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -199,3 +200,15 @@ def test_rollup(spark):
 def test_null_log_meta_becomes_an_empty_record(spark):
     df = spark.range(1).select(F.lit(None).cast(schemas.LOG_META).alias("m"))
     assert df.select(log_meta_or_empty(F.col("m")).alias("m")).first().m is not None
+
+
+def test_log_payloads_have_empty_metadata_for_null(spark):
+    ts = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    given = (*["p"] * len(schemas.LOG_META_FIELDS), {"k": "v"})
+    rows = [("h", ts, "info", m, "s", "c", i, {}, {}, meta) for i, (m, meta) in enumerate([("null", None), ("given", given)])]
+    meta = spark.createDataFrame([("h", "agent", "host", {})], "host_id string, agent_id string, hostname string, tags map<string,string>")
+    meta = meta.select("*", *[F.lit(None).cast("string").alias(f) for f in META_FIELDS if f not in meta.columns])
+    (row,) = log_payloads(spark.createDataFrame(rows, schemas.LOG_ENTRY), meta, ["host_id", "source"], ["pid"], 10, None).collect()
+    metas = {e.message: e.meta for e in row.logs}
+    assert metas["null"] is not None and set(metas["null"]) == {None}
+    assert tuple(metas["given"]) == given
