@@ -6,11 +6,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import bpe, language_id, lattice_lm, line_quality, mixing, ngram_join, pivot_topk, secret_scan, url_filter, warc
+from fleetlens.llm import (
+    alignment,
+    bpe,
+    language_id,
+    lattice_lm,
+    line_quality,
+    mixing,
+    ngram_join,
+    phrases,
+    pivot_topk,
+    secret_scan,
+    sharding,
+    url_filter,
+    warc,
+)
 from fleetlens.llm.common import id_remainder, table, tuned
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
+BPE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
+
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 URL_POLICY = url_filter.Policy(
@@ -85,6 +101,19 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tuned(spark), sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs, BPE_MODEL, PIECES)
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(tuned(spark), sf_dir, "documents").select("text", "lang"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(table(spark, sf_dir, "documents"))
+
+
 def _terms(terms: tuple[str, ...]) -> list[str]:
     return [f"CAST(regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') AS INTEGER)" for t in terms]
 
@@ -198,6 +227,42 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= 5
 """
 
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), cut AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM docs
+), grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase
+  FROM cut, range(1, 6) AS sizes(k)
+), counted AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang
+), often AS (
+  SELECT * FROM counted WHERE f >= 100
+), cuts AS (
+  SELECT lang, phrase, k AS size, f, unnest(range(1, k)) AS spot, string_split(phrase, ' ') AS w FROM often WHERE k > 1
+), parts AS (
+  SELECT lang, phrase, size, f, spot, array_to_string(w[:spot], ' ') AS head, array_to_string(w[spot + 1:], ' ') AS rest FROM cuts
+), scored AS (
+  SELECT p.lang, p.phrase, p.size, p.f AS a, h.f AS l, r.f AS r, n, spot,
+    CAST((1000::HUGEINT * p.f * n) // (h.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM parts p JOIN totals t ON p.lang = t.lang
+  JOIN often h ON p.lang = h.lang AND p.head = h.phrase JOIN often r ON p.lang = r.lang AND p.rest = r.phrase
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, spot) = 1
+), whole AS (
+  SELECT * FROM lowest c WHERE NOT EXISTS (
+    SELECT 1 FROM lowest x WHERE x.lang = c.lang AND x.size > c.size AND 100 * x.a >= 100 * c.a
+      AND contains(' ' || x.phrase || ' ', ' ' || c.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM whole QUALIFY rank <= 2000
+"""
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_warc": op2_warc,
@@ -209,6 +274,9 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_source_mix": op9_source_mix,
     "op10_line_quality": op10_line_quality,
+    "op11_alignment": op11_alignment,
+    "op12_phrases": op12_phrases,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLES = {
@@ -216,4 +284,5 @@ ORACLES = {
     "op6_pivot_topk": OP6_SQL,
     "op5_url_filter": OP5_SQL,
     "op10_line_quality": OP10_SQL,
+    "op12_phrases": OP12_SQL,
 }
