@@ -7,14 +7,15 @@ place in a hashed order, which makes the shards exactly even. Linked documents t
 rounds. A group joins the numbers of its documents in each shard (votes) and aims at the
 shard that has most of them among those with room; documents elsewhere ask to move there.
 Quotas limit how many may go from one shard to another: as many as come the other way, and
-the target's room beyond that. Larger votes go first. Documents without links have no wish;
-they take the places that are left at the end, so the law holds whatever has moved. A round
-never lowers the number of linked pairs within shards, and rounds end when nothing moves.
+the target's room beyond that. Larger votes go first. Rounds end when nothing moves, or
+after ``ROUNDS``. Groups that are in several shards even then give up their places and take
+what is left end to end, largest first, so that only groups at a border between two shards
+are cut. Documents without links have no wish; they take the last places, so the law holds
+whatever has moved.
 
 Documents of one group in one shard have the same neighbours and the same wish. They are
 moved as one counted bundle, which quotas can split: a group is at most as many rows as there
-are shards, however many copies it has, and no join has a hot key. A group larger than a
-shard fills whole shards one after the other.
+are shards, however many copies it has, and no join has a hot key.
 
 Places are numbered in two levels, by hash bucket and within the bucket, with about the square
 root of the number of rows as buckets. Only tables of shards by shards numbers reach the driver.
@@ -35,8 +36,9 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import written
 
 SHARDS = 16
-# Rounds beyond the number of shards, of which a single group may fill one each round.
-MORE_ROUNDS = 8
+ROUNDS = 12
+# Hash parts within which running sums are taken.
+PARTS = 1024
 GROUP = ["__g1", "__g2"]
 
 
@@ -77,28 +79,23 @@ def numbered(rows: DataFrame, keys: list[str], name: str, of: Column | None = No
     return local.join(offsets, [*keys, "__bucket"]).withColumn(name, F.col(name) + F.col("__before")).drop("__before")
 
 
-def asked(cells: DataFrame, room: list[int], shards: int) -> DataFrame:
+def asked(cells: DataFrame, room: list[int]) -> DataFrame:
     """Bundles that wish to move: where to (``__to``) and their rank by votes (``__class``, 0 last)."""
-    has_room = at(room, F.col("__shard")) > 0
-    tie = F.xxhash64(*GROUP, "__shard")
+    here = F.struct("__n", F.xxhash64(*GROUP, "__shard").alias("tie"), F.col("__shard").alias("to"))
     votes = cells.groupBy(*GROUP).agg(
-        F.max(F.when(has_room, F.struct("__n", tie.alias("tie"), F.col("__shard").alias("to")))).alias("roomy"),
-        F.max(F.struct("__n", tie.alias("tie"), F.col("__shard").alias("to"))).alias("any"),
+        F.max(F.when(at(room, F.col("__shard")) > 0, here)).alias("roomy"),
+        F.max(here).alias("any"),
         F.sum("__n").alias("all"),
     )
-    # No shard of the group has room: a small group may meet anew in one that has plenty.
-    freest = max(range(shards), key=lambda s: room[s])
-    meets = F.when(F.col("roomy").isNull() & (F.col("all") * 4 <= room[freest]), F.lit(freest))
+    freest = room.index(max(room))
+    # No shard of the group has room: it may meet anew where most is left, if it fits there.
+    meets = F.col("roomy").isNull() & (F.col("all") <= room[freest])
     wish = F.coalesce("roomy", "any")
-    moving = cells.join(votes, GROUP).withColumns(
-        {
-            "__to": F.coalesce(meets, wish["to"]).cast("int"),
-            "__class": F.floor(F.log2(wish["__n"].cast("double"))).cast("int"),
-        }
-    )
-    better = F.struct(wish["__n"], wish["tie"]) > F.struct(F.col("__n"), tie)
-    return moving.where((F.col("__to") != F.col("__shard")) & (meets.isNotNull() | better)).select(
-        *GROUP, "__shard", "__to", "__class", "__n"
+    to = F.when(meets, F.lit(freest)).otherwise(wish["to"])
+    fits = meets | (F.col("all") - wish["__n"] <= at(room, wish["to"]))
+    asking = cells.join(votes.select(*GROUP, wish.alias("wish"), to.alias("__to"), fits.alias("fits")), GROUP)
+    return asking.where((F.col("__to") != F.col("__shard")) & (F.col("fits") | (F.col("wish") > here))).select(
+        *GROUP, "__shard", "__to", F.floor(F.log2(F.col("wish.__n").cast("double"))).cast("int").alias("__class"), "__n"
     )
 
 
@@ -123,7 +120,7 @@ def moved(cells: DataFrame, requests: DataFrame, quota: list[int], shards: int)
     lane = ["__shard", "__to"]
     fine = Window.partitionBy(*lane, "__class", "__part").orderBy(*GROUP).rowsBetween(Window.unboundedPreceding, -1)
     coarse = Window.partitionBy(*lane).orderBy(F.desc("__class"), "__part").rowsBetween(Window.unboundedPreceding, -1)
-    parted = requests.withColumn("__part", F.pmod(F.xxhash64(*GROUP, F.lit("part")), F.lit(1024)))
+    parted = requests.withColumn("__part", F.pmod(F.xxhash64(*GROUP, F.lit("part")), F.lit(PARTS)))
     sums = parted.groupBy(*lane, "__class", "__part").agg(F.sum("__n").alias("__rows"))
     before = sums.withColumn("__before", F.coalesce(F.sum("__rows").over(coarse), F.lit(0))).drop("__rows")
     granted = (
@@ -158,30 +155,59 @@ def by_shard(cells: DataFrame, shards: int) -> list[int]:
     return sums
 
 
-def propagated(cells: DataFrame, most: list[int], shards: int) -> DataFrame:
-    """Rounds of moves until none is left; ``cells`` has the number of linked documents by group and shard."""
-    alone = Window.partitionBy(*GROUP)
+def end_to_end(cells: DataFrame, room: list[int]) -> DataFrame:
+    """Place whole groups one after the other into the room, largest first, the roomiest shard first."""
+    fine = Window.partitionBy("__class", "__part").orderBy(*GROUP).rowsBetween(Window.unboundedPreceding, -1)
+    coarse = Window.orderBy(F.desc("__class"), "__part").rowsBetween(Window.unboundedPreceding, -1)
+    groups = (
+        cells.groupBy(*GROUP)
+        .agg(F.sum("__n").alias("__n"))
+        .withColumn("__class", F.floor(F.log2(F.col("__n").cast("double"))).cast("int"))
+        .withColumn("__part", F.pmod(F.xxhash64(*GROUP, F.lit("part")), F.lit(PARTS)))
+    )
+    sums = groups.groupBy("__class", "__part").agg(F.sum("__n").alias("__rows"))
+    before = sums.withColumn("__before", F.coalesce(F.sum("__rows").over(coarse), F.lit(0))).drop("__rows")
+    ranges, low = [], 0
+    for shard in sorted(range(len(room)), key=lambda s: -room[s]):
+        ranges.append((low, low + room[shard], shard))
+        low += room[shard]
+    start = F.coalesce(F.sum("__n").over(fine), F.lit(0)) + F.col("__before")
+    placed = groups.join(before, ["__class", "__part"]).withColumn("__start", start)
+
+    def overlap(low: int, high: int) -> Column:
+        return F.least(F.col("__start") + F.col("__n"), F.lit(high)) - F.greatest("__start", F.lit(low))
+
+    spans = F.array(*(F.struct(F.lit(s).alias("s"), overlap(low, high).alias("n")) for low, high, s in ranges))
+    return placed.select(*GROUP, F.explode(F.filter(spans, lambda x: x["n"] > 0)).alias("c")).select(
+        *GROUP, F.col("c.s").alias("__shard"), F.col("c.n").alias("__n")
+    )
+
+
+def propagated(cells: DataFrame, most: list[int]) -> DataFrame:
+    """Cells after all moves; ``cells`` has the number of linked documents by group and shard."""
+    alone, shards = Window.partitionBy(*GROUP), len(most)
 
-    def split(rows: DataFrame) -> DataFrame:
-        """Groups in one shard are done; the others go on."""
-        return written(rows.withColumn("__open", F.count("*").over(alone) > 1), "shard-cells")
+    def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Groups that are in one shard are done; the others go on."""
+        state = written(rows.withColumn("__open", F.count("*").over(alone) > 1), "shard-cells")
+        return state.where("NOT __open").drop("__open"), state.where("__open").drop("__open")
 
-    state = split(cells)
-    filled, done = by_shard(state, shards), []
-    for _ in range(shards + MORE_ROUNDS):
-        done.append(state.where("NOT __open").drop("__open"))
-        still = state.where("__open").drop("__open")
+    whole, still = split(cells)
+    done, filled, held = [whole], by_shard(cells, shards), by_shard(still, shards)
+    for _ in range(ROUNDS):
         room = [m - f for m, f in zip(most, filled)]
-        requests = written(asked(still, room, shards), "shard-requests")
+        requests = written(asked(still, room), "shard-requests")
         quota = quotas(requests, room, shards)
         if not any(quota):
-            return reduce(DataFrame.unionByName, done, still)
-        held = by_shard(still, shards)
-        state = split(moved(still, requests, quota, shards))
-        filled = [f - h + n for f, h, n in zip(filled, held, by_shard(state, shards))]
-    return reduce(DataFrame.unionByName, done, state.where("__open").drop("__open")).unionByName(
-        state.where("NOT __open").drop("__open")
-    )
+            break
+        whole, still = split(moved(still, requests, quota, shards))
+        done.append(whole)
+        now = by_shard(still, shards)
+        filled = [f - h + n + w for f, h, n, w in zip(filled, held, now, by_shard(whole, shards))]
+        held = now
+    if any(held):
+        done.append(end_to_end(still, [m - f + h for m, f, h in zip(most, filled, held)]))
+    return reduce(DataFrame.unionByName, done)
 
 
 def from_cells(spot: Column, cells: Column) -> Column:
@@ -211,7 +237,8 @@ def assign(docs: DataFrame, shards: int = SHARDS, text: str = "text", id: str =
     most = capacities(total, shards)
     groups = rows.where("__linked")
     cells = groups.groupBy(*GROUP, F.pmod("__row", F.lit(shards)).cast("int").alias("__shard")).agg(F.count("*").alias("__n"))
-    cells = written(propagated(cells, most, shards), "shard-groups")
+    cells = written(cells, "shard-start")
+    cells = written(propagated(cells, most), "shard-groups")
 
     filled = by_shard(cells, shards)
     ends, end = [], 0
