@@ -1,39 +1,68 @@
-"""Previous-row and position operators that survive a hot key.
+"""Previous-row, latest-row and position operators that survive a hot key.
 
 A plain window over a series puts the whole series into one task. Here every series
-is cut into slices (a column that never decreases along the order). The wide rows are
-shuffled by series *and* slice; what crosses a slice border - the last row, or the row
-count - is aggregated before its shuffle and carried forward over one small row per
-slice. Results equal those of the plain window.
+is cut into slices (a column that never decreases along the order). Rows are shuffled
+once, by series *and* slice, and a window runs within each slice. The same sorted
+partitions give one border row per slice - the last value, or the row count - which is
+carried forward over a second, tiny window and joined back. Results equal those of the
+plain window, and the input is read once: both uses share one exchange. For that the
+payload of a row travels as one struct, so callers select the columns they need first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 _SLICE = "__slice"
 _KEY = "__key"
+_ROW = "__row"
+
+Over = Callable[[WindowSpec], Column]
 
 
-def _sliced(df: DataFrame, keys: list[str], slice_by: Column) -> DataFrame:
-    """Move the keys and the slice into one struct column.
+def _key_of(keys: list[str], slice_by: Column) -> Column:
+    """Keys and slice as one struct.
 
     A struct is never null and equals another one with nulls in the same places, so
     rows with null keys are kept, and no null checks on the keys are pushed down into
     (and evaluated once more in) the parse below.
     """
-    rest = [c for c in df.columns if c not in keys]
-    return df.select(F.struct(*keys, slice_by.alias(_SLICE)).alias(_KEY), *rest)
+    return F.struct(*keys, slice_by.alias(_SLICE)).alias(_KEY)
+
+
+def _payload(key: Column, columns: list[str]) -> Column:
+    """All columns as one struct that is read whole.
+
+    The condition always holds, but the optimizer cannot know it: the struct counts as
+    nullable, so that the null test in the sort order of :func:`_two_level` keeps it whole in
+    every use of the exchange, whichever columns are asked for above.
+    """
+    return F.when(F.length(F.concat(F.lit("k"), F.coalesce(key.cast("string"), F.lit("")))) > 0, F.struct(*columns))
 
 
-def _by_slice(keys: list[str]):
-    return W.partitionBy(*[F.col(_KEY)[k] for k in keys]).orderBy(F.col(_KEY)[_SLICE])
+def _two_level(rows: DataFrame, keys: list[str], order: list[Column], local: dict[str, Over], carry: dict[str, Over]) -> DataFrame:
+    """Add ``local`` columns, computed within slices, and ``carry`` columns, from earlier slices.
 
+    ``rows`` has a key struct and a payload. A carried column is computed over the
+    slices' border rows from one of the local columns; null where there is no earlier slice.
+    """
+    within = W.partitionBy(_KEY).orderBy(*order, F.col(_ROW).isNull())
+    # Said here, the shuffle lies below everything that the two uses project differently.
+    seen = rows.repartition(F.col(_KEY)).withColumns(
+        {name: over(within) for name, over in local.items()} | {"__end": F.lead(F.lit(1)).over(within).isNull()}
+    )
+    slices = W.partitionBy(*[F.col(_KEY)[k] for k in keys]).orderBy(F.col(_KEY)[_SLICE])
+    before = slices.rowsBetween(W.unboundedPreceding, -1)
+    borders = seen.filter("__end").select(_KEY, *[over(before).alias(name) for name, over in carry.items()])
+    return seen.drop("__end").join(borders, _KEY)
 
-def _restored(df: DataFrame, columns: list[str], keys: list[str], into: Column) -> DataFrame:
-    return df.select(*[F.col(_KEY)[c].alias(c) if c in keys else F.col(c) for c in columns], into)
+
+def _latest(value: Column) -> Over:
+    return lambda window: F.last(value, ignorenulls=True).over(window)
 
 
 def with_previous(
@@ -49,27 +78,21 @@ def with_previous(
     ``order`` must be total within a series. ``slice_by=None`` uses one plain window,
     for series that are known to be short.
     """
-    row = F.struct(*[F.col(v) for v in values])
-    by_order = [F.col(o) for o in order]
     if slice_by is None:
-        return df.withColumn(into, F.lag(row).over(W.partitionBy(*keys).orderBy(*by_order)))
-
-    sliced = _sliced(df, keys, slice_by)
-    if len(order) == 1:
-        # Plain columns only, so the partial aggregation is a hash one without a sort.
-        last = F.struct(*[F.col(f"__last_{v}").alias(v) for v in values])
-        tails = [F.max_by(v, by_order[0]).alias(f"__last_{v}") for v in values]
-    else:
-        last = F.col("__last")
-        tails = [F.max_by(row, F.struct(*by_order)).alias("__last")]
-    carried = (
-        sliced.groupBy(_KEY)
-        .agg(*tails)
-        .select(_KEY, F.lag(last).over(_by_slice(keys)).alias("__carried"))
+        row = F.struct(*[F.col(v) for v in values])
+        return df.withColumn(into, F.lag(row).over(W.partitionBy(*keys).orderBy(*[F.col(o) for o in order])))
+
+    key = _key_of(keys, slice_by)
+    rows = df.select(key, _payload(F.struct(*keys), df.columns).alias(_ROW))
+    row = F.struct(*[F.col(_ROW)[v].alias(v) for v in values])
+    paired = _two_level(
+        rows,
+        keys,
+        [F.col(_ROW)[o] for o in order],
+        {"__own": lambda w: row, "__local": lambda w: F.lag(row).over(w)},
+        {"__carried": _latest(F.col("__own"))},
     )
-    local = F.lag(row).over(W.partitionBy(_KEY).orderBy(*by_order))
-    joined = sliced.withColumn("__local", local).join(carried, _KEY, "left")
-    return _restored(joined, df.columns, keys, F.coalesce("__local", "__carried").alias(into))
+    return paired.select(f"{_ROW}.*", F.coalesce("__local", "__carried").alias(into))
 
 
 def with_position(
@@ -80,23 +103,82 @@ def with_position(
     into: str = "position",
 ) -> DataFrame:
     """Add ``into``: the 0-based place of each row within its keys."""
-    by_order = [F.col(o) for o in order]
     if slice_by is None:
-        return df.withColumn(
-            into, F.row_number().over(W.partitionBy(*keys).orderBy(*by_order)).cast("long") - 1
+        by_order = W.partitionBy(*keys).orderBy(*[F.col(o) for o in order])
+        return df.withColumn(into, F.row_number().over(by_order).cast("long") - 1)
+
+    key = _key_of(keys, slice_by)
+    rows = df.select(key, _payload(F.struct(*keys), df.columns).alias(_ROW))
+    placed = _two_level(
+        rows,
+        keys,
+        [F.col(_ROW)[o] for o in order],
+        {"__local": lambda w: F.row_number().over(w).cast("long")},
+        {"__offset": lambda w: F.sum("__local").over(w)},
+    )
+    place = F.coalesce("__offset", F.lit(0).cast("long")) + F.col("__local") - 1
+    return placed.select(f"{_ROW}.*", place.alias(into))
+
+
+def with_latest(
+    df: DataFrame,
+    others: dict[str, DataFrame],
+    keys: list[str],
+    at: str,
+    slices: Callable[[Column], Column] | None,
+    tie: str | None = None,
+    previous: tuple[str, list[str]] | None = None,
+) -> DataFrame:
+    """As-of join: add, for each of ``others``, its last row at or before the row's time.
+
+    All tables have ``keys`` and the time ``at``; the columns of another table arrive as a
+    struct of its name, null where it has no such row. Rows of one series and time are
+    taken in the order of ``tie``. All tables are merged into one ordered series per
+    key, so each is read once and shuffled once, and a hot key is split by slice.
+    ``previous`` names a struct of ``values`` of the row before, in the same pass.
+    """
+    slice_of = slices or (lambda ts: F.lit(0))
+    rank = F.lit(0).cast("long") if tie is None else F.col(tie).cast("long")
+    fields = {name: [c for c in other.columns if c not in keys] for name, other in others.items()}
+
+    def empty(name: str) -> Column:
+        return F.lit(None).cast(
+            "struct<" + ", ".join(f"`{c}`: {others[name].schema[c].dataType.simpleString()}" for c in fields[name]) + ">"
         )
 
-    sliced = _sliced(df, keys, slice_by)
-    before = _by_slice(keys).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(_KEY)
-        .agg(F.count("*").alias("n"))
-        .select(_KEY, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
+    rows = df.select(
+        _key_of(keys, slice_of(F.col(at))),
+        F.col(at).alias("__at"),
+        F.lit(1).alias("__kind"),
+        rank.alias("__tie"),
+        _payload(F.struct(*keys), df.columns).alias(_ROW),
+        *[empty(name).alias(name) for name in others],
     )
-    local = F.row_number().over(W.partitionBy(_KEY).orderBy(*by_order)).cast("long")
-    joined = sliced.withColumn("__local", local).join(offsets, _KEY)
-    place = F.col("__offset") + F.col("__local") - 1
-    return _restored(joined, df.columns, keys, place.alias(into))
+    for name, other in others.items():
+        own_rank = F.col(tie).cast("long") if tie in other.columns else F.lit(0).cast("long")
+        rows = rows.unionByName(
+            other.select(
+                _key_of(keys, slice_of(F.col(at))),
+                F.col(at).alias("__at"),
+                F.lit(0).alias("__kind"),
+                own_rank.alias("__tie"),
+                F.struct(*fields[name]).alias(name),
+            ),
+            allowMissingColumns=True,
+        )
+    tracked = {name: F.col(name) for name in others}
+    local = {f"__now_{name}": _latest(value) for name, value in tracked.items()}
+    carry = {f"__past_{name}": _latest(F.col(f"__now_{name}")) for name in tracked}
+    if previous is not None:
+        own = F.when(F.col("__kind") == 1, F.struct(*[F.col(_ROW)[v].alias(v) for v in previous[1]]))
+        local["__now_row"] = lambda w: F.last(own, ignorenulls=True).over(w)
+        local["__before"] = lambda w: F.last(own, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
+        carry["__past_row"] = _latest(F.col("__now_row"))
+    merged = _two_level(rows, keys, [F.col("__at"), F.col("__kind"), F.col("__tie")], local, carry)
+    out = [F.coalesce(f"__now_{name}", f"__past_{name}").alias(name) for name in others]
+    if previous is not None:
+        out.append(F.coalesce("__before", "__past_row").alias(previous[0]))
+    return merged.filter("__kind = 1").select(f"{_ROW}.*", *out)
 
 
 def fit_slice_seconds(

@@ -135,6 +135,38 @@ def docker_inspect(customer: DataFrame) -> DataFrame:
     )
 
 
+# When an order took a snapshot of its customer's container, within the time of the events.
+SNAPSHOT_US = (
+    f"{EPOCH_US} + unix_date(cast(o_orderdate as date)) % 30 * 86400000000 "
+    "+ o_orderkey * 7919 % 86400000 * 1000"
+)
+
+
+def list_snapshots(orders: DataFrame) -> DataFrame:
+    """List captures over time: each order shows its customer's container in another state."""
+    return orders.select(
+        F.lit("host0").alias("host_id"),
+        from_micros(F.expr(SNAPSHOT_US)).alias("ts"),
+        container_id("o_custkey").alias("id"),
+        F.expr("array(concat('/c', o_custkey))").alias("names"),
+        F.expr("concat('img', o_orderkey % 5, ':1.', o_orderkey % 10)").alias("image"),
+        F.expr("case o_orderstatus when 'F' then 'exited' when 'O' then 'running' else 'Running' end").alias("state"),
+        F.expr("map('tier', concat('t', o_orderkey % 3))").alias("labels"),
+        F.expr("array_repeat('/mnt', cast(o_orderkey % 4 as int))").alias("mounts"),
+        F.expr(f"{EPOCH_US // 1_000_000} + (o_orderkey % 30) * 86400").alias("created"),
+    )
+
+
+def inspect_snapshots(orders: DataFrame) -> DataFrame:
+    """Inspect captures of some of the list captures, at the same time."""
+    return orders.filter("o_totalprice >= 200000").select(
+        F.lit("host0").alias("host_id"),
+        from_micros(F.expr(SNAPSHOT_US)).alias("ts"),
+        container_id("o_custkey").alias("id"),
+        F.expr("case when o_orderkey % 2 = 0 then 'healthy' else 'unhealthy' end").alias("health_status"),
+    )
+
+
 def podman_list(customer: DataFrame) -> DataFrame:
     ports = (
         "case when c_custkey % 4 = 0 then array() else array("

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.maps import render_map
-from fleetlens.functions.text import format_ports, short_id
+from fleetlens.functions.text import format_ports, null_if_empty, short_id
 from fleetlens.operators.rates import network_totals, sample_rates
 from fleetlens.operators.rollup import stat_rollup
 from fleetlens.plans import adapters as A
@@ -514,6 +514,70 @@ def container_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select(short_id(F.col("id")).alias("container_id"), render_map(dims).alias("dims"))
 
 
+@query(
+    "podman_dims",
+    f"""WITH {S.CONTAINERS}
+SELECT cid AS container_id, {S.dims('podman', ports='ports')} AS dims FROM containers""",
+)
+def podman_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = A.podman_list(A.table(spark, sf_dir, "customer"))
+    dims = containers.container_dims("podman", {"ports": null_if_empty(format_ports(F.col("ports")))})
+    return listed.select(short_id(F.col("id")).alias("container_id"), render_map(dims).alias("dims"))
+
+
+_SNAPSHOT_DIMS = S.dims(
+    "docker",
+    container_version="'1.' || (l.o_orderkey % 10)",
+    image="'img' || (l.o_orderkey % 5) || ':1.' || (l.o_orderkey % 10)",
+    mount_count="l.o_orderkey % 4",
+    name="'c' || l.o_custkey",
+    status="l.state",
+    health_status="i.health",
+    **{"label.tier": "'t' || (l.o_orderkey % 3)"},
+)
+_SNAPSHOTS = f"""WITH {S.SAMPLES},
+listed AS (
+  SELECT *, {S.EPOCH_US} + (epoch_us(o_orderdate) // 86400000000) % 30 * 86400000000
+      + o_orderkey * 7919 % 86400000 * 1000 AS at_us,
+    CASE o_orderstatus WHEN 'F' THEN 'exited' WHEN 'O' THEN 'running' ELSE 'Running' END AS state,
+    o_orderstatus <> 'F' AS running, {S.EPOCH_US} + (o_orderkey % 30) * 86400000000 AS created_us
+  FROM orders
+),
+inspected AS (
+  SELECT o_custkey, at_us, CASE WHEN o_orderkey % 2 = 0 THEN 'healthy' ELSE 'unhealthy' END AS health
+  FROM listed WHERE o_totalprice >= 200000
+),
+j AS (
+  SELECT r.*, l.running, l.created_us, {_SNAPSHOT_DIMS} AS dims
+  FROM rated r ASOF JOIN listed l ON r.user_id = l.o_custkey AND r.us >= l.at_us
+  ASOF LEFT JOIN inspected i ON r.user_id = i.o_custkey AND r.us >= i.at_us
+)"""
+
+
+@query(
+    "container_snapshots",
+    f"""{_SNAPSHOTS}
+SELECT us, name, round(CAST(value AS DOUBLE), 6) AS value, dims FROM (
+  SELECT us, 'uptime_seconds' AS name, {S.uptime('created_us')} AS value, dims FROM j
+  UNION ALL SELECT us, 'running', CASE WHEN running THEN 1 ELSE 0 END, dims FROM j
+  UNION ALL SELECT us, 'cpu_percent', cpu_percent, dims FROM j
+  UNION ALL SELECT us, 'net_rx_rate_bytes', rx_rate, dims FROM j)""",
+)
+def container_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each sample with the list and inspect capture of its time: state, image and health change."""
+    orders = A.table(spark, sf_dir, "orders")
+    rows = containers.docker_metrics(
+        A.list_snapshots(orders), A.docker_stats(A.events(spark, sf_dir)), A.inspect_snapshots(orders)
+    )
+    shown = ("uptime_seconds", "running", "cpu_percent", "net_rx_rate_bytes")
+    return rows.filter(F.col("name").isin(*shown)).select(
+        F.unix_micros("ts").alias("us"),
+        "name",
+        F.round("value", 6).alias("value"),
+        render_map(F.col("dimensions")).alias("dims"),
+    )
+
+
 @query(
     "container_uptime",
     f"""WITH {S.EV}, {S.CONTAINERS},

@@ -26,6 +26,7 @@ METRIC = ddl(
     f"stats {STATS}, storage_resolution int"
 )
 
+# The fields of a log record's metadata.
 LOG_META_FIELDS = (
     "platform app_name app_version container_id container_name unit service "
     "event_id user executable path"
@@ -76,6 +77,7 @@ RAW_HOST_DISK = ddl(
     "merged_read_count: u64, merged_write_count: u64, weighted_io: u64>>"
 )
 
+# What a host reports about itself.
 HOST_INFO_FIELDS = (
     "hostname os platform platform_family platform_version kernel_version kernel_arch "
     "virtualization_system virtualization_role"
@@ -90,8 +92,9 @@ RAW_HOST_NET = ddl(
     "bytes_recv: u64, packets_sent: u64, packets_recv: u64, errin: u64, errout: u64>>"
 )
 
+# List and inspect rows hold from their ``ts`` on; without one, from the beginning.
 RAW_DOCKER_LIST = ddl(
-    "host_id string, id string, names array<string>, image string, state string, "
+    "host_id string, ts timestamp, id string, names array<string>, image string, state string, "
     "labels map<string,string>, mounts array<string>, created bigint"
 )
 RAW_DOCKER_STATS = ddl(
@@ -103,10 +106,10 @@ RAW_DOCKER_STATS = ddl(
     "tx_packets: u64, rx_errors: u64, tx_errors: u64, rx_dropped: u64, tx_dropped: u64>>, "
     "blkio array<struct<major: int, minor: int, op: string, value: u64>>, pids u64"
 )
-RAW_DOCKER_INSPECT = ddl("host_id string, id string, health_status string")
+RAW_DOCKER_INSPECT = ddl("host_id string, ts timestamp, id string, health_status string")
 
 RAW_PODMAN_LIST = ddl(
-    "host_id string, id string, names array<string>, image string, state string, "
+    "host_id string, ts timestamp, id string, names array<string>, image string, state string, "
     "labels map<string,string>, mounts array<string>, "
     "ports array<struct<private_port: int, public_port: int, type: string>>"
 )
@@ -116,10 +119,11 @@ RAW_PODMAN_STATS = ddl(
     "memory struct<usage: u64, limit: u64>, "
     "networks map<string, struct<rx_bytes: u64, tx_bytes: u64>>"
 )
-RAW_PODMAN_INSPECT = ddl("host_id string, id string, started_at string")
+RAW_PODMAN_INSPECT = ddl("host_id string, ts timestamp, id string, started_at string")
 
 # Journal fields are declared as columns, not as an open map, so that a columnar or
 # JSON capture is pruned to them and the priority filter can reach the scan.
+# Names of journal fields.
 JOURNAL_FIELDS = (
     "MESSAGE PRIORITY SYSLOG_IDENTIFIER _SYSTEMD_UNIT _SYSTEMD_SLICE _EXE _CMDLINE _PID _UID UID "
     "MESSAGE_ID _COMM CONTAINER_ID CONTAINER_NAME _PRIORITY _HOSTNAME USERNAME SUDO_USER SSH_USER"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.maps import drop_null, literal_map, merge_maps, prefix_keys
+from fleetlens.functions.maps import drop_null, empty_map, literal_map, merge_maps, prefix_keys
 from fleetlens.functions.points import explode_points, flat_points_of, point, points_of, with_dims
 from fleetlens.functions.text import (
     format_ports,
@@ -15,8 +15,9 @@ from fleetlens.functions.text import (
     short_id,
     strip_slash,
 )
-from fleetlens.functions.timestamps import from_seconds, rfc3339, seconds_between
-from fleetlens.operators.rates import interface_total, sample_rates
+from fleetlens.functions.timestamps import from_seconds, rfc3339, seconds_between, slice_of
+from fleetlens.operators.ordered import with_latest
+from fleetlens.operators.rates import interface_total, rate_columns
 
 MAX_UPTIME_SECONDS = 1e6
 
@@ -42,19 +43,38 @@ PODMAN_ZEROS = [
 ]
 
 
+ON = ["host_id", "id"]
+
+
+def _timed(table: DataFrame) -> DataFrame:
+    """A capture without times holds from the beginning: null sorts first."""
+    return table if "ts" in table.columns else table.withColumn("ts", F.lit(None).cast("timestamp"))
+
+
+def _slices(seconds: int | None):
+    return None if seconds is None else lambda ts: slice_of(ts, seconds)
+
+
 def join_captures(
     containers: DataFrame,
     stats: DataFrame,
     inspect: DataFrame,
-    on: list[str],
+    on: list[str] | None = None,
+    slice_seconds: int | None = 3600,
 ) -> DataFrame:
-    """Listed containers with their stats (inner) and inspect record (left).
+    """Stats with the list and inspect record of the same time, or the latest before it.
 
-    A container without stats is skipped; a missing inspect record is tolerated. The
-    list and inspect side are joined first, so the wide stats rows are joined once.
+    A container that was not listed by then is skipped; a missing inspect record is
+    tolerated. A list row counts until the container's next one, so the number of rows
+    is that of the stats with an earlier list row, however often the list was taken.
     """
-    known = containers.join(inspect, on, "left")
-    return stats.join(known, on, "inner")
+    on = on or ON
+    others = {"listed": _timed(containers), "inspected": _timed(inspect)}
+    joined = with_latest(stats, others, on, "ts", _slices(slice_seconds)).filter("listed IS NOT NULL")
+    fields = [
+        F.col(name)[c].alias(c) for name, other in others.items() for c in other.columns if c not in (*on, "ts")
+    ]
+    return joined.select(*stats.columns, *fields)
 
 
 def is_running(state: Column) -> Column:
@@ -85,16 +105,6 @@ def container_dims(runtime: str, extra: dict[str, Column]) -> Column:
     return F.map_concat(drop_null(fixed), prefix_keys(F.col("labels"), "label."))
 
 
-def _known(
-    containers: DataFrame, inspect: DataFrame, on: list[str], dims: Column, started: Column
-) -> DataFrame:
-    """Listed containers with dimensions, state and start, computed once per container
-    and not once per sample."""
-    return containers.join(inspect, on, "left").select(
-        *on, dims.alias("dims"), "state", started.alias("started")
-    )
-
-
 def _interfaces() -> Column:
     """Network interfaces with the container's dimensions plus their own name."""
     return with_dims(
@@ -108,8 +118,25 @@ def _zero(value: Column) -> Column:
     return F.coalesce(value.cast("double"), F.lit(0.0))
 
 
-def _with_rates(joined: DataFrame, keys: list[str], slice_seconds: int | None, compat: bool) -> DataFrame:
-    prepared = joined.withColumns(
+COUNTERS = ["ts", "cpu_total", "cpu_system", "rx", "tx"]
+
+
+def _sampled(
+    stats: DataFrame,
+    listed: DataFrame,
+    inspected: DataFrame,
+    extra: Column,
+    on: list[str],
+    slice_seconds: int | None,
+    compat: bool,
+) -> DataFrame:
+    """Stats with rates, and the ``dims``, ``state`` and ``started`` that hold at their time.
+
+    One pass over one ordered series: the previous sample, the list row and the inspect
+    row all come from it. Dimensions are built once per list row; ``extra`` are those that
+    need the inspect row.
+    """
+    prepared = stats.withColumns(
         {
             "cpu_total": F.col("cpu")["total"],
             "cpu_system": F.col("cpu")["system"],
@@ -117,8 +144,17 @@ def _with_rates(joined: DataFrame, keys: list[str], slice_seconds: int | None, c
             "rx": interface_total(F.col("networks"), "rx_bytes"),
             "tx": interface_total(F.col("networks"), "tx_bytes"),
         }
+    ).withColumn("tie", F.xxhash64("cpu_total", "cpu_system", "rx", "tx"))
+    others = {"listed": listed, "inspected": inspected}
+    series = with_latest(prepared, others, on, "ts", _slices(slice_seconds), "tie", ("prev", COUNTERS))
+    known = series.filter("listed IS NOT NULL").withColumns(
+        {
+            "dims": merge_maps(F.col("listed.dims"), extra),
+            "state": F.col("listed.state"),
+            "started": F.coalesce("inspected.started", "listed.started"),
+        }
     )
-    return sample_rates(prepared, keys, ["ts"], slice_seconds, compat)
+    return rate_columns(known, compat).withColumn("interfaces", _interfaces())
 
 
 def _lifecycle(sub: str, started: Column, dims: Column) -> Column:
@@ -154,28 +190,28 @@ def docker_metrics(
     stats: DataFrame,
     inspect: DataFrame,
     on: list[str] | None = None,
-    keys: list[str] | None = None,
     slice_seconds: int | None = 3600,
     compat: bool = False,
 ) -> DataFrame:
     """All rows of a Docker capture.
 
-    ``on`` joins the three tables, ``keys`` names one container's sample series, which
-    has one sample per timestamp. Rates
-    are taken over the stats alone, before the join, so the wide rows meet the list
-    once and the explode comes last.
+    ``on`` names one container's series, in all three tables. List and inspect rows hold
+    from their ``ts`` on; tables without that column hold throughout.
     """
-    on = on or ["host_id", "id"]
-    rated = _with_rates(stats, keys or ["host_id", "id"], slice_seconds, compat)
-    dims = F.col("dims")
-    known = _known(
-        containers,
-        inspect,
-        on,
-        container_dims("docker", {"health_status": F.col("health_status")}),
-        F.when(F.col("created") > 0, from_seconds(F.col("created"))),
+    on = on or ON
+    listed = _timed(containers).select(
+        *on,
+        "ts",
+        container_dims("docker", {}).alias("dims"),
+        "state",
+        F.when(F.col("created") > 0, from_seconds(F.col("created"))).alias("started"),
+    )
+    inspected = _timed(inspect).select(
+        *on, "ts", "health_status", F.lit(None).cast("timestamp").alias("started")
     )
-    joined = rated.join(known, on, "inner").withColumn("interfaces", _interfaces())
+    health = drop_null(literal_map({"health_status": F.col("inspected.health_status")}))
+    joined = _sampled(stats, listed, inspected, health, on, slice_seconds, compat)
+    dims = F.col("dims")
     cpu, mem = F.col("cpu"), F.col("memory")
 
     def counter(name: str, value: Column, unit: str, extra: dict | None = None) -> Column:
@@ -247,21 +283,20 @@ def podman_metrics(
     stats: DataFrame,
     inspect: DataFrame,
     on: list[str] | None = None,
-    keys: list[str] | None = None,
     slice_seconds: int | None = 3600,
     compat: bool = False,
 ) -> DataFrame:
     """All rows of a Podman capture; what it does not report is a constant 0."""
-    on = on or ["host_id", "id"]
-    rated = _with_rates(stats, keys or ["host_id", "id"], slice_seconds, compat)
-    known = _known(
-        containers,
-        inspect,
-        on,
-        container_dims("podman", {"ports": null_if_empty(format_ports(F.col("ports")))}),
-        rfc3339(F.col("started_at")),
+    on = on or ON
+    listed = _timed(containers).select(
+        *on,
+        "ts",
+        container_dims("podman", {"ports": null_if_empty(format_ports(F.col("ports")))}).alias("dims"),
+        "state",
+        F.lit(None).cast("timestamp").alias("started"),
     )
-    joined = rated.join(known, on, "inner").withColumn("interfaces", _interfaces())
+    inspected = _timed(inspect).select(*on, "ts", rfc3339(F.col("started_at")).alias("started"))
+    joined = _sampled(stats, listed, inspected, empty_map(), on, slice_seconds, compat)
     dims, cpu, mem = F.col("dims"), F.col("cpu"), F.col("memory")
     zero = F.lit(0.0)
     fixed = F.array(

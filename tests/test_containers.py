@@ -110,6 +110,28 @@ def test_podman_zeros_and_start(spark, tmp_path):
     assert by_name["net_rx_bytes"].value == 7
 
 
+def test_state_follows_the_snapshots(spark, tmp_path):
+    at = lambda hour: f"2024-01-12T{hour:02d}:00:00Z"
+    base = {"id": ID, "names": ["/web"], "created": 1704931200}
+    listed = [
+        {**base, "ts": at(1), "image": "img:1", "state": "running"},
+        {**base, "ts": at(5), "image": "img:2", "state": "exited"},
+        {**base, "ts": at(9), "image": "img:2", "state": "running"},
+    ]
+    stats = [{"id": ID, "ts": at(h), "cpu": {"total": h, "system": h, "online": 1}} for h in (0, 1, 4, 5, 8, 12)]
+    inspect = [{"id": ID, "ts": at(5), "health_status": "unhealthy"}]
+    rows = [r for r in docker(spark, tmp_path, listed, stats, inspect) if r["name"] == "running"]
+    shown = {r.ts.hour: (r.value, r.dimensions["image"], r.dimensions.get("health_status")) for r in rows}
+    assert shown == {
+        1: (1.0, "img:1", None),
+        4: (1.0, "img:1", None),
+        5: (0.0, "img:2", "unhealthy"),
+        8: (0.0, "img:2", "unhealthy"),
+        12: (1.0, "img:2", "unhealthy"),
+    }
+    assert len(rows) == 5  # stats before the first list row have no container
+
+
 def test_list_is_not_hinted_for_broadcast(spark, sf_dir):
     from fleetlens.plans import q_metrics
 

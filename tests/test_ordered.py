@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fleetlens.operators.batching import collect_batches, number_batches
-from fleetlens.operators.ordered import fit_slice_seconds, with_position, with_previous
+from fleetlens.operators.ordered import fit_slice_seconds, with_latest, with_position, with_previous
 
 RELAXED = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -99,3 +99,59 @@ def test_slice_width_follows_density(spark):
     )
     assert fit_slice_seconds(df, ["k"], "ts", target_rows=360) == 360
     assert fit_slice_seconds(df, ["k"], "ts") == 3600
+
+
+others = st.lists(st.tuples(st.sampled_from("abc"), st.integers(-5, 60)), max_size=25, unique=True)
+
+
+@RELAXED
+@given(data=rows, listed=others, inspected=others, width=st.sampled_from([1, 7, None]))
+def test_latest_row_crosses_slices(spark, data, listed, inspected, width):
+    df = spark.createDataFrame(data, "k string, at int").withColumn("listed", F.lit("clash"))
+    a = spark.createDataFrame(listed, "k string, at int").withColumn("v", F.col("at") * 10)
+    b = spark.createDataFrame(inspected, "k string, at int").withColumn("w", F.concat("k", "at"))
+    cut = None if width is None else (lambda at: F.floor(at / width))
+    got = with_latest(df.drop("listed"), {"la": a, "lb": b}, ["k"], "at", cut, previous=("prev", ["at"])).collect()
+
+    def last(table, k, at):
+        times = [x for own, x in table if own == k and x <= at]
+        return max(times) if times else None
+
+    assert sorted((r.k, r.at) for r in got) == sorted(data)
+    before = expected_previous(data)
+    for r in got:
+        assert (r.la and r.la["at"]) == last(listed, r.k, r.at)
+        assert (r.la and r.la["v"]) == (None if r.la is None else r.la["at"] * 10)
+        assert (r.lb and r.lb["at"]) == last(inspected, r.k, r.at)
+        assert (r.prev and r.prev["at"]) == before[r.k, r.at]
+
+
+def test_rows_without_time_hold_from_the_beginning(spark):
+    df = spark.createDataFrame([("a", 5), ("b", 5)], "k string, at int")
+    always = spark.createDataFrame([("a", None, "x")], "k string, at int, v string")
+    got = with_latest(df, {"known": always}, ["k"], "at", lambda at: F.floor(at / 2)).collect()
+    assert {r.k: r.known and r.known["v"] for r in got} == {"a": "x", "b": None}
+    nothing = always.filter("v = 'y'")
+    assert [r.known for r in with_latest(df, {"known": nothing}, ["k"], "at", None).collect()] == [None, None]
+
+
+def scans(df) -> list[str]:
+    """Tables that the executed plan reads, once for each time."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    return [line.rsplit("/", 1)[-1].split("]")[0] for line in final.splitlines() if "FileScan" in line]
+
+
+def test_one_scan_for_each_capture(spark, sf_dir):
+    import __spark_entry__ as entry_point
+
+    queries = entry_point.queries()
+    for name, tables in {
+        "cpu_percent": ["events.parquet"],
+        "net_rate": ["events.parquet"],
+        "log_batches": ["conversations.parquet"],
+        "docker_metrics": ["customer.parquet", "customer.parquet", "events.parquet"],  # list and inspect
+        "container_snapshots": ["events.parquet", "orders.parquet", "orders.parquet"],
+    }.items():
+        assert sorted(scans(queries[name](spark, sf_dir))) == tables, name
