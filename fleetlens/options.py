@@ -40,10 +40,15 @@ class StreamOptions:
     """Where a stream keeps its progress and how it is paced.
 
     ``max_files_per_trigger`` is the back-pressure: input waits instead of being
-    dropped when the job cannot keep up.
+    dropped when the job cannot keep up. ``delay`` is how far behind the newest row a
+    snapshot or tick is closed, ``late`` the folder of rows that come after that (beside the
+    output by default). Rows at or after ``end`` only move the time on.
     """
 
     output: str
     checkpoint: str
     trigger: dict = field(default_factory=lambda: {"availableNow": True})
     max_files_per_trigger: int | None = None
+    delay: str = "10 minutes"
+    end: str | None = None
+    late: str | None = None

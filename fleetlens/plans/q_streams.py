@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.options import MetricOptions, StreamOptions
@@ -31,9 +31,29 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.with_instant(stream_table(spark, sf_dir, "events"))
 
 
-def new_options(spark: SparkSession, label: str) -> StreamOptions:
+def new_options(spark: SparkSession, label: str, **more) -> StreamOptions:
     folder = work_folder(spark, label)
-    return StreamOptions(output=f"{folder}/out", checkpoint=f"{folder}/checkpoint")
+    return StreamOptions(output=f"{folder}/out", checkpoint=f"{folder}/checkpoint", **more)
+
+
+# Files that a table is cut into, and a row that comes after all others.
+FILES = 5
+END = "2030-01-01 00:00:00"
+
+
+def cut_stream(rows: DataFrame, piece: Column, ts: str) -> DataFrame:
+    """A table as a stream of files that arrive one after the other, one for each trigger.
+
+    ``piece`` tells the file of a row; groups are cut wherever it changes. The last file has
+    one row, of nulls but for its time, that closes what is open.
+    """
+    spark = rows.sparkSession
+    folder = f"{work_folder(spark, 'cut')}/in"
+    for k in range(FILES):
+        rows.filter(piece == k).write.mode("append").parquet(folder)
+    last = [F.lit(END if c == ts else None).cast(kind).alias(c) for c, kind in rows.dtypes]
+    spark.range(1).select(*last).write.mode("append").parquet(folder)
+    return jobs.read_files(spark, folder, rows.schema, "parquet", 1)
 
 
 @query(
@@ -65,28 +85,34 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "stream_metrics",
-    f"""WITH {S.APP}
-SELECT host_id, kind, endpoint_id, day_us AS tick_us, CAST(0 AS BIGINT) AS part, count(*) AS n,
-  string_agg(CAST(us AS VARCHAR), ',' ORDER BY us, event_id) AS times
-FROM routed GROUP BY host_id, kind, endpoint_id, day_us
-HAVING count(*) <= 1000
-UNION ALL
-SELECT host_id, kind, endpoint_id, day_us, rn // 1000, count(*), string_agg(CAST(us AS VARCHAR), ',' ORDER BY rn)
-FROM (SELECT *, row_number() OVER w - 1 AS rn, count(*) OVER (PARTITION BY endpoint_id, day_us) AS size
-  FROM routed WINDOW w AS (PARTITION BY endpoint_id, day_us ORDER BY us, event_id))
-WHERE size > 1000 GROUP BY host_id, kind, endpoint_id, day_us, rn // 1000""",
+    f"""WITH {S.APP},
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS rn, count(*) OVER (PARTITION BY endpoint_id, day_us) AS size
+  FROM routed WINDOW w AS (PARTITION BY endpoint_id, day_us ORDER BY us, event_id)
+)
+SELECT host_id, kind, endpoint_id, day_us AS tick_us, rn // 100 AS part, (max(size) + 99) // 100 AS parts, count(*) AS n,
+  string_agg(CAST(us AS VARCHAR), ',' ORDER BY rn) AS times
+FROM placed GROUP BY host_id, kind, endpoint_id, day_us, rn // 100""",
 )
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payloads per endpoint and day, shaped batch by batch."""
-    options = new_options(spark, "metrics")
-    rows = A.app_metrics(stream_events(spark, sf_dir))
-    jobs.metric_stream(rows, 86400, options, MetricOptions()).awaitTermination()
-    return q_endpoints.payload_text(spark.read.parquet(options.output))
+    """Payloads per endpoint and day from files that cut the days, one file for each micro-batch."""
+    options = new_options(spark, "metrics", delay="7 days", end=END)
+    rows = A.app_metrics(A.events(spark, sf_dir))
+    # Six days and a bit: the borders fall within days.
+    piece = F.least(F.floor((F.unix_micros("ts") - S.EPOCH_US) / (6.1 * 86_400_000_000)), F.lit(FILES - 1))
+    jobs.metric_stream(cut_stream(rows, piece, "ts"), 86400, options, MetricOptions(max_points=100)).awaitTermination()
+    written = spark.read.parquet(options.output)
+    return q_endpoints.payload_text(written).join(
+        written.select("endpoint_id", F.unix_micros("tick").alias("tick_us"), "part", "parts"),
+        ["endpoint_id", "tick_us", "part"],
+    )
 
 
 @query("stream_processes", q_processes.PAYLOAD_SQL)
 def processes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    options = new_options(spark, "processes")
-    rows = process_rows(A.process_table(stream_table(spark, sf_dir, "customer")))
-    jobs.process_stream(rows, options).awaitTermination()
+    """One top list per host and snapshot, though each snapshot is cut over all files."""
+    options = new_options(spark, "processes", end=END)
+    rows = process_rows(A.process_table(A.table(spark, sf_dir, "customer")))
+    piece = F.pmod("pid", F.lit(FILES))
+    jobs.process_stream(cut_stream(rows, piece, "snapshot_ts"), options).awaitTermination()
     return q_processes.payload_text(spark.read.parquet(options.output))

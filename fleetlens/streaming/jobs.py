@@ -20,9 +20,10 @@ from fleetlens.operators.payloads import (
     route_endpoints,
     with_tie,
 )
-from fleetlens.operators.topn import top_processes
+from fleetlens.operators.topn import SNAPSHOT, top_processes
 from fleetlens.options import MetricOptions, ProcessOptions, StreamOptions
 from fleetlens.sources.processes import process_payloads
+from fleetlens.streaming.closing import Held, HeldTop, closed_groups
 from fleetlens.streaming.stateful import stream_rates
 
 
@@ -67,18 +68,33 @@ def write_batches(
     name: str,
     fmt: str = "parquet",
 ) -> StreamingQuery:
-    """Shape every micro-batch as a whole and write it under its own batch folder.
+    """Shape every micro-batch as a whole and write it under its own folder of query and batch.
 
     A batch that is run again after a failure overwrites its folder, so no payload is
-    written twice.
+    written twice; another checkpoint is another query and leaves earlier output alone. Rows
+    flagged ``late`` are not shaped but written as they are to the side output.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        shape(batch).write.mode("overwrite").format(fmt).save(f"{options.output}/batch={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        place = f"query={query}/batch={batch_id}"
+        if "late" in batch.columns:
+            batch.persist()
+            late = batch.filter("late").drop("late")
+            late.write.mode("overwrite").format(fmt).save(f"{late_folder(options)}/{place}")
+            shape(batch.filter("NOT late").drop("late")).write.mode("overwrite").format(fmt).save(f"{options.output}/{place}")
+            batch.unpersist()
+        else:
+            shape(batch).write.mode("overwrite").format(fmt).save(f"{options.output}/{place}")
 
     return _start(rows, options, name).foreachBatch(handle).start()
 
 
+def late_folder(options: StreamOptions) -> str:
+    """Where rows go that come after their group is closed."""
+    return options.late or f"{options.output.rstrip('/')}-late"
+
+
 def metric_stream(
     metrics: DataFrame,
     tick_seconds: int,
@@ -87,18 +103,30 @@ def metric_stream(
     meta: DataFrame | None = None,
     start_ts=None,
 ) -> StreamingQuery:
-    """Payloads per endpoint and tick; with identity and tags when ``meta`` is given."""
+    """Payloads per endpoint and tick; with identity and tags when ``meta`` is given.
+
+    An endpoint's rows of a tick are held until the watermark has passed the tick's end,
+    whichever micro-batches they come in. ``parts`` is the number of its payloads.
+    """
+    routed = with_tie(route_endpoints(metrics)).withColumn("tick", tick_of(F.col("ts"), tick_seconds))
+    closes = f"unix_millis(tick) + {tick_seconds * 1000 - 1}"
+    whole = closed_groups(routed, ["endpoint_id", "tick"], "ts", closes, options.delay, Held(), options.end)
 
     def shape(batch: DataFrame) -> DataFrame:
-        routed = with_tie(route_endpoints(batch)).withColumn("tick", tick_of(F.col("ts"), tick_seconds))
         slices = F.unix_seconds("ts")
         if meta is None:
             keys = ["host_id", "kind", "endpoint_id", "tick"]
-            return assemble_payloads(routed, keys, METRIC_ORDER, job.max_points, slices)
+            return with_parts(assemble_payloads(batch, keys, METRIC_ORDER, job.max_points, slices))
         start = F.lit(start_ts).cast("timestamp")
-        return metric_payloads(routed, meta, METRIC_ORDER, start, job.max_points, slices, job.product)
+        return with_parts(metric_payloads(batch, meta, METRIC_ORDER, start, job.max_points, slices, job.product))
+
+    return write_batches(whole, shape, options, "fleetlens_metrics")
 
-    return write_batches(metrics, shape, options, "fleetlens_metrics")
+
+def with_parts(payloads: DataFrame) -> DataFrame:
+    """Add ``parts``, the number of payloads of the endpoint and tick."""
+    counted = payloads.groupBy("endpoint_id", "tick").agg(F.count("*").alias("parts"))
+    return payloads.join(counted, ["endpoint_id", "tick"])
 
 
 def log_stream(logs: DataFrame, options: StreamOptions) -> StreamingQuery:
@@ -114,9 +142,18 @@ def rate_stream(
 def process_stream(
     processes: DataFrame, options: StreamOptions, job: ProcessOptions = ProcessOptions()
 ) -> StreamingQuery:
-    """Heaviest processes per host and snapshot as payloads."""
+    """Heaviest processes per host and snapshot as payloads.
+
+    One payload per host and snapshot: a list of the candidates, bounded by the top-N, is
+    held until the watermark has passed the snapshot.
+    """
+    measures = ("cpu_percent",) if job.compat else ("cpu_percent", "mem_percent")
+    top = HeldTop(measures, "pid", 2 * job.top_n if job.compat else job.top_n)
+    whole = closed_groups(
+        processes, SNAPSHOT, "snapshot_ts", "unix_millis(snapshot_ts)", options.delay, top, options.end
+    )
 
     def shape(batch: DataFrame) -> DataFrame:
         return process_payloads(top_processes(batch, job.top_n, job.compat))
 
-    return write_batches(processes, shape, options, "fleetlens_processes")
+    return write_batches(whole, shape, options, "fleetlens_processes")

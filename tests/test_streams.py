@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fleetlens import schemas
 from fleetlens.operators.rates import sample_rates
 from fleetlens.operators.rollup import stat_rollup
-from fleetlens.options import StreamOptions
+from fleetlens.options import MetricOptions, StreamOptions
 from fleetlens.sources.syslog import auth_logs
 from fleetlens.streaming import jobs
 
@@ -89,25 +89,92 @@ def test_log_stream_from_text_files(spark, tmp_path):
     assert sorted(r.level for r in spark.read.parquet(opts.output).collect()) == ["info", "warn"]
 
 
-def test_metric_and_process_streams(spark, tmp_path):
-    metric = ("h", "N", "S", "m", T0, 1.0, "gauge", "u", {}, None, 0)
-    put(spark, [metric, metric], schemas.METRIC, str(tmp_path / "m"), 1000)
-    opts = options(tmp_path / "metrics")
-    jobs.metric_stream(
-        jobs.read_files(spark, str(tmp_path / "m"), schemas.METRIC, "parquet"), 60, opts
-    ).awaitTermination()
-    (row,) = spark.read.parquet(opts.output).collect()
-    assert row.kind == "host" and len(row.metrics) == 2
-
-    procs = [("h", T0, p, 0, "", "", "", float(p), 0.0, 1, None, {}) for p in range(50)]
-    put(spark, procs, schemas.PROCESS, str(tmp_path / "p"), 1000)
-    opts = options(tmp_path / "procs")
-    jobs.process_stream(
-        jobs.read_files(spark, str(tmp_path / "p"), schemas.PROCESS, "parquet"), opts
-    ).awaitTermination()
+END = dt.datetime(2030, 1, 1, tzinfo=dt.timezone.utc)
+
+
+def metric(second, value, name="m", host="h"):
+    return (host, "N", "S", name, T0 + dt.timedelta(seconds=second), value, "gauge", "u", {"k": "v"}, None, 0)
+
+
+def test_ticks_cut_by_files_give_one_set_of_payloads(spark, tmp_path):
+    folder = str(tmp_path / "m")
+    put(spark, [metric(s, float(s)) for s in (0, 5, 61)], schemas.METRIC, folder, 1000)
+    put(spark, [metric(s, float(s)) for s in (7, 59, 62)], schemas.METRIC, folder, 2000)
+    put(spark, [metric(400, float("nan"))], schemas.METRIC, folder, 3000)
+    opts = options(tmp_path, delay="2 minutes", end=str(END.replace(tzinfo=None)), max_files_per_trigger=1)
+
+    def run():
+        stream = jobs.read_files(spark, folder, schemas.METRIC, "parquet", 1)
+        jobs.metric_stream(stream, 60, opts, MetricOptions(max_points=3)).awaitTermination()
+
+    run()
+    shown = lambda: sorted(
+        (int(r.tick.timestamp() - T0.timestamp()), r.part, r.parts, [m.value for m in r.metrics])
+        for r in spark.read.parquet(opts.output).collect()
+    )
+    assert shown() == [(0, 0, 2, [0.0, 5.0, 7.0]), (0, 1, 2, [59.0]), (60, 0, 1, [61.0, 62.0])]
+    # The last tick is open; a row of the first one is late, after a restart.
+    put(spark, [metric(30, 30.0), metric((END - T0).total_seconds(), 0.0)], schemas.METRIC, folder, 4000)
+    run()
+    assert [x[:3] for x in shown()] == [(0, 0, 2), (0, 1, 2), (60, 0, 1), (360, 0, 1)]
+    (late,) = spark.read.parquet(jobs.late_folder(opts)).collect()
+    assert late.value == 30.0 and late.dimensions == {"k": "v"} and late.ts.timestamp() - T0.timestamp() == 30
+    run()
+    assert len(shown()) == 4
+
+
+def process(pid, cpu, mem=0.0, at=T0):
+    return ("h", at, pid, 0, "", "", "", cpu, mem, 1, None, {})
+
+
+def test_snapshot_cut_by_files_gives_one_top_list(spark, tmp_path):
+    folder = str(tmp_path / "p")
+    procs = [process(p, float(p)) for p in range(60)]
+    for k in range(3):
+        put(spark, procs[k::3], schemas.PROCESS, folder, 1000 + k)
+    put(spark, [process(1, 0.0, at=T0 + dt.timedelta(hours=1))], schemas.PROCESS, folder, 2000)
+    put(spark, [process(99, 99.0)], schemas.PROCESS, folder, 3000)
+    opts = options(tmp_path)
+    jobs.process_stream(jobs.read_files(spark, folder, schemas.PROCESS, "parquet", 1), opts).awaitTermination()
     (row,) = spark.read.parquet(opts.output).collect()
-    # top 20 by CPU are 49..30; all memory loads tie, so the lowest pids follow
-    assert [p.pid for p in row.processes] == [*range(49, 29, -1), *range(19, -1, -1)]
+    # top 20 by CPU are 59..40; all memory loads tie, so the lowest pids follow
+    assert [p.pid for p in row.processes] == [*range(59, 39, -1), *range(19, -1, -1)]
+    assert [r.pid for r in spark.read.parquet(jobs.late_folder(opts)).collect()] == [99]
+
+
+def test_held_candidates_are_bounded():
+    from fleetlens.streaming.closing import HeldTop
+
+    class Rows:
+        def __init__(self):
+            self.own = []
+
+        def get(self):
+            return iter(self.own)
+
+        def put(self, rows):
+            self.own = rows
+
+    import json
+    import pandas as pd
+
+    top = HeldTop(("cpu", "mem"), "pid", 3)
+    top.rows = Rows()
+    for start in range(0, 1000, 100):
+        rows = [json.dumps({"pid": p, "cpu": p % 17, "mem": -p}) for p in range(start, start + 100)]
+        top.keep(pd.DataFrame({"row": rows}))
+        assert len(top.rows.own) <= 6
+    pids = sorted(json.loads(r[0])["pid"] for r in top.rows.own)
+    assert pids == sorted({16, 33, 50, 0, 1, 2})
+
+
+def test_another_checkpoint_leaves_earlier_output_alone(spark, tmp_path):
+    for k in (1, 2):
+        folder = str(tmp_path / f"in{k}")
+        put(spark, [process(k, 1.0), process(1, 0.0, at=END)], schemas.PROCESS, folder, 1000)
+        opts = StreamOptions(str(tmp_path / "out"), str(tmp_path / f"cp{k}"), end=str(END.replace(tzinfo=None)))
+        jobs.process_stream(jobs.read_files(spark, folder, schemas.PROCESS, "parquet"), opts).awaitTermination()
+    assert sorted(r.processes[0].pid for r in spark.read.parquet(opts.output).collect()) == [1, 2]
 
 
 def test_batch_that_runs_again_overwrites_its_folder(spark, tmp_path):
