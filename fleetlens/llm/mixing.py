@@ -7,7 +7,9 @@ the source counts of a shard are a multinomial draw under the condition that the
 all shards meet the targets. Slot j of a source takes block ``permutation(j mod blocks)`` in
 round ``j div blocks`` (at most three rounds): every block is taken once before any is taken
 twice. The permutations are swap-or-not shuffles over exactly the indices in use, computed
-from hashes, so reruns agree and no order has to be stored or sorted.
+from hashes, so reruns agree and no order has to be stored or sorted. The drawn slots are joined
+with the blocks by source and index: what the mix takes of a document is the sum over these
+slots, and shard and place say where it stands in the output.
 
 Weights: sources by code point, null last, weigh 1, 2, 3 and so on in turn and share all
 words; a target stops at ``repeats`` times its source's size and the excess is shared again.
@@ -15,13 +17,16 @@ words; a target stops at ``repeats`` times its source's size and the excess is s
 A null text has size 0 and is never taken; null is a source like any other. Repeated rows
 are rows of their own. Running totals go over hash buckets of a source, about the square
 root of the number of rows, so that a hot source is spread. Everything is DataFrame
-expressions; only per-source totals meet in one task.
+expressions; only per-source totals meet in one task. Long texts are cut into blocks like
+others. Input columns stay out of the way of helper columns, which are kept apart from them
+in one struct; an empty table gives an empty mix.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,6 +129,7 @@ def draw(sources: DataFrame, plan: Plan) -> DataFrame:
     place = shuffled(F.col("first_slot") + F.col("slot"), F.col("all_slots"), seed)
     return slots.withColumn("place", place).select(
         "mix_source",
+        turn.alias("turn"),
         shuffled(F.col("slot") % F.col("blocks"), F.col("blocks"), seed, F.col("mix_source"), turn).alias("block"),
         F.floor(F.col("place") / plan.shard_slots).alias("shard"),
         (F.col("place") % plan.shard_slots).alias("place"),
@@ -168,54 +174,105 @@ def packed(rows: DataFrame, plan: Plan) -> DataFrame:
 
 
 def taken_blocks(rows: DataFrame, sources: DataFrame, plan: Plan) -> DataFrame:
-    """The packed pieces that the mix takes, with how often (``times``)."""
-    counts = draw(sources, plan).groupBy("mix_source", "block").agg(F.count("*").alias("times"))
-    counts = counts.withColumnsRenamed({"mix_source": "drawn_source", "block": "drawn_block"})
+    """One row for each packed piece and slot of the mix that takes it, with ``turn``, ``shard`` and ``place``."""
+    slots = draw(sources, plan).withColumnsRenamed({"mix_source": "drawn_source", "block": "drawn_block"})
     same = F.col("mix_source").eqNullSafe(F.col("drawn_source")) & (F.col("block") == F.col("drawn_block"))
-    return packed(rows, plan).join(counts, same).drop("drawn_source", "drawn_block")
+    return packed(rows, plan).join(slots, same).drop("drawn_source", "drawn_block")
 
 
 def report(docs: DataFrame, plan: Plan = Plan(), text: str = "text", source: str = "source") -> DataFrame:
-    """Per document its size, its source's size and target, and the words the mix takes of it."""
+    """Per document its size, its source's size and target, and the words the mix takes of it.
+
+    ``first_shard`` and ``first_place`` are where the mix first shows words of it, ``n_slots`` in
+    how many slots it has words; null, null and 0 where nothing is taken.
+    """
     rows = with_sizes(docs, text, source, "doc_id")
     sources = written(targets(rows, plan), "mix-sources")
-    taken = taken_blocks(rows, sources, plan).groupBy("row_id").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    taken = (
+        taken_blocks(rows, sources, plan)
+        .groupBy("row_id")
+        .agg(
+            F.sum("words").alias("taken"),
+            F.count("*").alias("n_slots"),
+            F.min(F.col("shard") * plan.shard_slots + F.col("place")).alias("first"),
+        )
+    )
     facts = sources.select(F.col("mix_source").alias("of_source"), "source_size", "target")
     return (
         rows.join(taken, "row_id", "left")
         .join(facts, F.col("mix_source").eqNullSafe(F.col("of_source")))
-        .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        .select(
+            "doc_id",
+            "size",
+            "source_size",
+            "target",
+            F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+            F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
+            F.floor(F.col("first") / plan.shard_slots).alias("first_shard"),
+            (F.col("first") % plan.shard_slots).alias("first_place"),
+        )
     )
 
 
-def mixed(docs: DataFrame, plan: Plan = Plan(), text: str = "text", source: str = "source") -> DataFrame:
+def shard_counts(docs: DataFrame, plan: Plan = Plan(), text: str = "text", source: str = "source") -> DataFrame:
+    """The draw itself: slots per output shard and source."""
+    sources = written(targets(with_sizes(docs, text, source, "doc_id"), plan), "mix-sources")
+    return draw(sources, plan).groupBy("shard", F.col("mix_source").alias("source")).agg(F.count("*").alias("slots"))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Rows as one struct, with a key that a second reading of them gives again.
+
+    Rows of a file are known by file and place in it. Other rows are written first.
+    """
+    try:
+        place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.col("_metadata.row_index"))
+        return docs.select(place.alias("row_id"), F.struct(*docs.columns).alias("doc"))
+    except AnalysisException:
+        numbered = docs.select(F.monotonically_increasing_id().alias("row_id"), F.struct(*docs.columns).alias("doc"))
+        return written(numbered, "mix-docs")
+
+
+def mixed(docs: DataFrame, plan: Plan = Plan(), text: str = "text", source: str = "source", id: str = "doc_id") -> DataFrame:
     """The documents of the mix, up to three rows each; words in blocks that are not taken are left out.
 
-    The columns are those of ``docs``. A copy that is taken whole keeps its text as it is.
+    The columns are those of ``docs``. A row of the mix is a document in one round of its
+    source's blocks; one that is taken whole keeps its text as it is. Within a file, rows
+    stand in the order of the shards and places where the mix first shows them.
     """
-    rows = written(docs.withColumn("row_id", F.monotonically_increasing_id()), "mix-docs")
-    sized = rows.select(
-        "doc_id",
-        "row_id",
-        F.col(source).cast("string").alias("mix_source"),
-        F.size(words_of(F.col(text))).cast("long").alias("size"),
-        F.xxhash64(F.col(text)).alias("text_hash"),
+    rows = keyed(docs)
+    sized = written(
+        rows.select(
+            "row_id",
+            F.col("doc")[id].alias("doc_id"),
+            F.col("doc")[source].cast("string").alias("mix_source"),
+            F.size(words_of(F.col("doc")[text])).cast("long").alias("size"),
+            F.xxhash64(F.col("doc")[text]).alias("text_hash"),
+        ),
+        "mix-sizes",
     )
     sources = written(targets(sized, plan), "mix-sources")
-    pieces = (
+    rounds = (
         taken_blocks(sized, sources, plan)
-        .groupBy("row_id", "size")
-        .agg(F.sort_array(F.collect_list(F.struct("from_word", "words", "times"))).alias("pieces"))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.array_max(F.transform("pieces", lambda p: p["times"])).cast("int"))))
-        .withColumn("pieces", F.filter("pieces", lambda p: p["times"] >= F.col("copy")))
-        .withColumn("whole", F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: a + p["words"]) == F.col("size"))
-        .select("row_id", "pieces", "whole")
+        .groupBy("row_id", "turn", "size")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("from_word", "words"))).alias("pieces"),
+            F.sum("words").alias("taken"),
+            F.min(F.struct("shard", "place")).alias("first"),
+        )
+        .select("row_id", F.struct("first", "pieces", (F.col("taken") == F.col("size")).alias("whole")).alias("copy"))
+        .groupBy("row_id")
+        .agg(F.collect_list("copy").alias("copies"))
     )
-    joined = rows.join(pieces, "row_id").withColumn(
-        "__words", F.when(F.col("whole"), F.array().cast("array<string>")).otherwise(words_of(F.col(text)))
+    # At most three copies a row; they are made after the texts have moved.
+    copies = rows.join(rounds, "row_id").select("doc", F.explode("copies").alias("copy"))
+    body = F.col("doc")[text]
+    words = F.when(~F.col("copy.whole"), words_of(body))
+    cut = F.flatten(
+        F.transform("copy.pieces", lambda p: F.slice("__words", p["from_word"].cast("int") + 1, p["words"].cast("int")))
     )
-    cut = F.flatten(F.transform("pieces", lambda p: F.slice("__words", p["from_word"].cast("int") + 1, p["words"].cast("int"))))
-    return (
-        joined.withColumn(text, F.when(F.col("whole"), F.col(text)).otherwise(F.array_join(cut, " ")))
-        .select(*docs.columns)
+    shown = copies.withColumn("__words", words).withColumn(
+        "__text", F.when(F.col("copy.whole"), body).otherwise(F.array_join(cut, " "))
     )
+    in_order = shown.select("doc", "__text", "copy.first").sortWithinPartitions("first")
+    return in_order.select(*[F.col("__text").alias(c) if c == text else F.col("doc")[c].alias(c) for c in docs.columns])

@@ -27,6 +27,7 @@ from fleetlens.llm import (
     mixing,
     ngram_join,
     pivot_topk,
+    queries,
     secret_scan,
     url_filter,
     warc,
@@ -242,6 +243,72 @@ def test_mixing(spark):
     assert mixing.report(docs.limit(0), plan).count() == 0
 
 
+def swap_or_not(spark, size, *keys):
+    """The permutation as a list, from the operator's own expression over literals."""
+    rows = spark.range(size).select("id", mixing.shuffled(F.col("id"), F.lit(size).cast("long"), *keys).alias("p"))
+    return [r.p for r in rows.orderBy("id").collect()]
+
+
+def test_mix_is_what_the_slots_take(spark):
+    """Words taken, slots and first shard of every document against a mix dealt out by hand."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{j}" for j in range(rng.randrange(60))), rng.choice(["a", "b", "b", None])) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.Plan(block_words=16, shard_slots=8)
+    sized = mixing.with_sizes(docs, "text", "source", "doc_id")
+    facts = {r.mix_source: r for r in mixing.targets(sized, plan).collect()}
+    buckets = max(1, round(len(rows) ** 0.5))
+    order = sized.select(
+        "doc_id", "mix_source", "size", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(buckets)).alias("b"), "text_hash"
+    ).collect()
+    blocks = {s: [] for s in facts}  # the words of a source, one owner a word
+    for r in sorted(order, key=lambda r: (r.b, r.doc_id, r.text_hash)):
+        blocks[r.mix_source] += [r.doc_id] * r.size
+    total = next(iter(facts.values())).all_slots
+    deck = swap_or_not(spark, total, F.lit(plan.seed))
+    taken, slots, first, by_shard = Counter(), Counter(), {}, Counter()
+    for source, fact in facts.items():
+        for slot in range(fact.slots):
+            turn, index = divmod(slot, fact.blocks)
+            own = swap_or_not(spark, fact.blocks, F.lit(plan.seed), F.lit(source).cast("string"), F.lit(turn).cast("long")) if index == 0 else own
+            place = deck[fact.first_slot + slot]
+            owners = Counter(blocks[source][own[index] * 16 : own[index] * 16 + 16])
+            taken.update(owners)
+            slots.update(owners.keys())
+            by_shard[place // 8, source] += 1
+            for doc in owners:
+                first[doc] = min(first.get(doc, place), place)
+    for r in mixing.report(docs, plan).collect():
+        spot = None if r.first_shard is None else r.first_shard * 8 + r.first_place
+        assert (r.taken, r.n_slots, spot) == (taken[r.doc_id], slots[r.doc_id], first.get(r.doc_id))
+    dealt = {(r.shard, r.source): r.slots for r in mixing.shard_counts(docs, plan).collect()}
+    assert dealt == dict(by_shard)
+    in_shard = Counter()
+    for (shard, _), n in dealt.items():
+        in_shard[shard] += n
+    assert set(in_shard.values()) <= {8, total % 8}
+
+
+def test_shards_are_in_the_plan(spark, sf_dir):
+    plan = queries.op9_source_mix(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "first_shard" in plan and "deck" not in plan and plan.count("coin") >= 2
+
+
+def test_mix_of_files_with_clashing_columns(spark, tmp_path):
+    rows = [(i, f"some words of {i} " * 40, "a", "keep") for i in range(30)] + [(3, "x " * 50_000, None, "keep")] * 2
+    names = ["pieces", "whole", "row_id", "copy", "first", "doc", "__words", "turn", "shard"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, pieces string")
+    docs = docs.withColumns({n: F.lit("keep") for n in names})
+    docs.write.parquet(f"{tmp_path}/docs")
+    plan = mixing.Plan(block_words=16)
+    filed = mixing.mixed(spark.read.parquet(f"{tmp_path}/docs"), plan)
+    assert filed.columns == docs.columns
+    got = filed.collect()
+    assert {r[n] for r in got for n in names} == {"keep"}
+    words = lambda rows: sum(len(r.text.split()) for r in rows)
+    assert words(got) == words(mixing.mixed(docs, plan).collect()) > 0
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 64, 100])
 def test_permutation(spark, n):
     places = spark.range(n).select(mixing.shuffled(F.col("id"), F.lit(n), F.lit(5)).alias("p")).collect()
