@@ -282,6 +282,7 @@ COLUMNS = (
     "path string, place long, bytes long, gap string, record_type string, record_id string, target_uri string, "
     "refers_to string, payload_digest string, payload_bytes long, payload binary"
 )
+MOST_TASKS = 100_000
 NAMES = [c.split()[0] for c in COLUMNS.split(", ")]
 
 
@@ -320,7 +321,8 @@ def read(spark: SparkSession, files: DataFrame, payloads: bool = True) -> DataFr
                 if rows:
                     yield pd.DataFrame(rows, columns=NAMES).astype({"payload_bytes": "Int64"})
 
-    spread = files.select("path").repartition("path")
+    # A number that is stated is kept: a task for each file, however small the list of paths is.
+    spread = files.select("path").repartition(max(1, min(files.count(), MOST_TASKS)))
     return spread.mapInPandas(run, COLUMNS)
 
 

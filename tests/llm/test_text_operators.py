@@ -336,6 +336,14 @@ def test_warc_round_trip(spark):
     assert warc.read(spark, warc.write(pages.limit(0))).count() == 0
 
 
+def test_each_archive_file_is_read_by_a_task_of_its_own(spark):
+    pages = spark.range(60).selectExpr("id as page_id", "'http://h/' || id as url", "repeat(id, 50) as html").repartition(6)
+    files = warc.write(pages)
+    n = files.count()
+    own = warc.read(spark, files).select("path", F.spark_partition_id().alias("task")).distinct().collect()
+    assert n > 1 and len(own) == n == len({r.task for r in own})
+
+
 def test_warc_round_trip_of_long_urls(spark):
     urls = ["http://h/" + "x" * 70_000, "http://h/" + " ö" * 40_000, "http://h/" + "y" * 3_000_000]
     pages = spark.createDataFrame([(i, u, "p" * 200) for i, u in enumerate(urls)], "page_id long, url string, html string")
