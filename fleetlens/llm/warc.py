@@ -322,7 +322,7 @@ def read(spark: SparkSession, files: DataFrame, payloads: bool = True) -> DataFr
                     yield pd.DataFrame(rows, columns=NAMES).astype({"payload_bytes": "Int64"})
 
     # A number that is stated is kept: a task for each file, however small the list of paths is.
-    spread = files.select("path").repartition(max(1, min(files.count(), MOST_TASKS)))
+    spread = files.select("path").repartitionByRange(max(1, min(files.count(), MOST_TASKS)), "path")
     return spread.mapInPandas(run, COLUMNS)
 
 
