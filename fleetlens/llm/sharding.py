@@ -225,9 +225,10 @@ def assign(docs: DataFrame, shards: int = SHARDS, text: str = "text", id: str =
     buckets = max(1, round(total**0.5))
     order = F.struct(F.xxhash64(F.col(id), "__g1", "size").alias("h"), F.col(id).cast("string"), F.col("__g1"), F.col("__g2"))
     linked = docs.where("__g2 IS NOT NULL").groupBy(*GROUP).agg(F.count("*").alias("__copies")).where("__copies > 1")
+    # Written first, both sides of the join are plain shuffles, of which a hot group's is split.
     rows = (
         docs.select(*kept, *GROUP)
-        .join(linked, GROUP, "left")
+        .join(written(linked, "shard-linked"), GROUP, "left")
         .withColumn("__linked", F.col("__copies").isNotNull())
         .withColumn("__order", order)
         .withColumn("__bucket", F.pmod(F.xxhash64("__order", F.lit("bucket")), F.lit(buckets)))
@@ -254,7 +255,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, text: str = "text", id: str =
         .groupBy(*GROUP)
         .agg(F.sort_array(F.collect_list(F.struct("end", F.col("__shard").alias("shard")))).alias("__cells"))
     )
-    together = numbered(groups, GROUP, "__spot").join(spans, GROUP)
+    together = numbered(groups, GROUP, "__spot").join(written(spans, "shard-spans"), GROUP)
     together = together.withColumn("shard", from_cells(F.col("__spot"), F.col("__cells"))).drop("__cells")
     placed = written(free.unionByName(together).drop("__spot", "__row", "__linked"), "shard-places")
     return numbered(placed, ["shard"], "slot").select(
