@@ -101,23 +101,43 @@ def with_position(
     order: list[str],
     slice_by: Column | None,
     into: str = "position",
+    last: dict[str, Column] | None = None,
+    least: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Add ``into``: the 0-based place of each row within its keys."""
+    """Add ``into``: the 0-based place of each row within its keys.
+
+    The same pass can tell every row about its whole series: the ``last`` non-null value
+    of an expression in the order, and the ``least`` value. What slices know of them is
+    merged in the order of the slices.
+    """
+    folds = [(name, value, F.last) for name, value in (last or {}).items()]
+    folds += [(name, value, F.min) for name, value in (least or {}).items()]
+
+    def fold(how, value: Column, window: WindowSpec) -> Column:
+        return (how(value, ignorenulls=True) if how is F.last else how(value)).over(window)
+
     if slice_by is None:
         by_order = W.partitionBy(*keys).orderBy(*[F.col(o) for o in order])
-        return df.withColumn(into, F.row_number().over(by_order).cast("long") - 1)
+        whole = by_order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+        return df.select(
+            "*",
+            (F.row_number().over(by_order).cast("long") - 1).alias(into),
+            *[fold(how, value, whole).alias(name) for name, value, how in folds],
+        )
 
     key = _key_of(keys, slice_by)
-    rows = df.select(key, _payload(F.struct(*keys), df.columns).alias(_ROW))
-    placed = _two_level(
-        rows,
-        keys,
-        [F.col(_ROW)[o] for o in order],
-        {"__local": lambda w: F.row_number().over(w).cast("long")},
-        {"__offset": lambda w: F.sum("__local").over(w)},
-    )
+    inputs = [value.alias(f"__in_{name}") for name, value, _ in folds]
+    rows = df.select(key, _payload(F.struct(*keys), [*df.columns, *inputs]).alias(_ROW))
+    local: dict[str, Over] = {"__local": lambda w: F.row_number().over(w).cast("long")}
+    carry: dict[str, Over] = {"__offset": lambda w: F.sum("__local").over(w)}
+    for name, _, how in folds:
+        local[f"__part_{name}"] = lambda w, n=name, h=how: fold(h, F.col(_ROW)[f"__in_{n}"], w)
+        carry[name] = lambda w, n=name, h=how: fold(
+            h, F.col(f"__part_{n}"), w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+        )
+    placed = _two_level(rows, keys, [F.col(_ROW)[o] for o in order], local, carry)
     place = F.coalesce("__offset", F.lit(0).cast("long")) + F.col("__local") - 1
-    return placed.select(f"{_ROW}.*", place.alias(into))
+    return placed.select(*[F.col(_ROW)[c].alias(c) for c in df.columns], place.alias(into), *[f[0] for f in folds])
 
 
 def with_latest(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from fleetlens.functions.maps import drop_null, literal_map, merge_maps, sorted_entries
 from fleetlens.functions.resource import META_FIELDS, endpoint_id
@@ -39,32 +40,38 @@ def container_rows(routed: DataFrame) -> DataFrame:
     return routed.filter(F.col("kind") == "container")
 
 
-def endpoint_profile(routed: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
-    """What the rows of an endpoint say about it, one row per key.
+def profile_columns() -> tuple[dict[str, Column], dict[str, Column]]:
+    """What rows say about their endpoint: values of which the last one counts, and the least one.
 
     Container name, image and status come from the last row that carries them; the
-    namespaces that tag the endpoint from its first row in name order. All columns are
-    plain aggregates, so rows are combined before the shuffle.
+    namespaces that tag the endpoint from its first row in name order.
     """
-    order = F.struct(*[F.col(s) for s in seq])
     dims = F.col("dimensions")
-    is_container = F.col("kind") == "container"
-
-    def last(value: Column, alias: str) -> Column:
-        own = F.when(is_container, value)
-        return F.max_by(own, F.when(own.isNotNull(), order)).alias(alias)
-
     status = F.when(
         F.col("name") == "running", F.when(F.col("value") == 1, "running").otherwise("stopped")
     )
-    first = F.min(F.struct("namespace", "sub_namespace", "name"))
-    profile = routed.groupBy(*keys).agg(
-        last(F.coalesce(dims["name"], dims["container_name"]), "container_name"),
-        last(dims["image_id"], "container_image_id"),
-        last(dims["image"], "container_image_name"),
-        last(status, "status"),
-        first.alias("first"),
-    )
+    last = {
+        "container_name": F.coalesce(dims["name"], dims["container_name"]),
+        "container_image_id": dims["image_id"],
+        "container_image_name": dims["image"],
+        "status": status,
+    }
+    own = {name: F.when(F.col("kind") == "container", value) for name, value in last.items()}
+    return own, {"first": F.struct("namespace", "sub_namespace", "name")}
+
+
+def profile_aggregates(order: Column) -> list[Column]:
+    """The profile as plain aggregates, which are combined before the shuffle."""
+    last, least = profile_columns()
+    return [
+        *[F.max_by(v, F.when(v.isNotNull(), order)).alias(name) for name, v in last.items()],
+        *[F.min(v).alias(name) for name, v in least.items()],
+    ]
+
+
+def endpoint_profile(routed: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
+    """What the rows of an endpoint say about it, one row per key."""
+    profile = routed.groupBy(*keys).agg(*profile_aggregates(F.struct(*[F.col(s) for s in seq])))
     return profile.select("*", "first.namespace", "first.sub_namespace").drop("first")
 
 
@@ -119,13 +126,17 @@ def log_tags(base: Column, hostname: Column, product: str = "fleetlens") -> Colu
 
 
 def attach_meta(df: DataFrame, meta: DataFrame, on: tuple[str, ...] = ("host_id",)) -> DataFrame:
-    """Left join of the metadata table as a ``meta`` struct; one row of a host counts.
+    """Left join of the metadata table as a ``meta`` struct; of several rows of a host the
+    one that is greatest, column by column, counts (maps by their sorted entries).
 
     No broadcast hint: the table grows with the fleet, and AQE broadcasts it once it
     has measured it to be small, or splits skewed hosts of a sort-merge join otherwise.
     """
-    one = meta.dropDuplicates(list(on))
-    packed = one.select(*on, F.struct(*[F.col(c) for c in meta.columns]).alias("meta"))
+    record = F.struct(*[F.col(c) for c in meta.columns])
+    rank = F.struct(
+        *[sorted_entries(F.col(f.name)) if isinstance(f.dataType, MapType) else F.col(f.name) for f in meta.schema]
+    )
+    packed = meta.groupBy(*on).agg(F.max_by(record, rank).alias("meta"))
     return df.join(packed, list(on), "left")
 
 
@@ -161,32 +172,39 @@ def assemble_payloads(
     slice_by: Column | None = None,
     fields: list[str] | None = None,
     place_by: list[str] | None = None,
+    profile: bool = False,
 ) -> DataFrame:
     """One payload per key (endpoint and tick) with its metrics as an array.
 
     ``order`` must be total within a key. A key with more than ``max_points`` rows is cut into numbered parts, so no array and
     no task grows with a hot endpoint; ``max_points=None`` is for captures whose ticks
     are known to be small and saves a shuffle. ``place_by`` names those of the keys that
-    determine the others, which keeps the numbering narrow.
+    determine the others, which keeps the numbering narrow. ``profile`` adds what the
+    rows of the whole key say about the endpoint, from the pass that numbers them.
     """
     fields = fields or METRIC_FIELDS
     rank = F.struct(*[F.col(o) for o in order])
+    last, least = profile_columns() if profile else ({}, {})
     if max_points is None:
         parts = routed.withColumn("part", F.lit(0).cast("long"))
+        about = profile_aggregates(rank) if profile else []
     else:
-        parts = with_position(routed, place_by or keys, order, slice_by, "__position").withColumn(
-            "part", F.floor(F.col("__position") / F.lit(max_points))
-        )
+        placed = with_position(routed, place_by or keys, order, slice_by, "__position", last, least)
+        parts = placed.withColumn("part", F.floor(F.col("__position") / F.lit(max_points)))
+        about = [F.first(name).alias(name) for name in (*last, *least)]
     packed = parts.groupBy(*keys, "part").agg(
         F.collect_list(
             F.struct(rank.alias("rank"), F.struct(*fields).alias("metric"))
-        ).alias("packed")
+        ).alias("packed"),
+        *about,
     )
     in_order = F.array_sort(
         "packed",
         lambda a, b: F.when(a["rank"] < b["rank"], -1).when(a["rank"] > b["rank"], 1).otherwise(0),
     )
-    return packed.select(*keys, "part", F.transform(in_order, lambda p: p["metric"]).alias("metrics"))
+    return packed.select(
+        *keys, "part", F.transform(in_order, lambda p: p["metric"]).alias("metrics"), *last, *least
+    )
 
 
 def payload_meta(meta: Column, overrides: dict[str, Column], tags: Column) -> Column:
@@ -218,12 +236,11 @@ def metric_payloads(
     """
     keys = ["host_id", "kind", "container_id", "endpoint_id", "tick"]
     endpoint = ["endpoint_id", "tick"]
-    enriched = attach_meta(
-        assemble_payloads(routed, keys, order, max_points, slice_by, place_by=endpoint), meta
-    ).join(endpoint_profile(routed, endpoint, order), endpoint)
+    parts = assemble_payloads(routed, keys, order, max_points, slice_by, place_by=endpoint, profile=True)
+    enriched = attach_meta(parts, meta)
     tags = standard_tags(
-        F.col("namespace"),
-        F.col("sub_namespace"),
+        F.col("first.namespace"),
+        F.col("first.sub_namespace"),
         F.col("kind"),
         F.col("meta.hostname"),
         F.col("container_id"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.functions.maps import empty_map
+from fleetlens.functions.resource import endpoint_id
 from fleetlens.functions.timestamps import tick_of
 from fleetlens.operators.otlp import otlp_logs, otlp_metrics
 from fleetlens.operators.payloads import (
@@ -12,6 +14,7 @@ from fleetlens.operators.payloads import (
     attach_meta,
     log_payloads,
     metric_payloads,
+    payload_meta,
     route_endpoints,
     with_tie,
 )
@@ -26,6 +29,24 @@ def with_tick(df: DataFrame, seconds: int) -> DataFrame:
     return df.withColumn("tick", tick_of(F.col("ts"), seconds))
 
 
+def identified(payloads: DataFrame) -> DataFrame:
+    """Add agent, host name and endpoint to payloads that carry the host's ``meta``.
+
+    A host without metadata keeps its payload; the agent and the name are then null.
+    """
+    endpoint = endpoint_id(F.lit("host"), F.col("host_id"))
+    overrides = {"kind": F.lit("host"), "endpoint_id": F.col("endpoint_id")}
+    return payloads.withColumn("endpoint_id", endpoint).select(
+        "host_id",
+        "snapshot_ts",
+        F.col("meta.agent_id").alias("agent_id"),
+        F.col("meta.hostname").alias("hostname"),
+        "endpoint_id",
+        "processes",
+        payload_meta(F.col("meta"), overrides, empty_map()).alias("meta"),
+    )
+
+
 def metric_export(
     spark: SparkSession,
     captures: dict,
@@ -91,6 +112,6 @@ def log_export(
 def process_export(
     processes: DataFrame, meta: DataFrame, options: ProcessOptions = ProcessOptions()
 ) -> DataFrame:
-    """Heaviest processes per host and snapshot with the host's metadata."""
+    """Heaviest processes per host and snapshot with the host's identity and metadata."""
     top = top_processes(processes, options.top_n, options.compat)
-    return attach_meta(process_payloads(top), meta)
+    return identified(attach_meta(process_payloads(top), meta))

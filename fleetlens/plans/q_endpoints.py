@@ -23,6 +23,7 @@ from fleetlens.plans import sqltext as S
 from fleetlens.plans.catalog import query
 from fleetlens.schemas import LOG_COLUMNS
 from fleetlens.session import work_folder
+from fleetlens.sinks.committed import Committed, resume
 from fleetlens.sinks.files import append_ndjson, legacy_payload, read_ndjson
 
 DAY_US = 86_400_000_000
@@ -317,6 +318,35 @@ def log_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_BARE_ATTRS = """'field.conv=' || conv_id || ';log.category=chat'
+  || CASE WHEN source <> '' THEN ';log.source=' || source ELSE '' END
+  || CASE WHEN turn % 3 > 0 THEN ';process.pid=int:' || (turn % 3) ELSE '' END || ';tag.role=' || role"""
+
+
+@query(
+    "log_meta_default",
+    f"""WITH {S.CHAT}
+SELECT host_id, source, batch, seq,
+  CASE WHEN turn % 2 = 0 THEN {_BARE_ATTRS} ELSE {_LOG_ATTRS} END AS attrs,
+  CASE WHEN turn % 2 = 0 THEN 'none' ELSE role END AS "user" FROM numbered""",
+)
+def log_meta_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of logs half of which have no metadata: their record is there, and empty."""
+    logs = chat_logs(spark, sf_dir)
+    bare = logs.withColumn("meta", F.when(F.col("turn") % 2 != 0, F.col("meta")))
+    packed = log_payloads(
+        bare, meta_table(spark, sf_dir), ["host_id", "source"], ["conv_id", "turn"], 50, F.expr("conv_id div 16")
+    )
+    return packed.select("host_id", "source", "batch", F.posexplode("logs").alias("seq", "entry")).select(
+        "host_id",
+        "source",
+        "batch",
+        F.col("seq").cast("bigint").alias("seq"),
+        render_attributes(log_attributes(F.col("entry"))).alias("attrs"),
+        F.when(F.col("entry.meta").isNull(), "null").otherwise(F.coalesce("entry.meta.user", F.lit("none"))).alias("user"),
+    )
+
+
 @query(
     "otlp_logs",
     f"""WITH {S.CHAT}, {S.META}
@@ -463,8 +493,25 @@ def nested_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sink_ndjson", PAYLOAD_SQL)
 def sink_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payloads written as lines of JSON and read back."""
+    """Payloads written as lines of JSON, by a job that is run twice, and read back."""
     path = work_folder(spark, "ndjson")
     built = payloads(spark, sf_dir)
-    append_ndjson(built, path)
+    for _ in range(2):
+        append_ndjson(built, path, job_id="2024/01")
     return payload_text(read_ndjson(spark, path, built.schema))
+
+
+@query(
+    "resumed_rows",
+    f"WITH {S.APP} SELECT event_id, us, host_id, sub_namespace, value FROM app",
+)
+def resumed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over a capture that grows in between, the second started twice."""
+    path = work_folder(spark, "resumed")
+    rows = A.app_metrics(A.events(spark, sf_dir)).select("event_id", "us", "host_id", "sub_namespace", "value", "ts")
+    keys = ["host_id", "sub_namespace"]
+    resume(rows.filter(F.col("us") < S.EPOCH_US + 10 * DAY_US), path, "first", keys, "ts", "event_id")
+    for _ in range(2):
+        resume(rows, path, "second", keys, "ts", "event_id")
+    resume(rows, path, "third", keys, "ts", "event_id")
+    return Committed(spark, path).read("data", rows.schema, "parquet").drop("ts")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from fleetlens.operators.topn import top_by, top_processes
 from fleetlens.plans import adapters as A
+from fleetlens.plans import sqltext as S
 from fleetlens.plans.catalog import query
+from fleetlens.plans.jobs import process_export
 from fleetlens.sources.processes import process_payloads, process_rows
 
 _PROCS = """procs AS (
@@ -94,3 +96,24 @@ def payload_text(payloads: DataFrame) -> DataFrame:
 @query("proc_payload", PAYLOAD_SQL)
 def proc_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload_text(process_payloads(top_processes(processes(spark, sf_dir))))
+
+
+@query(
+    "proc_export",
+    f"""WITH {_RANKED}, {S.META}
+SELECT r.host_id, count(*) AS n, any_value(m.agent_id) AS agent_id, any_value(m.hostname) AS hostname,
+  sha256('host|' || r.host_id || '|') AS endpoint_id, 'host' AS kind, any_value(m.os) AS os
+FROM ranked r LEFT JOIN meta m USING (host_id) WHERE by_cpu <= 20 OR by_mem <= 20 GROUP BY r.host_id""",
+)
+def proc_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export job: payloads with the identity of their host."""
+    meta = A.host_meta(A.table(spark, sf_dir, "nation"))
+    return process_export(processes(spark, sf_dir), meta).select(
+        "host_id",
+        F.size("processes").cast("bigint").alias("n"),
+        "agent_id",
+        "hostname",
+        "endpoint_id",
+        "meta.kind",
+        "meta.os",
+    )

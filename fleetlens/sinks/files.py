@@ -6,20 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.schemas import LOG_META_FIELDS
+from fleetlens.sinks.committed import Committed
 
+def append_ndjson(payloads: DataFrame, path: str, rows_per_file: int = 500_000, job_id: str | None = None) -> bool:
+    """Append one JSON object per line; the folder is created when missing.
 
-# JSON text keeps milliseconds only unless it is told otherwise.
-_MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-
-
-def append_ndjson(payloads: DataFrame, path: str, rows_per_file: int = 500_000) -> None:
-    """Append one JSON object per line; the folder is created when missing."""
-    payloads.write.mode("append").options(maxRecordsPerFile=rows_per_file, **_MICROS).json(path)
+    A job that is run again with its ``job_id`` adds nothing and gives False.
+    """
+    return Committed(payloads.sparkSession, path).append(payloads, job_id=job_id, maxRecordsPerFile=rows_per_file)
 
 
 def read_ndjson(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Payloads that :func:`append_ndjson` wrote."""
-    return spark.read.schema(schema).options(**_MICROS).json(path)
+    """Payloads that :func:`append_ndjson` has committed."""
+    return Committed(spark, path).read("data", schema)
 
 
 def write_export(nested: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:

@@ -74,6 +74,38 @@ def test_logs(spark, sf_dir, meta):
     assert {r[0] for r in channels.select("a.string_value").distinct().collect()} == {"System"}
 
 
+def test_metric_export_reads_each_capture_once(spark, sf_dir, meta, tmp_path):
+    for name in ("customer", "events", "orders"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    t = lambda name: A.table(spark, str(tmp_path), name)
+    tables = {
+        "docker_list": A.list_snapshots(t("orders")),
+        "docker_stats": A.docker_stats(A.with_instant(t("events"))),
+        "docker_inspect": A.docker_inspect(t("customer")),
+        "host_net": A.host_net(t("orders")),
+    }
+    out = jobs.metric_export(spark, {"tables": tables}, meta, START, 3600, MetricOptions(sources=("docker", "net")))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # orders are read as list and as interfaces; the plan cuts long paths
+    read = sorted(x.rsplit("/", 1)[-1][:3] for x in plan.splitlines() if "FileScan" in x)
+    assert read == ["cus", "eve", "ord", "ord"]
+    # The one sort aggregate picks a host's metadata row; metrics are folded in the numbering pass.
+    sorts = [x for x in plan.splitlines() if "SortAggregate" in x]
+    assert len(sorts) <= 2 and not any("container_image" in x for x in sorts)
+
+
+def test_payloads_of_a_host_without_or_with_repeated_metadata(spark, sf_dir, meta):
+    rows = q_processes.processes(spark, sf_dir)
+    out = jobs.process_export(rows, meta, ProcessOptions(top_n=2)).collect()
+    assert {(r.agent_id, r.hostname) for r in out} == {(None, None)} and all(r.endpoint_id and r.meta.kind == "host" for r in out)
+    own = meta.withColumn("host_id", F.lit("h1"))
+    twice = own.unionByName(own.withColumn("hostname", F.lit("zz")))
+    for order in ("hostname", F.desc("hostname")):
+        found = jobs.process_export(rows, twice.orderBy(order), ProcessOptions(top_n=2)).filter("host_id = 'h1'").collect()
+        assert [r.hostname for r in found] == ["zz"]
+
+
 def test_processes(spark, sf_dir, meta):
     out = jobs.process_export(q_processes.processes(spark, sf_dir), meta, ProcessOptions(top_n=2))
     assert out.agg(F.max(F.size("processes"))).first()[0] <= 4
