@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.functions.timestamps import from_micros
 from fleetlens.options import MetricOptions, StreamOptions
 from fleetlens.plans import adapters as A
 from fleetlens.plans import q_endpoints, q_logs, q_processes
@@ -12,8 +13,9 @@ from fleetlens.plans import sqltext as S
 from fleetlens.plans.catalog import query
 from fleetlens.session import work_folder
 from fleetlens.sources.processes import process_rows
-from fleetlens.sources.syslog import auth_logs
+from fleetlens.sources.syslog import AUTH_LOG_PATHS, auth_logs
 from fleetlens.streaming import jobs
+from fleetlens.streaming.follow import follow
 from fleetlens.streaming.stateful import stream_rates
 
 
@@ -83,6 +85,51 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_logs.auth_text(spark.read.parquet(options.output))
 
 
+def host_files(lines: DataFrame, root: str, before: int, rotated: int) -> None:
+    """Each host's log as it stands at a time: lines before ``rotated`` are in the file that rotation left.
+
+    A task writes the files of its hosts, line by line and as a whole, so it can run again.
+    """
+
+    def write(batches):
+        import posixpath
+
+        import pyarrow.fs as pafs
+
+        store, folder = pafs.FileSystem.from_uri(root) if ":" in root else (pafs.LocalFileSystem(), root)
+        open_file, out = None, None
+        for batch in batches:
+            for host, us, value in zip(batch["host_id"], batch["us"], batch["value"]):
+                place = posixpath.join(folder, host, "auth.log.1" if us < rotated else "auth.log")
+                if place != open_file:
+                    if out:
+                        out.close()
+                    store.create_dir(posixpath.dirname(place))
+                    open_file, out = place, store.open_output_stream(place)
+                out.write(value.encode() + b"\n")
+        if out:
+            out.close()
+        yield from ()
+
+    in_order = lines.filter(F.col("us") < before).repartition("host_id").sortWithinPartitions("host_id", "us", "event_id")
+    in_order.mapInPandas(write, "done int").write.format("noop").mode("overwrite").save()
+
+
+@query("follow_auth_log", q_logs.AUTH_SQL)
+def follow_auth_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs followed through growth, rotation and restarts: each look is a new run of one query."""
+    options = new_options(spark, "follow")
+    root = f"{work_folder(spark, 'logs')}/hosts"
+    lines = A.syslog_lines(A.events(spark, sf_dir)).select("event_id", "us", "host_id", "value")
+    day = 86_400_000_000
+    for before, rotated in ((9, 0), (17, 0), (23, 17), (400, 17)):
+        host_files(lines, root, S.EPOCH_US + before * day, S.EPOCH_US + rotated * day)
+        found = follow(spark, root, ["auth.log"], split_bytes=1 << 20)
+        raw = found.select("host_id", "value", F.lit(AUTH_LOG_PATHS[1]).alias("path"), from_micros(F.lit(A.REF_US)).alias("ref_ts"))
+        jobs.log_stream(auth_logs(raw), options).awaitTermination()
+    return q_logs.auth_text(spark.read.parquet(options.output))
+
+
 @query(
     "stream_metrics",
     f"""WITH {S.APP},
