@@ -304,6 +304,58 @@ def journal_records(ev: DataFrame) -> DataFrame:
     )
 
 
+def journal_lines(ev: DataFrame) -> DataFrame:
+    """The same records as lines of a journal export, with fields in all the forms they take:
+    text, bytes, a list whose last value counts, and null."""
+    records = journal_records(ev)
+    quoted = lambda c: F.expr(f"substring(to_json(array(`{c}`)), 2, length(to_json(array(`{c}`))) - 2)")
+    spelled = F.expr(
+        "concat('[', array_join(transform(sequence(1, octet_length(MESSAGE)), "
+        "i -> conv(hex(substring(cast(MESSAGE as binary), i, 1)), 16, 10)), ','), ']')"
+    )
+    forms = {
+        "MESSAGE": F.when(F.expr("event_id % 5 = 0"), spelled).otherwise(quoted("MESSAGE")),
+        "_EXE": F.when(F.expr("event_id % 3 = 0"), F.expr("to_json(array('/old', _EXE))")).otherwise(quoted("_EXE")),
+    }
+    fields = [c for c in records.columns if c not in ("event_id", "host_id", "realtime_us")]
+    members = [
+        F.concat(F.lit(f'"{c}":'), F.when(F.col(c).isNull(), "null").otherwise(forms.get(c, quoted(c)))) for c in fields
+    ]
+    time = F.concat(F.lit('"__REALTIME_TIMESTAMP":"'), F.col("realtime_us").cast("string"), F.lit('"'))
+    return records.select(F.concat(F.lit("{"), F.concat_ws(",", time, *members), F.lit("}")).alias("value"))
+
+
+def api_lines(rows: DataFrame, body: str, listed: bool = False) -> DataFrame:
+    """Capture lines whose body is an SQL expression over ``rows``; listed ones as an array."""
+    shown = F.expr(f"array({body})" if listed else body)
+    ts = F.col("ts") if "ts" in rows.columns else F.lit(None).cast("timestamp")
+    options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    return rows.select(F.to_json(F.struct("host_id", ts.alias("ts"), shown.alias("body")), options).alias("value"))
+
+
+_LISTED = "'Id', id, 'Names', names, 'Image', image, 'State', state, 'Labels', labels, 'Mounts', transform(mounts, m -> named_struct('Source', m))"
+DOCKER_LIST_BODY = f"named_struct({_LISTED}, 'Created', created)"
+PODMAN_LIST_BODY = (
+    f"named_struct({_LISTED}, 'Ports', transform(ports, p -> "
+    "named_struct('PrivatePort', p.private_port, 'PublicPort', p.public_port, 'Type', p.type)))"
+)
+DOCKER_STATS_BODY = (
+    "named_struct('id', id, 'cpu_stats', named_struct('cpu_usage', named_struct('total_usage', cpu.total, "
+    "'percpu_usage', cpu.percpu), 'system_cpu_usage', cpu.system, 'online_cpus', cpu.online, "
+    "'throttling_data', cpu.throttling), 'memory_stats', named_struct('usage', memory.usage, 'limit', memory.limit, "
+    "'max_usage', memory.max, 'stats', memory.stats), 'networks', networks, "
+    "'blkio_stats', named_struct('io_service_bytes_recursive', blkio), 'pids_stats', named_struct('current', pids))"
+)
+PODMAN_STATS_BODY = (
+    "named_struct('id', id, 'cpu_stats', named_struct('cpu_usage', named_struct('total_usage', cpu.total, "
+    "'usage_in_kernelmode', cpu.kernel, 'usage_in_usermode', cpu.user), 'system_cpu_usage', cpu.system, "
+    "'online_cpus', cpu.online), 'memory_stats', named_struct('usage_bytes', memory.usage, "
+    "'limit_bytes', memory.limit), 'networks', networks)"
+)
+DOCKER_INSPECT_BODY = "named_struct('Id', id, 'State', named_struct('Health', named_struct('Status', health_status)))"
+PODMAN_INSPECT_BODY = "named_struct('Id', id, 'State', named_struct('StartedAt', started_at))"
+
+
 def journal_users(customer: DataFrame) -> DataFrame:
     """Accounts: every even customer key is a known uid, on the host of its key."""
     return customer.filter("c_custkey % 2 = 0").selectExpr(

@@ -24,6 +24,7 @@ from fleetlens.operators.lookups import resolve_user
 from fleetlens.plans import adapters as A
 from fleetlens.plans import sqltext as S
 from fleetlens.plans.catalog import query
+from fleetlens.session import work_folder
 from fleetlens.sources.eventlog import (
     event_data,
     event_logs,
@@ -168,22 +169,32 @@ def _fields(prefix: str) -> str:
     return "concat_ws(';', " + ", ".join(f"'{k}=' || ({parts[k]})" for k in sorted(parts)) + ")"
 
 
-@query(
-    "journal_logs",
-    f"""WITH {_JOURNAL}
+JOURNAL_SQL = f"""WITH {_JOURNAL}
 SELECT host_id, us, CASE event_id % 8 WHEN 3 THEN 'error' WHEN 4 THEN 'warning' ELSE 'critical' END AS level,
   event_type || ' by ' || user_id AS message, category,
   CAST(CASE WHEN event_id % 11 = 0 THEN 0 ELSE event_id END AS INTEGER) AS pid,
   {_fields('')} AS fields, {_fields('_')} AS extra,
   CASE WHEN event_id % 3 = 0 THEN 'container_id=c' || user_id ELSE '' END AS labels,
   user_name AS "user", '/usr/bin/p' || (event_id % 9) AS executable, coalesce(unit, '') AS unit
-FROM named WHERE event_id % 8 <= 4 AND identifier <> 'kernel'""",
-)
+FROM named WHERE event_id % 8 <= 4 AND identifier <> 'kernel'"""
+
+
+@query("journal_logs", JOURNAL_SQL)
 def journal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = journal_logs(
-        A.journal_records(A.events(spark, sf_dir)),
-        A.journal_users(A.table(spark, sf_dir, "customer")),
-    )
+    records = A.journal_records(A.events(spark, sf_dir))
+    return journal_text(journal_logs(records, A.journal_users(A.table(spark, sf_dir, "customer"))))
+
+
+@query("journal_raw", JOURNAL_SQL)
+def journal_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The journal's own JSON, written as lines and read by the registry."""
+    path = work_folder(spark, "journal-raw")
+    A.journal_lines(A.events(spark, sf_dir)).write.text(f"{path}/journal")
+    users = A.journal_users(A.table(spark, sf_dir, "customer"))
+    return journal_text(log_registry().collect(spark, ["journald"], {"path": path, "format": "raw", "users": users}))
+
+
+def journal_text(logs: DataFrame) -> DataFrame:
     return logs.select(
         "host_id",
         F.unix_micros("ts").alias("us"),

@@ -12,6 +12,7 @@ from fleetlens.operators.rollup import stat_rollup
 from fleetlens.plans import adapters as A
 from fleetlens.plans import sqltext as S
 from fleetlens.plans.catalog import query
+from fleetlens.session import work_folder
 from fleetlens.sources import containers, host
 from fleetlens.sources.registry import metric_registry
 
@@ -480,6 +481,36 @@ def podman_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_container_text(spark: SparkSession, runtime: str, captures: dict[str, DataFrame]) -> DataFrame:
+    """Captures as the runtime's API gives them, written as lines and read by the registry."""
+    path = work_folder(spark, f"{runtime}-raw")
+    for name, lines in captures.items():
+        lines.write.text(f"{path}/{runtime}_{name}")
+    return container_text(metric_registry().collect(spark, [runtime], {"path": path, "format": "raw"}))
+
+
+@query("docker_raw", _docker_sql())
+def docker_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = A.table(spark, sf_dir, "customer")
+    captures = {
+        "list": A.api_lines(A.docker_list(customer), A.DOCKER_LIST_BODY, listed=True),
+        "stats": A.api_lines(A.docker_stats(A.events(spark, sf_dir)), A.DOCKER_STATS_BODY),
+        "inspect": A.api_lines(A.docker_inspect(customer), A.DOCKER_INSPECT_BODY),
+    }
+    return raw_container_text(spark, "docker", captures)
+
+
+@query("podman_raw", _podman_sql())
+def podman_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = A.table(spark, sf_dir, "customer")
+    captures = {
+        "list": A.api_lines(A.podman_list(customer), A.PODMAN_LIST_BODY, listed=True),
+        "stats": A.api_lines(A.podman_stats(A.events(spark, sf_dir)), A.PODMAN_STATS_BODY),
+        "inspect": A.api_lines(A.podman_inspect(customer), A.PODMAN_INSPECT_BODY),
+    }
+    return raw_container_text(spark, "podman", captures)
+
+
 def joined_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = A.table(spark, sf_dir, "customer")
     return containers.join_captures(

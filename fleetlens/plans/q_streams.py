@@ -13,6 +13,7 @@ from fleetlens.plans import sqltext as S
 from fleetlens.plans.catalog import query
 from fleetlens.session import work_folder
 from fleetlens.sources.processes import process_rows
+from fleetlens.sources.registry import log_registry
 from fleetlens.sources.syslog import AUTH_LOG_PATHS, auth_logs
 from fleetlens.streaming import jobs
 from fleetlens.streaming.follow import follow
@@ -115,6 +116,16 @@ def host_files(lines: DataFrame, root: str, before: int, rotated: int) -> None:
     in_order.mapInPandas(write, "done int").write.format("noop").mode("overwrite").save()
 
 
+@query("auth_raw", q_logs.AUTH_SQL)
+def auth_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Auth logs as text files below their host's folder, read by the registry."""
+    path = work_folder(spark, "auth-raw")
+    lines = A.syslog_lines(A.events(spark, sf_dir)).select("event_id", "us", "host_id", "value")
+    host_files(lines, f"{path}/syslog", S.EPOCH_US + 400 * 86_400_000_000, 0)
+    options = {"path": path, "format": "raw", "ref_ts": from_micros(F.lit(A.REF_US))}
+    return q_logs.auth_text(log_registry().collect(spark, ["security"], options))
+
+
 @query("follow_auth_log", q_logs.AUTH_SQL)
 def follow_auth_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logs followed through growth, rotation and restarts: each look is a new run of one query."""

@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetlens import schemas
 from fleetlens.operators.channels import select_channels
-from fleetlens.sources import containers, eventlog, host, journal, syslog
+from fleetlens.sources import containers, eventlog, host, journal, raw, syslog
 
 log = logging.getLogger(__name__)
 
@@ -74,7 +75,9 @@ class Registry:
 def read_capture(spark: SparkSession, options: dict, name: str, schema: str) -> DataFrame:
     """A captured table: given as a frame, or read from ``path/name``.
 
-    ``format`` is ``json`` or ``parquet``; ``stream=True`` reads it as a stream.
+    ``format`` is ``json`` or ``parquet`` for captures in our own columns, ``raw`` for what
+    the journal, the container runtimes and the auth log write themselves (see
+    ``sources.raw``); ``stream=True`` reads it as a stream.
     """
     given = options.get("tables", {}).get(name)
     if given is not None:
@@ -82,11 +85,13 @@ def read_capture(spark: SparkSession, options: dict, name: str, schema: str) ->
     reader = spark.readStream if options.get("stream") else spark.read
     if options.get("max_files_per_trigger") and options.get("stream"):
         reader = reader.option("maxFilesPerTrigger", options["max_files_per_trigger"])
-    return (
-        reader.schema(schema)
-        .format(options.get("format", "json"))
-        .load(f"{options['path'].rstrip('/')}/{name}")
-    )
+    fmt, path = options.get("format", "json"), f"{options['path'].rstrip('/')}/{name}"
+    if fmt == "raw" and name == "syslog":
+        lines = reader.format("text").option("recursiveFileLookup", "true").load(path)
+        return raw.auth_lines(lines.select("value", F.col("_metadata.file_path").alias("file")), options["ref_ts"])
+    if fmt == "raw" and name in raw.RAW:
+        return raw.RAW[name](reader.format("text").load(path))
+    return reader.schema(schema).format("json" if fmt == "raw" else fmt).load(path)
 
 
 def _one(name: str, schema, make) -> Builder:
@@ -142,19 +147,19 @@ def log_registry() -> Registry:
     registry = Registry(schemas.LOG_COLUMNS)
 
     def journal_source(spark: SparkSession, options: dict) -> DataFrame:
-        raw = read_capture(spark, options, "journal", schemas.RAW_JOURNAL)
-        return journal.journal_logs(raw, options.get("users"), **options.get("journal", {}))
+        records = read_capture(spark, options, "journal", schemas.RAW_JOURNAL)
+        return journal.journal_logs(records, options.get("users"), **options.get("journal", {}))
 
     def auth_source(spark: SparkSession, options: dict) -> DataFrame:
-        raw = read_capture(spark, options, "syslog", schemas.RAW_SYSLOG)
-        return syslog.auth_logs(raw, **options.get("syslog", {}))
+        lines = read_capture(spark, options, "syslog", schemas.RAW_SYSLOG)
+        return syslog.auth_logs(lines, **options.get("syslog", {}))
 
     def event_source(spark: SparkSession, options: dict) -> DataFrame:
-        raw = read_capture(spark, options, "events_xml", schemas.RAW_EVENT_XML)
+        events = read_capture(spark, options, "events_xml", schemas.RAW_EVENT_XML)
         if "channels" in options:
             include, exclude, collect_all = options["channels"]
-            raw = select_channels(raw, include, exclude, collect_all)
-        return eventlog.event_logs(raw, **options.get("events_xml", {}))
+            events = select_channels(events, include, exclude, collect_all)
+        return eventlog.event_logs(events, **options.get("events_xml", {}))
 
     registry.register("journald", journal_source, os="linux")
     registry.register("security", auth_source, os="linux")
