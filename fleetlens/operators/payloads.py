@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from fleetlens.functions.maps import drop_null, literal_map, merge_maps, sorted_entries
+from fleetlens.functions.maps import drop_null, empty_map, literal_map, merge_maps, sorted_entries
 from fleetlens.functions.resource import META_FIELDS, endpoint_id
 from fleetlens.operators.batching import collect_batches, number_batches
 from fleetlens.operators.ordered import with_position
@@ -270,6 +270,24 @@ def metric_payloads(
     )
 
 
+def identified(payloads: DataFrame) -> DataFrame:
+    """Add agent, host name and endpoint to payloads that carry the host's ``meta``.
+
+    A host without metadata keeps its payload; the agent and the name are then null.
+    """
+    endpoint = endpoint_id(F.lit("host"), F.col("host_id"))
+    overrides = {"kind": F.lit("host"), "endpoint_id": F.col("endpoint_id")}
+    return payloads.withColumn("endpoint_id", endpoint).select(
+        "host_id",
+        "snapshot_ts",
+        F.col("meta.agent_id").alias("agent_id"),
+        F.col("meta.hostname").alias("hostname"),
+        "endpoint_id",
+        "processes",
+        payload_meta(F.col("meta"), overrides, empty_map()).alias("meta"),
+    )
+
+
 def log_payloads(
     logs: DataFrame,
     meta: DataFrame,

@@ -28,6 +28,16 @@ class LogOptions:
     compat: bool = False
 
 
+def log_settings(options: LogOptions) -> dict[str, dict]:
+    """What the options mean for each log source."""
+    limit = {"max_bytes": options.message_max}
+    return {
+        "journal": {**limit, "product": options.product},
+        "syslog": {**limit, "zone": options.zone, "compat": options.compat},
+        "events_xml": {**limit, "compat": options.compat},
+    }
+
+
 @dataclass(frozen=True)
 class ProcessOptions:
     interval: str = "2 seconds"

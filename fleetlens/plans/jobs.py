@@ -5,21 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.functions.maps import empty_map
-from fleetlens.functions.resource import endpoint_id
 from fleetlens.functions.timestamps import tick_of
 from fleetlens.operators.otlp import otlp_logs, otlp_metrics
 from fleetlens.operators.payloads import (
     METRIC_ORDER,
     attach_meta,
+    identified,
     log_payloads,
     metric_payloads,
-    payload_meta,
     route_endpoints,
     with_tie,
 )
 from fleetlens.operators.topn import top_processes
-from fleetlens.options import LogOptions, MetricOptions, ProcessOptions
+from fleetlens.options import LogOptions, MetricOptions, ProcessOptions, log_settings
 from fleetlens.sources.processes import process_payloads
 from fleetlens.sources.registry import log_registry, metric_registry
 
@@ -29,24 +27,6 @@ def with_tick(df: DataFrame, seconds: int) -> DataFrame:
     return df.withColumn("tick", tick_of(F.col("ts"), seconds))
 
 
-def identified(payloads: DataFrame) -> DataFrame:
-    """Add agent, host name and endpoint to payloads that carry the host's ``meta``.
-
-    A host without metadata keeps its payload; the agent and the name are then null.
-    """
-    endpoint = endpoint_id(F.lit("host"), F.col("host_id"))
-    overrides = {"kind": F.lit("host"), "endpoint_id": F.col("endpoint_id")}
-    return payloads.withColumn("endpoint_id", endpoint).select(
-        "host_id",
-        "snapshot_ts",
-        F.col("meta.agent_id").alias("agent_id"),
-        F.col("meta.hostname").alias("hostname"),
-        "endpoint_id",
-        "processes",
-        payload_meta(F.col("meta"), overrides, empty_map()).alias("meta"),
-    )
-
-
 def metric_export(
     spark: SparkSession,
     captures: dict,
@@ -85,13 +65,7 @@ def log_export(
 ) -> DataFrame:
     """OTLP-shaped log batches per host, source and tick of the configured sources."""
     captures = dict(captures)
-    limit = {"max_bytes": options.message_max}
-    defaults = {
-        "journal": {**limit, "product": options.product},
-        "syslog": {**limit, "zone": options.zone, "compat": options.compat},
-        "events_xml": {**limit, "compat": options.compat},
-    }
-    for name, values in defaults.items():
+    for name, values in log_settings(options).items():
         captures[name] = {**values, **captures.get(name, {})}
     captures["channels"] = (list(options.channels), list(options.exclude_channels), options.collect_all)
     logs = with_tick(log_registry().collect(spark, options.sources, captures, os), tick_seconds)

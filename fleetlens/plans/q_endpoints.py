@@ -285,11 +285,14 @@ def log_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chat_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return meta_table(spark, sf_dir).withColumn("host_id", F.expr("concat('host', substr(host_id, 2))"))
+
+
 def chat_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of 50 log entries per host and source."""
-    hosts = meta_table(spark, sf_dir).withColumn("host_id", F.expr("concat('host', substr(host_id, 2))"))
     return log_payloads(
-        chat_logs(spark, sf_dir), hosts, ["host_id", "source"], ["conv_id", "turn"], 50,
+        chat_logs(spark, sf_dir), chat_hosts(spark, sf_dir), ["host_id", "source"], ["conv_id", "turn"], 50,
         F.expr("conv_id div 16"),
     )
 
@@ -347,9 +350,7 @@ def log_meta_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "otlp_logs",
-    f"""WITH {S.CHAT}, {S.META}
+OTLP_LOGS_SQL = f"""WITH {S.CHAT}, {S.META}
 SELECT n.host_id, n.batch, CASE WHEN n.source = '' THEN 'unknown' ELSE n.source END AS scope,
   'agent.id=' || m.agent_id || ';agent.version=1.0;cloud.region=' || m.region || ';endpoint.id='
   || sha256('host|' || n.host_id || '|') || CASE WHEN m.environment IS NULL THEN '' ELSE ';environment=prod' END
@@ -357,11 +358,16 @@ SELECT n.host_id, n.batch, CASE WHEN n.source = '' THEN 'unknown' ELSE n.source
   || ';resource.kind=host;tag.instance=' || m.hostname || ';tag.job=fleetlens-logs;tag.team=' || m.team AS resource,
   n.seq, n.us * 1000 AS time_unix_nano, CAST(n.severity AS INTEGER) AS severity_number,
   n.level AS severity_text, md5(n.text) AS body, {_LOG_ATTRS} AS attrs
-FROM numbered n JOIN meta m ON 'host' || substr(m.host_id, 2) = n.host_id""",
-)
+FROM numbered n JOIN meta m ON 'host' || substr(m.host_id, 2) = n.host_id"""
+
+
+@query("otlp_logs", OTLP_LOGS_SQL)
 def nested_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested_log_text(otlp_logs(chat_payloads(spark, sf_dir)))
+
+
+def nested_log_text(nested: DataFrame) -> DataFrame:
     """The nested log export, flattened again for comparison."""
-    nested = otlp_logs(chat_payloads(spark, sf_dir))
     scopes = nested.select(
         "host_id",
         "batch",

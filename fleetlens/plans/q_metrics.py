@@ -139,16 +139,19 @@ def net_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "stat_rollup",
-    f"""WITH {S.APP}
+ROLLUP_SQL = f"""WITH {S.APP}
 SELECT host_id, sub_namespace, name, day_us AS us, dims, CAST(count(*) AS INTEGER) AS sample_count,
   round(sum(value), 4) AS sum, min(value) AS minimum, max(value) AS maximum,
   round(avg(value), 6) AS value
-FROM app GROUP BY host_id, sub_namespace, name, day_us, dims""",
-)
+FROM app GROUP BY host_id, sub_namespace, name, day_us, dims"""
+
+
+@query("stat_rollup", ROLLUP_SQL)
 def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = stat_rollup(A.app_metrics(A.events(spark, sf_dir)), 86400)
+    return rollup_text(stat_rollup(A.app_metrics(A.events(spark, sf_dir)), 86400))
+
+
+def rollup_text(daily: DataFrame) -> DataFrame:
     return daily.select(
         "host_id",
         "sub_namespace",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.timestamps import from_micros
 from fleetlens.options import MetricOptions, StreamOptions
 from fleetlens.plans import adapters as A
-from fleetlens.plans import q_endpoints, q_logs, q_processes
+from fleetlens.plans import q_endpoints, q_logs, q_metrics, q_processes
 from fleetlens.plans import sqltext as S
 from fleetlens.plans.catalog import query
 from fleetlens.session import work_folder
@@ -174,3 +174,25 @@ def processes(spark: SparkSession, sf_dir: str) -> DataFrame:
     piece = F.pmod("pid", F.lit(FILES))
     jobs.process_stream(cut_stream(rows, piece, "snapshot_ts"), options).awaitTermination()
     return q_processes.payload_text(spark.read.parquet(options.output))
+
+
+@query("stream_otlp_logs", q_endpoints.OTLP_LOGS_SQL)
+def otlp_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested log export as a stream; one tick holds all entries, as in the batch query."""
+    options = new_options(spark, "log-export", delay="1 day", end=END)
+    logs = q_endpoints.chat_logs(spark, sf_dir)
+    pieces = cut_stream(logs, F.pmod(F.col("conv_id") + F.col("turn"), F.lit(FILES)), "ts")
+    hosts = q_endpoints.chat_hosts(spark, sf_dir)
+    order = ("ts", "conv_id", "turn")
+    jobs.log_export_stream(pieces, hosts, 20 * 365 * 86400, options, order=order).awaitTermination()
+    return q_endpoints.nested_log_text(spark.read.parquet(options.output))
+
+
+@query("stream_rollup", q_metrics.ROLLUP_SQL)
+def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily statistic sets from files that cut the days."""
+    options = new_options(spark, "rollup", delay="7 days", end=END)
+    rows = A.app_metrics(A.events(spark, sf_dir))
+    piece = F.least(F.floor((F.unix_micros("ts") - S.EPOCH_US) / (6.1 * 86_400_000_000)), F.lit(FILES - 1))
+    jobs.rollup_stream(cut_stream(rows, piece, "ts"), 86400, options).awaitTermination()
+    return q_metrics.rollup_text(spark.read.parquet(options.output))

@@ -18,11 +18,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 COUNTERS = ["cpu_total", "cpu_system", "rx", "tx"]
 _KEY = "series string"
-_ROW = "us bigint, cpu_total bigint, cpu_system bigint, online int, rx bigint, tx bigint"
-_PREV = "us bigint, cpu_total bigint, cpu_system bigint, rx bigint, tx bigint"
+# A null counter travels as 0 with its bit in ``nulls``.
+_ROW = "us bigint, cpu_total bigint, cpu_system bigint, online int, rx bigint, tx bigint, nulls int"
+_PREV = "us bigint, cpu_total bigint, cpu_system bigint, rx bigint, tx bigint, nulls int"
 _OUT = (
     f"{_KEY}, {_ROW}, has_prev boolean, late boolean, "
     + ", ".join(f"prev_{c} bigint" for c in ["us", *COUNTERS])
+    + ", prev_nulls int"
 )
 # Counters travel as signed 64-bit numbers shifted by 2^63, which keeps every bit.
 _SHIFT = "cast(9223372036854775808 as decimal(20,0))"
@@ -42,7 +44,7 @@ class PreviousSample(StatefulProcessor):
         self.last = handle.getValueState("last", _PREV, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        fields = ["us", "cpu_total", "cpu_system", "rx", "tx"]
+        fields = ["us", "cpu_total", "cpu_system", "rx", "tx", "nulls"]
         samples = pd.concat(list(rows)).sort_values(fields)
         stored = self.last.get() if self.last.exists() else None
         late = samples["us"] <= stored[0] if stored is not None else samples["us"] != samples["us"]
@@ -58,7 +60,7 @@ class PreviousSample(StatefulProcessor):
                 previous.iloc[first] = list(stored)
             last = new.iloc[-1]
             self.last.update(tuple(int(last[f]) for f in fields))
-        own = samples[["series", "us", "cpu_total", "cpu_system", "online", "rx", "tx"]]
+        own = samples[["series", "us", "cpu_total", "cpu_system", "online", "rx", "tx", "nulls"]]
         yield pd.concat(
             [own.assign(has_prev=has_prev, late=late.to_numpy()), previous.add_prefix("prev_")], axis=1
         )
@@ -79,7 +81,11 @@ def stream_rates(
     encode = lambda c: (
         (F.coalesce(F.col(c), F.lit(0)).cast("decimal(20,0)") - F.expr(_SHIFT)).cast("bigint").alias(c)
     )
-    decode = lambda c: (F.col(c).cast("decimal(20,0)") + F.expr(_SHIFT)).cast("decimal(20,0)")
+
+    def decode(c: str, nulls: str = "nulls"):
+        absent = F.col(nulls).bitwiseAND(1 << COUNTERS.index(c.removeprefix("prev_"))) != 0
+        return F.when(~absent, (F.col(c).cast("decimal(20,0)") + F.expr(_SHIFT)).cast("decimal(20,0)"))
+
     narrow = samples.select(
         F.col(series).cast("string").alias("series"),
         F.unix_micros("ts").alias("us"),
@@ -88,6 +94,7 @@ def stream_rates(
         F.coalesce(F.col("online"), F.lit(0)).cast("int").alias("online"),
         encode("rx"),
         encode("tx"),
+        sum((F.col(c).isNull().cast("int") * (1 << k) for k, c in enumerate(COUNTERS)), F.lit(0)).alias("nulls"),
     )
     paired = narrow.groupBy("series").transformWithStateInPandas(
         statefulProcessor=PreviousSample(ttl_ms),
@@ -99,7 +106,7 @@ def stream_rates(
         F.col("has_prev"),
         F.struct(
             from_micros(F.col("prev_us")).alias("ts"),
-            *[decode(f"prev_{c}").alias(c) for c in COUNTERS],
+            *[decode(f"prev_{c}", "prev_nulls").alias(c) for c in COUNTERS],
         ),
     )
     decoded = paired.select(

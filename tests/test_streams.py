@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fleetlens import schemas
 from fleetlens.operators.rates import sample_rates
 from fleetlens.operators.rollup import stat_rollup
-from fleetlens.options import MetricOptions, StreamOptions
+from fleetlens.options import LogOptions, MetricOptions, ProcessOptions, StreamOptions
 from fleetlens.sources.syslog import auth_logs
 from fleetlens.streaming import jobs
 
@@ -60,6 +60,69 @@ def test_rates_equal_batch_across_files_and_restarts(spark, tmp_path):
     assert sorted(streamed.collect()) == sorted(batch.select("id", "ts", *COLUMNS).collect())
 
 
+def test_null_counters_stay_null_as_in_batch(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    null = lambda second: ("a", T0 + dt.timedelta(seconds=second), None, Decimal(second * 100), 2, None, Decimal(5))
+    first, second = [sample("a", 0, 500, 700), null(2)], [null(4), sample("a", 6, 600, 900), sample("a", 8, 800, 1000)]
+    put(spark, first, SAMPLE, folder, 1000)
+    put(spark, second, SAMPLE, folder, 2000)
+    opts = options(tmp_path)
+    jobs.rate_stream(jobs.read_files(spark, folder, SAMPLE, "parquet", 1), "id", opts).awaitTermination()
+    streamed = spark.read.parquet(opts.output).select("ts", "cpu_total", "rx", *COLUMNS)
+    batch = sample_rates(spark.createDataFrame(first + second, SAMPLE), ["id"], ["ts"], 60)
+    assert sorted(streamed.collect()) == sorted(batch.select("ts", "cpu_total", "rx", *COLUMNS).collect())
+    assert streamed.filter("reset").count() == 0 and streamed.filter("cpu_total IS NULL").count() == 2
+
+
+def test_rollup_of_files_that_cut_intervals(spark, tmp_path):
+    folder = str(tmp_path / "m")
+    first = [metric(s, float(s)) for s in (0, 5, 61)] + [metric(3, 9.0, "other"), metric(4, None, "empty")]
+    second = [metric(s, float(s)) for s in (7, 59, 62)]
+    put(spark, first, schemas.METRIC, folder, 1000)
+    put(spark, second, schemas.METRIC, folder, 2000)
+    put(spark, [metric(400, 1.0)], schemas.METRIC, folder, 3000)
+    put(spark, [metric(30, 30.0), metric(31, 32.0)], schemas.METRIC, folder, 4000)
+    put(spark, [metric((END - T0).total_seconds(), 0.0)], schemas.METRIC, folder, 5000)
+    opts = options(tmp_path, delay="2 minutes", end=str(END.replace(tzinfo=None)))
+    jobs.rollup_stream(jobs.read_files(spark, folder, schemas.METRIC, "parquet", 1), 60, opts).awaitTermination()
+    columns = ["name", "ts", "value", "dimensions", "stats", "storage_resolution"]
+    shown = lambda df: sorted((str(r) for r in df.select(*columns).collect()))
+    batch = stat_rollup(spark.createDataFrame([*first, *second, metric(400, 1.0)], schemas.METRIC), 60)
+    assert shown(spark.read.parquet(opts.output)) == shown(batch)
+    (late,) = spark.read.parquet(jobs.late_folder(opts)).collect()
+    assert (late.stats.sample_count, late.stats.sum, late.value) == (2, 62.0, 31.0)
+
+
+def test_three_exports_from_one_entry(spark, tmp_path):
+    import json
+
+    from fleetlens.functions.resource import meta_struct
+
+    files = {
+        "host_net": [{"host_id": "h", "ts": f"2024-01-01T00:00:{s:02d}Z", "interfaces": [{"name": "e", "bytes_sent": s}]} for s in (1, 2)]
+        + [{"host_id": "h", "ts": "2030-01-01T00:00:00Z", "interfaces": [{"name": "e", "bytes_sent": 9}]}],
+        "syslog": [{"host_id": "h", "value": f"Jan {d} 07:15:01 h sshd[1]: Failed password", "path": "p", "ref_ts": "2024-01-20T00:00:00Z"} for d in (1, 1, 9)],
+        "processes": [{"host_id": "h", "snapshot_ts": t, "pid": p, "cpu_percent": float(p)} for t in ("2024-01-01T00:00:00Z", "2030-01-01T00:00:00Z") for p in range(50)],
+    }
+    for name, rows in files.items():
+        (tmp_path / "in" / name).mkdir(parents=True)
+        (tmp_path / "in" / name / "1.json").write_text("\n".join(json.dumps(r) for r in rows))
+    record = meta_struct({"host_id": F.lit("h"), "hostname": F.lit("box"), "agent_id": F.lit("a1")})
+    meta = spark.range(1).select(record.alias("m")).select("m.*")
+    runs = jobs.start_exports(
+        spark, {"path": str(tmp_path / "in")}, meta, T0, str(tmp_path / "out"),
+        MetricOptions(sources=("net",)), LogOptions(sources=("security",), batch_size=1), ProcessOptions(top_n=2), once=True,
+    )
+    for run in runs.values():
+        run.awaitTermination()
+    read = lambda name: spark.read.parquet(str(tmp_path / "out" / name))
+    (points,) = read("metrics").collect()
+    assert len(points.resource_metrics[0].scope_metrics[0].metrics) == 2 and points.hostname == "box"
+    assert sorted(r["batch"] for r in read("logs").collect()) == [0, 1]
+    (top,) = read("processes").collect()
+    assert [p.pid for p in top.processes] == [49, 48, 1, 0] and (top.agent_id, top.hostname) == ("a1", "box")
+
+
 def test_late_and_repeated_samples_are_passed_on(spark, tmp_path):
     folder = str(tmp_path / "in")
     put(spark, [sample("a", 0, 10), sample("a", 10, 20), sample("a", 10, 20)], SAMPLE, folder, 1000)
