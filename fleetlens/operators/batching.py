@@ -27,6 +27,33 @@ def number_batches(
     )
 
 
+def admit(
+    logs: DataFrame,
+    keys: list[str],
+    order: list[str],
+    capacity: int,
+    slice_by: Column | None,
+) -> tuple[DataFrame, DataFrame]:
+    """Entries that a queue of ``capacity`` takes per key (host, source and tick), and what it sheds.
+
+    The described agent queues a source's lines between two ticks and drops the newest when
+    the queue is full. Our jobs wait instead; this is for comparing with it. The first
+    ``capacity`` entries of a key are kept as they are. The second table has a row for every
+    key: ``kept``, ``shed`` and the first entry's place in ``order`` that was shed, exactly.
+    """
+    if capacity < 0:
+        raise ValueError("capacity must not be negative")
+    placed = with_position(logs, keys, order, slice_by, "__position")
+    kept = placed.filter(F.col("__position") < capacity).drop("__position")
+    inside = F.col("__position") < capacity
+    counts = placed.groupBy(*keys).agg(
+        F.count_if(inside).alias("kept"),
+        F.count_if(~inside).alias("shed"),
+        F.min(F.when(~inside, F.struct(*order))).alias("first_shed"),
+    )
+    return kept, counts
+
+
 def collect_batches(numbered: DataFrame, keys: list[str], entry: Column, into: str = "logs") -> DataFrame:
     """One row per batch with its entries as an array; never longer than the batch size."""
     packed = numbered.groupBy(*keys, "batch").agg(

@@ -20,6 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame, host: str) -> DataFrame:
+    """Rows dealt to all cores by their host.
+
+    A fleet's captures lie in many files; a small given table is one file, and one task would
+    build and parse all that is made from it.
+    """
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, F.expr(host))
+
+
 def with_instant(df: DataFrame) -> DataFrame:
     """Zone-less ``ts`` of a table as ``us`` and as an instant."""
     return df.withColumn("us", wall_clock_us(F.col("ts"))).withColumn("ts", from_micros(F.col("us")))
@@ -271,7 +280,7 @@ def syslog_lines(ev: DataFrame) -> DataFrame:
 def journal_records(ev: DataFrame) -> DataFrame:
     text = lambda e, a: F.expr(e).cast("string").alias(a)
     none = F.lit(None).cast("string")
-    return ev.select(
+    return dealt(ev, "user_id").select(
         "event_id",
         F.expr("concat('host', user_id % 10)").alias("host_id"),
         F.col("us").alias("realtime_us"),
@@ -397,7 +406,7 @@ def event_xml(ev: DataFrame) -> DataFrame:
         "case when event_id % 97 = 0 then '' else '</Event>' end)"
     )
     return (
-        ev.withColumn("wall", wall)
+        dealt(ev, "user_id").withColumn("wall", wall)
         .withColumn("channel", F.expr(channel))
         .withColumn("provider", F.expr(provider))
         .select(
@@ -480,7 +489,7 @@ def host_cpu(part: DataFrame) -> DataFrame:
             "user system idle nice iowait irq softirq steal guest guest_nice".split()
         )
     )
-    return part.select(
+    return dealt(part, "p_partkey").select(
         F.col("p_brand").alias("host_id"),
         F.expr(f"timestamp_micros({EPOCH_US} + p_partkey * 1000000)").alias("ts"),
         F.expr("array(cast(p_size as double), p_retailprice / 100)").alias("percent_per_core"),
@@ -502,7 +511,7 @@ def host_cpu(part: DataFrame) -> DataFrame:
 def host_mem(orders: DataFrame) -> DataFrame:
     u = lambda e: f"cast({e} as decimal(20,0))"
     total, swap = "(o_orderkey * 1000 + 4096)", "(case when o_orderkey % 4 = 0 then 0 else o_orderkey * 10 + 100 end)"
-    return orders.select(
+    return dealt(orders, "o_custkey").select(
         F.expr("concat('h', o_custkey)").alias("host_id"),
         from_micros(wall_clock_us(F.col("o_orderdate"))).alias("ts"),
         F.expr(u(total)).alias("total"),
@@ -534,7 +543,7 @@ def host_disk(part: DataFrame) -> DataFrame:
     )
     none = "cast(null as struct<total: decimal(20,0), used: decimal(20,0), free: decimal(20,0), inodes_total: decimal(20,0), inodes_used: decimal(20,0), inodes_free: decimal(20,0), used_percent: double, inodes_used_percent: double>)"
     io = ", ".join(f"'{n}', {u(f'p_partkey * {i + 1}')}" for i, n in enumerate(DISK_IO))
-    return part.select(
+    return dealt(part, "p_partkey").select(
         F.col("p_brand").alias("host_id"),
         F.expr(f"timestamp_micros({EPOCH_US} + p_partkey * 1000000)").alias("ts"),
         F.expr("case when p_partkey % 5 = 0 then 'windows' else 'linux' end").alias("os"),
@@ -584,7 +593,7 @@ def host_net(orders: DataFrame) -> DataFrame:
     )
     eth = nic("'eth0'", 7)
     wan = nic("concat('wan', o_custkey % 3)", 13)
-    return orders.select(
+    return dealt(orders, "o_custkey").select(
         F.expr("concat('h', o_custkey)").alias("host_id"),
         from_micros(wall_clock_us(F.col("o_orderdate"))).alias("ts"),
         F.expr(f"array({eth}, {wan})").alias("interfaces"),

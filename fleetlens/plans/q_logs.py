@@ -18,7 +18,7 @@ from fleetlens.functions.timestamps import (
     wall_clock_us,
     within_lookback,
 )
-from fleetlens.operators.batching import number_batches
+from fleetlens.operators.batching import admit, number_batches
 from fleetlens.operators.channels import select_channels
 from fleetlens.operators.lookups import resolve_user
 from fleetlens.plans import adapters as A
@@ -427,6 +427,38 @@ def log_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select("conv_id", "turn", "host_id", "source", "batch", "seq")
 
 
+_SHED = f"""{S.CHAT},
+placed AS (
+  SELECT *, us // 3600000000 AS tick,
+    row_number() OVER (PARTITION BY host_id, source, us // 3600000000 ORDER BY conv_id, turn) AS place
+  FROM chat
+)"""
+
+
+@query(
+    "shed_logs",
+    f"""WITH {_SHED}
+SELECT host_id, source, tick, count(*) FILTER (WHERE place <= 20) AS kept, count(*) FILTER (WHERE place > 20) AS shed,
+  min(conv_id * 1000 + turn) FILTER (WHERE place > 20) AS first_shed, count(*) AS entries
+FROM placed GROUP BY host_id, source, tick""",
+)
+def shed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What queues of 20 entries per host, source and hour take and shed; both add up to the input."""
+    logs = A.conversation_logs(A.table(spark, sf_dir, "conversations")).withColumn(
+        "tick", F.expr("unix_micros(ts) div 3600000000")
+    )
+    keys = ["host_id", "source", "tick"]
+    kept, counts = admit(logs, keys, ["conv_id", "turn"], 20, F.expr("unix_seconds(ts) div 600"))
+    taken = kept.groupBy(*keys).agg(F.count("*").alias("taken"))
+    return counts.join(taken, keys, "left").select(
+        *keys,
+        "kept",
+        "shed",
+        (F.col("first_shed.conv_id") * 1000 + F.col("first_shed.turn")).alias("first_shed"),
+        (F.coalesce("taken", F.lit(0)) + F.col("shed")).alias("entries"),
+    )
+
+
 # --- text functions -----------------------------------------------------------
 
 

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from fleetlens.operators.batching import collect_batches, number_batches
+from fleetlens.operators.batching import admit, collect_batches, number_batches
 from fleetlens.operators.ordered import fit_slice_seconds, with_latest, with_position, with_previous
 
 RELAXED = settings(
@@ -88,6 +88,20 @@ def test_batches_cover_each_row_once(spark, n, size):
     assert all(s == size for s in sizes[:-1]) and 1 <= sizes[-1] <= size
 
 
+@RELAXED
+@given(data=rows, capacity=st.sampled_from([0, 1, 3, 100]))
+def test_kept_and_shed_add_up(spark, data, capacity):
+    df = spark.createDataFrame(data, "k string, at int")
+    kept, counts = admit(df, ["k"], ["at"], capacity, F.expr("at div 7"))
+    sides = {r.k: r for r in counts.collect()}
+    found = kept.collect()
+    for key in {k for k, _ in data}:
+        times = sorted(a for k, a in data if k == key)
+        assert sorted(r.at for r in found if r.k == key) == times[:capacity]
+        assert (sides[key].kept, sides[key].shed) == (len(times[:capacity]), len(times[capacity:]))
+        assert (sides[key].first_shed and sides[key].first_shed["at"]) == (times[capacity] if len(times) > capacity else None)
+
+
 def test_no_rows_no_batches(spark):
     empty = spark.range(0).select(F.lit("s").alias("source"), F.col("id").alias("at"))
     assert number_batches(empty, ["source"], ["at"], 5, F.lit(0)).count() == 0
