@@ -516,12 +516,10 @@ def podman_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def joined_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = A.table(spark, sf_dir, "customer")
-    return containers.join_captures(
-        A.docker_list(customer),
-        A.docker_stats(A.events(spark, sf_dir)),
-        A.docker_inspect(customer),
-        ["host_id", "id"],
-    )
+    # The series carries whole rows, so it is given the columns that are asked for.
+    stats = A.docker_stats(A.events(spark, sf_dir)).select("event_id", "host_id", "ts", "id")
+    listed = A.docker_list(customer).select("host_id", "id", "image", "state", "created")
+    return containers.join_captures(listed, stats, A.docker_inspect(customer))
 
 
 @query(
