@@ -13,8 +13,10 @@ a class are indexed. c is about an eighth to a quarter of the size of the set, t
 all sets of a band of sizes, which makes the combinations about as many as the tokens. All
 candidates that can link are among the sets that meet under one key.
 
-Candidates carry a sketch, the parities of 1,024 hash buckets of their tokens. Buckets that
-differ bound the tokens that differ from below, which rules out most candidates exactly.
+Candidates carry a sketch, the parities of hash buckets of their tokens: 1,024, or for larger
+sets as many as the next power of two of their size, about a fiftieth of the text. Buckets that
+differ bound the tokens that differ from below, which rules out most candidates exactly. Of two
+sketches the longer is folded to the length of the other.
 
 Dense groups are not expanded into pairs. Each set is first verified against two of its
 candidate partners, chosen by a hash that all members of a group agree on; the links make
@@ -119,11 +121,17 @@ def linked(a: np.ndarray, b: np.ndarray, settings: Settings) -> bool:
 
 
 def sketch_of(tokens: np.ndarray) -> np.ndarray:
-    """Parities of hash buckets, 64 in a number."""
-    odd = np.bincount((tokens % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    """Parities of hash buckets, 64 in a number; the buckets are a power of two, at least the tokens."""
+    bits = max(SKETCH_BITS, 1 << max(0, len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
+def narrow(sketch: np.ndarray) -> np.ndarray:
+    """The sketch of the same tokens with ``SKETCH_BITS`` buckets."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, SKETCH_BITS // 64), axis=0)
+
+
 def shingle_sets(docs: DataFrame, settings: Settings, text: str, key: str) -> DataFrame:
     """(key, row_hash, set_id, n, sketch) for each row, written; set_id is null for the empty set."""
 
@@ -387,8 +395,19 @@ def plausible(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFram
     """The pairs (a, b) that their sizes and sketches do not rule out; ``differ``: buckets that differ."""
     one = sets.select(F.col("set").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     two = sets.select(F.col("set").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    # Sizes that allow a link give sketches of the same or of twice the length.
+    words = F.least(F.size("sa"), F.size("sb"))
+
+    def folded(sketch: str) -> Column:
+        halves = F.zip_with(
+            F.slice(sketch, F.lit(1), words), F.slice(sketch, words + 1, words), lambda x, y: x.bitwiseXOR(y)
+        )
+        return F.when(F.size(sketch) > words, halves).otherwise(F.col(sketch))
+
     differ = F.aggregate(
-        F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
+        F.zip_with(folded("sa"), folded("sb"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda total, n: total + n,
     )
     can = (100 + settings.percent) * F.col("differ") <= (100 - settings.percent) * (F.col("na") + F.col("nb"))
     fits = 100 * F.least("na", "nb") >= settings.percent * F.greatest("na", "nb")
@@ -495,7 +514,7 @@ def met_by_combinations(
 ) -> DataFrame:
     """Distinct pairs of sets of different components that share a combination of frequent tokens.
 
-    Pairs are ruled out by their sketches where they meet, before they become rows. With
+    Pairs are ruled out by their sketches of 1,024 buckets where they meet, before they become rows. With
     ``nearest`` a task gives of any two components only the pair that differs least.
     """
     placed = with_component(common, labels, "set", "component")
@@ -512,7 +531,7 @@ def met_by_combinations(
         for batch in batches:
             for name, n, component, tokens, sketch in zip(*(batch.column(i) for i in range(5))):
                 own = combinations(tokens.values.to_numpy().view(np.uint64), n.as_py(), settings)
-                held.append((own, name.as_py(), n.as_py(), component.as_py(), sketch.values.to_numpy()))
+                held.append((own, name.as_py(), n.as_py(), component.as_py(), narrow(sketch.values.to_numpy())))
                 size += len(own)
                 if size > settings.flush_tokens:
                     yield parts(held)
@@ -616,11 +635,12 @@ def all_links(pairs: DataFrame, common: DataFrame, sets: DataFrame, texts: DataF
             break
         labels = merged(labels, verified(near, texts, settings))
     near = met_by_combinations(common, sets, labels, settings, nearest=True)
+    near = plausible(near, sets, settings)
     near = written(near.select(F.col("a").alias("center"), F.col("b").alias("member")), "chosen")
     if near.limit(1).count():
         labels = merged(labels, verified(near, texts, settings))
-    rest = apart_pairs(pairs, labels).unionByName(met_by_combinations(common, sets, labels, settings))
-    rest = written(rest.distinct(), "rest")
+    met = plausible(met_by_combinations(common, sets, labels, settings), sets, settings).select("a", "b")
+    rest = written(apart_pairs(pairs, labels).unionByName(met).distinct(), "rest")
     for turn in range(1, settings.rounds + 1):
         if not rest.limit(1).count():
             break
