@@ -24,8 +24,10 @@ components. After that only candidates from different components are left to ver
 by partners first, and frequent tokens whose sets are all in one component need no
 combinations.
 
-Sets are compared by their whole texts, gathered by pair. Equal sets are one set from the
-start. Token and set hashes have 64 bits, a set is named by its hash and size.
+Sets are compared by their whole texts, gathered by pair. Only sets that have a candidate need
+their text and sketch; a bit map of their rows keeps most other texts from being shuffled, and
+the join by hash decides. Equal sets are one set from the start. Token and set hashes have 64
+bits, a set is named by its hash and size.
 
 A text without words (null, empty, blank) has the empty set and links with nothing; one
 with fewer than five words is a single token. Repeated rows are rows of their own. Columns
@@ -49,6 +51,10 @@ from fleetlens.llm.common import written
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 SKETCH_BITS = 1024
+# Bits of the map of rows whose texts are compared: at most 8 MB, whatever the corpus.
+MAP_BITS = 1 << 26
+# Bits of one row of Spark's bitmap aggregate.
+BUCKET_BITS = 8 * 4096
 
 
 @dataclass(frozen=True)
@@ -654,6 +660,37 @@ def all_links(pairs: DataFrame, common: DataFrame, sets: DataFrame, texts: DataF
     return labels
 
 
+def slot_of(hashed: str) -> Column:
+    return F.pmod(hashed, F.lit(MAP_BITS))
+
+
+def bit_map(rows: DataFrame) -> np.ndarray:
+    """A map of ``MAP_BITS`` bits with one for each row_hash, by buckets that Spark fills."""
+    slot = slot_of("row_hash") + 1  # the buckets of Spark's bitmaps begin at 1
+    found = (
+        rows.groupBy(F.bitmap_bucket_number(slot).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+        .toPandas()
+    )
+    bits = np.zeros((MAP_BITS // BUCKET_BITS, BUCKET_BITS // 8), dtype=np.uint8)
+    for bucket, own in zip(found["bucket"], found["bits"]):
+        bits[bucket - 1] = np.frombuffer(own, dtype=np.uint8)
+    return bits.reshape(-1)
+
+
+def candidate_texts(docs: DataFrame, needed: DataFrame, text: str, key: str) -> DataFrame:
+    """(set, text) of the needed rows. What the bit map lets through beside them the join leaves out."""
+    bits = docs.sparkSession.sparkContext.broadcast(bit_map(needed))
+
+    @F.pandas_udf("boolean")
+    def marked(slots: pd.Series) -> pd.Series:
+        at = slots.to_numpy()
+        return pd.Series((bits.value[at >> 3] >> (at & 7)) & 1 == 1)
+
+    own = docs.select(row_hash(key, text), F.col(text).alias("text")).where(marked(slot_of("row_hash")))
+    return needed.select("set", "row_hash").join(own, "row_hash").select("set", "text")
+
+
 def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_shingles, component_id, row_hash, component): the component's least key for each row.
 
@@ -674,11 +711,10 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
         met.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("set"), "n").distinct(), "common"
     )
     met_sets = pairs.select(F.explode(F.array("a", "b")).alias("set")).unionByName(common.select("set")).distinct()
-    needed = written(met_sets.join(reps, "set").select("set", "row_hash"), "needed")
-    own = docs.select(row_hash(key, text), F.col(text).alias("text"))
-    texts = written(needed.join(own, "row_hash").select("set", "text"), "texts")
+    needed = written(met_sets.join(reps, "set").select("set", "n", "row_hash", "sketch"), "needed")
+    texts = written(candidate_texts(docs, needed, text, key), "texts")
 
-    labels = all_links(pairs, common, reps, texts, settings)
+    labels = all_links(pairs, common, needed, texts, settings)
     smallest = (
         with_component(reps.select("set", "least"), labels, "set", "component")
         .groupBy("component")

@@ -495,6 +495,65 @@ def test_one_row_of_each_component(spark):
     assert Counter(r.doc_id for r in kept if not (r.text and r.text.strip())) == {7: 2, None: 1, 8: 1}
 
 
+def shuffled_rows(spark, df):
+    """The rows that the plan of ``df`` sends through its exchanges."""
+    df.collect()
+    todo, found = [df._jdf.queryExecution().executedPlan().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "ShuffleExchangeExec":
+            found += node.metrics().apply("shuffleRecordsWritten").value()
+        below = node.children()
+        todo += [node.plan()] if kind.endswith("QueryStageExec") else [below.apply(i) for i in range(below.size())]
+    return found
+
+
+def test_ngram_join_moves_only_texts_of_candidates(spark, monkeypatch):
+    texts = {i: " ".join(f"{i}w{j}" for j in range(30)) for i in range(400)}
+    texts |= {1000 + i: texts[i] + " more" for i in range(3)}
+    texts |= {2000: None, 2001: ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    seen, written, all_links = {}, ngram_join.written, ngram_join.all_links
+
+    def watched(df, label):
+        seen.setdefault(label, df)
+        return written(df, label)
+
+    def links(pairs, common, sets, *rest):
+        seen["sets"] = sets.count()
+        return all_links(pairs, common, sets, *rest)
+
+    monkeypatch.setattr(ngram_join, "written", watched)
+    monkeypatch.setattr(ngram_join, "all_links", links)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = ngram_join.join(docs).collect()
+        moved = shuffled_rows(spark, seen["texts"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    expected = brute_components(texts)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == sorted((i, *v) for i, v in expected.items())
+    # three pairs, from both sides of the join; a bit of another row may stand for one of them
+    assert seen["sets"] == 6 and 12 <= moved <= 20
+
+
+def test_bit_map_passes_every_needed_row(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "MAP_BITS", 2 * ngram_join.BUCKET_BITS)
+    edges = [0, 1, -1, 7, 8, 32767, 32768, 65535, 65536, -65536, 2**63 - 1, -(2**63)]
+    rows = spark.createDataFrame([(x,) for x in edges], "row_hash long")
+    assert ngram_join.bit_map(rows.limit(0)).sum() == 0
+    bits = np.unpackbits(ngram_join.bit_map(rows), bitorder="little")
+    assert set(np.flatnonzero(bits)) == {x % 65536 for x in edges}
+    # a crowded map lets others through, which the join leaves out
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(5000)], "doc_id long, text string")
+    hashed = docs.select("doc_id", ngram_join.row_hash("doc_id", "text"))
+    needed = hashed.where("doc_id % 3 = 0").withColumnRenamed("doc_id", "set")
+    got = ngram_join.candidate_texts(docs, needed, "text", "doc_id").collect()
+    assert sorted((r.set, r.text) for r in got) == [(i, f"text {i}") for i in range(0, 5000, 3)]
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.join(docs_of(spark, ["a"]).limit(0)).count() == 0
 
