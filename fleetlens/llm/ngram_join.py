@@ -53,13 +53,18 @@ STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 SKETCH_BITS = 1024
 # Bits of the map of rows whose texts are compared: at most 8 MB, whatever the corpus.
 MAP_BITS = 1 << 26
+# Pairs whose sketches are compared at a time.
+SKETCH_PAIRS = 1 << 15
 # Bits of one row of Spark's bitmap aggregate.
 BUCKET_BITS = 8 * 4096
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``group_tokens``: about how many tokens are counted or indexed by one task."""
+    """``group_tokens``: about how many tokens are counted or indexed by one task.
+
+    ``flush_tokens`` and ``flush_pairs``: about how many tokens and pairs a Python worker makes at a time.
+    """
 
     words: int = 5
     percent: int = 75
@@ -67,6 +72,7 @@ class Settings:
     frequent_tokens: int = 250_000
     group_tokens: int = 1_000_000
     flush_tokens: int = 1_000_000
+    flush_pairs: int = 250_000
     members: int = 256
     named_rounds: int = 2
     rounds: int = 4
@@ -318,9 +324,10 @@ def pairs_within(
 ) -> np.ndarray:
     """Distinct pairs (a < b) of sets that share a value, of sizes that allow a link and different groups.
 
-    About ``flush_tokens`` pairs are taken at a time, set by set, and made distinct. With ``known`` (ascending names) and their ``sketches``,
+    About ``flush_pairs`` pairs are taken at a time, set by set, and made distinct. With ``known`` (ascending names) and their ``sketches``,
     pairs that these rule out are left out. With ``nearest`` one set stands for each group at
-    a value, by a hash of both, and of any two groups the pair that differs least is given.
+    a value, by a hash of both, and of any two groups the pair that differs least is given;
+    of the pairs found so far only these are held.
     """
     order = np.lexsort(((names.view(np.uint64) ^ values) * FACTOR, groups, values))
     values, names, groups = values[order], names[order], groups[order]
@@ -348,10 +355,22 @@ def pairs_within(
         bound = (100 - settings.percent) * (sizes[a] + sizes[b])
         return pairs[(100 + settings.percent) * differing(sketches, a, b) <= bound]
 
+    def needed(found: list[np.ndarray]) -> np.ndarray:
+        pairs = distinct(np.concatenate(found))
+        if not nearest or not len(pairs):
+            return pairs
+        a, b = np.divmod(pairs, whole)
+        low, high = np.minimum(group_of[a], group_of[b]), np.maximum(group_of[a], group_of[b])
+        order = np.lexsort((pairs, differing(sketches, a, b), high, low))
+        low, high = low[order], high[order]
+        least = np.ones(len(order), dtype=bool)
+        least[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        return pairs[order[least]]
+
     many = last - after
     at = np.flatnonzero(many)
     at = at[np.argsort(own[at], kind="stable")]
-    taken = np.cumsum(many[at]) // settings.flush_tokens
+    taken = np.cumsum(many[at]) // settings.flush_pairs
     found, held = [np.zeros(0, dtype=np.int64)], 0
     for first, end in zip(*runs(np.diff(taken, prepend=-1) > 0)):
         times = many[at[first:end]]
@@ -359,16 +378,9 @@ def pairs_within(
         two = after[one] + np.arange(len(one)) - np.repeat(np.cumsum(times) - times, times)
         found.append(fitting(own[one], own[two]))
         held += len(found[-1])
-        if held > settings.flush_tokens:
-            found, held = [distinct(np.concatenate(found))], 0
-    a, b = np.divmod(distinct(np.concatenate(found)), whole)
-    if nearest:
-        low, high = np.minimum(group_of[a], group_of[b]), np.maximum(group_of[a], group_of[b])
-        order = np.lexsort((b, a, differing(sketches, a, b), high, low))
-        low, high = low[order], high[order]
-        least = np.ones(len(order), dtype=bool)
-        least[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-        a, b = a[order[least]], b[order[least]]
+        if held > max(settings.flush_pairs, len(found[0])):
+            found, held = [needed(found)], 0
+    a, b = np.divmod(needed(found), whole)
     return np.stack([every[a], every[b]])
 
 
@@ -394,7 +406,11 @@ def run_ends(first: np.ndarray) -> np.ndarray:
 
 def differing(sketches: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The buckets in which the sketches at ``a`` and ``b`` differ."""
-    return np.bitwise_count(sketches[a] ^ sketches[b]).sum(1, dtype=np.int64)
+    out = np.empty(len(a), dtype=np.int64)
+    for first in range(0, len(a), SKETCH_PAIRS):
+        some = slice(first, first + SKETCH_PAIRS)
+        out[some] = np.bitwise_count(sketches[a[some]] ^ sketches[b[some]]).sum(1, dtype=np.int64)
+    return out
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:

@@ -8,6 +8,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -666,3 +667,38 @@ def test_lattice_lm(spark, vocab):
     empty = lattice_lm.fit(training.limit(0), PIECES, settings)
     assert all(r.train_tokens == 0 and r.base_score == 0 for r in lattice_lm.score(docs, empty).collect())
     assert zlib.crc32(b"1") == spark.range(1).select(F.crc32(F.lit("1").cast("binary"))).first()[0]
+
+
+def _close_sets(sets: int) -> tuple[np.ndarray, ...]:
+    """Values, names, sizes by row, and names and sketches by set: all sets share two of three values and may link."""
+    rng = np.random.default_rng(3)
+    names = np.sort(rng.choice(1 << 40, sets, replace=False)).astype(np.int64)
+    values = np.concatenate([rng.choice(3, 2, replace=False) for _ in range(sets)]).astype(np.uint64)
+    sketches = np.zeros((sets, ngram_join.SKETCH_BITS // 64), dtype=np.uint64)
+    sketches[:, 0] = rng.integers(0, 16, sets)
+    return values, np.repeat(names, 2), np.full(2 * sets, 100), names, sketches
+
+
+@pytest.mark.parametrize("groups", [1200, 20])
+def test_close_sets_are_paired_in_bounded_memory(groups):
+    values, names, sizes, known, sketches = _close_sets(1200)
+    of = np.searchsorted(known, names) % groups
+    tracemalloc.start()
+    a, b = ngram_join.pairs_within(values, names, sizes, of, ngram_join.Settings(), known, sketches, nearest=True)
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert peak < 100  # three numbers of 128 bytes for each of 720,000 pairs would be 276 MB
+    a, b = np.searchsorted(known, a), np.searchsorted(known, b)
+    low, high = np.minimum(a % groups, b % groups), np.maximum(a % groups, b % groups)
+    assert len(a) == len(set(zip(low, high))) == groups * (groups - 1) // 2
+
+
+def test_nearest_pairs_do_not_depend_on_the_flush():
+    values, names, sizes, known, sketches = _close_sets(60)
+    groups = np.searchsorted(known, names) % 7
+
+    def found(pairs: int) -> set[tuple[int, int]]:
+        settings = ngram_join.Settings(flush_pairs=pairs)
+        return set(zip(*ngram_join.pairs_within(values, names, sizes, groups, settings, known, sketches, nearest=True).tolist()))
+
+    assert found(5) == found(100_000)
