@@ -177,7 +177,8 @@ def taken_blocks(rows: DataFrame, sources: DataFrame, plan: Plan) -> DataFrame:
     """One row for each packed piece and slot of the mix that takes it, with ``turn``, ``shard`` and ``place``."""
     slots = draw(sources, plan).withColumnsRenamed({"mix_source": "drawn_source", "block": "drawn_block"})
     same = F.col("mix_source").eqNullSafe(F.col("drawn_source")) & (F.col("block") == F.col("drawn_block"))
-    return packed(rows, plan).join(slots, same).drop("drawn_source", "drawn_block")
+    # A slot counts as no larger than the chunk that it comes from, so without the hint all slots would be broadcast.
+    return packed(rows, plan).join(slots.hint("merge"), same).drop("drawn_source", "drawn_block")
 
 
 def report(docs: DataFrame, plan: Plan = Plan(), text: str = "text", source: str = "source") -> DataFrame:

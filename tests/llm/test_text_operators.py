@@ -295,6 +295,18 @@ def test_shards_are_in_the_plan(spark, sf_dir):
     assert "first_shard" in plan and "deck" not in plan and plan.count("coin") >= 2
 
 
+def slot_joins(df):
+    """The joins with the drawn slots in the plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return {m.group(1) for m in re.finditer(r"(\w+Join)\b[^\n]*drawn_block", plan)}
+
+
+def test_drawn_slots_are_not_broadcast(spark):
+    """They come from a handful of chunk rows, by whose size Spark takes them for tiny."""
+    docs = spark.createDataFrame([(i, "some words " * 50, "ab"[i % 2]) for i in range(40)], "doc_id long, text string, source string")
+    assert slot_joins(mixing.report(docs)) == {"SortMergeJoin"}
+
+
 def test_mix_of_files_with_clashing_columns(spark, tmp_path):
     rows = [(i, f"some words of {i} " * 40, "a", "keep") for i in range(30)] + [(3, "x " * 50_000, None, "keep")] * 2
     names = ["pieces", "whole", "row_id", "copy", "first", "doc", "__words", "turn", "shard"]
