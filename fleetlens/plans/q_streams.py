@@ -39,24 +39,31 @@ def new_options(spark: SparkSession, label: str, **more) -> StreamOptions:
     return StreamOptions(output=f"{folder}/out", checkpoint=f"{folder}/checkpoint", **more)
 
 
-# Files that a table is cut into, and a row that comes after all others.
+# Pieces that a table is cut into, rows that a file of a piece has at least where there are several,
+# and a row that comes after all others.
 FILES = 5
+FILE_ROWS = 25_000
 END = "2030-01-01 00:00:00"
 
 
 def cut_stream(rows: DataFrame, piece: Column, ts: str) -> DataFrame:
-    """A table as a stream of files that arrive one after the other, one for each trigger.
+    """A table as a stream of pieces that arrive one after the other, one for each trigger.
 
-    ``piece`` tells the file of a row; groups are cut wherever it changes. The last file has
-    one row, of nulls but for its time, that closes what is open.
+    ``piece`` tells the piece of a row; groups are cut wherever it changes. All pieces with rows
+    have the same number of files, one unless the least of them is large: a trigger takes so many.
+    The last file has one row, of nulls but for its time, that closes what is open.
     """
     spark = rows.sparkSession
     folder = f"{work_folder(spark, 'cut')}/in"
-    for k in range(FILES):
-        rows.filter(piece == k).write.mode("append").parquet(folder)
+    sizes = {r[0]: r[1] for r in rows.groupBy(piece.alias("piece")).count().collect()}
+    sizes = {k: sizes[k] for k in range(FILES) if sizes.get(k)}
+    files = max(1, min(sizes.values(), default=0) // FILE_ROWS)
+    for k in sizes:
+        # Dealt in turn, no file stays empty: each has rows of any input partition that has so many.
+        rows.filter(piece == k).repartition(files).write.mode("append").parquet(folder)
     last = [F.lit(END if c == ts else None).cast(kind).alias(c) for c, kind in rows.dtypes]
     spark.range(1).select(*last).write.mode("append").parquet(folder)
-    return jobs.read_files(spark, folder, rows.schema, "parquet", 1)
+    return jobs.read_files(spark, folder, rows.schema, "parquet", files)
 
 
 @query(
@@ -153,7 +160,7 @@ SELECT host_id, kind, endpoint_id, day_us AS tick_us, rn // 100 AS part, (max(si
 FROM placed GROUP BY host_id, kind, endpoint_id, day_us, rn // 100""",
 )
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payloads per endpoint and day from files that cut the days, one file for each micro-batch."""
+    """Payloads per endpoint and day from pieces that cut the days, one for each micro-batch."""
     options = new_options(spark, "metrics", delay="7 days", end=END)
     rows = A.app_metrics(A.events(spark, sf_dir))
     # Six days and a bit: the borders fall within days.
@@ -190,7 +197,7 @@ def otlp_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_rollup", q_metrics.ROLLUP_SQL)
 def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily statistic sets from files that cut the days."""
+    """Daily statistic sets from pieces that cut the days."""
     options = new_options(spark, "rollup", delay="7 days", end=END)
     rows = A.app_metrics(A.events(spark, sf_dir))
     piece = F.least(F.floor((F.unix_micros("ts") - S.EPOCH_US) / (6.1 * 86_400_000_000)), F.lit(FILES - 1))

@@ -1,9 +1,12 @@
 """Statistic sets of a stream: the rollup of batch, interval by interval.
 
-Rows are reduced twice. Within a task, each Arrow batch becomes one partial set per series
+Rows are reduced twice. Within a task, Arrow batches become one partial set per series
 and interval, so a series with a third of all samples sends a few rows, not all of them. The
-state keeps one set per series and interval, which an event-time timer closes. Partial
-sets that come after that are passed on as sets of their own, flagged ``late``.
+sets travel and are kept as Arrow tables, one for each bucket of series and interval, so that
+Python is called for a bucket and not for every series; tables of the state are merged once
+they have doubled. An event-time timer closes the buckets of an interval. Partial sets that
+come after that are passed on as sets of their own, flagged ``late``. The buckets are part of
+the state: their number stays as it is for a checkpoint's life.
 """
 
 from __future__ import annotations
@@ -11,8 +14,10 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,72 +31,115 @@ from fleetlens.operators.rollup import SERIES
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _SET = "n long, total double, least double, most double, resolution long"
-_PARTIAL = f"series string, start long, {_SET}"
 _OUT = f"series string, start long, late boolean, {_SET}"
 _FIELDS = ["n", "total", "least", "most", "resolution"]
+# Buckets of an interval.
+BUCKETS = 32
+# Rows that a task reduces at once, and sets that a table or an output frame has at most.
+_ROWS = 131_072
+_CHUNK = 16_384
 
 
 def partial_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One set for each series and interval of a batch."""
+    """One set for each series and interval of some batches, as a table for each bucket and interval."""
+    keys = ["bucket", "start", "series"]
+    how = [("value", "count"), ("value", "sum"), ("value", "min"), ("value", "max"), ("resolution", "max")]
+
+    def reduced(taken: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sets = pa.Table.from_batches(taken).group_by(keys, use_threads=False).aggregate(how)
+        sets = sets.select([*keys, *[f"{c}_{h}" for c, h in how]]).rename_columns([*keys, *_FIELDS])
+        sets = sets.sort_by([("bucket", "ascending"), ("start", "ascending")]).combine_chunks()
+        bucket, start = (sets[c].to_numpy() for c in keys[:2])
+        # Where a table begins: grouping again would not keep the order.
+        first = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (start[1:] != start[:-1])])
+        ends = [*first[1:].tolist(), sets.num_rows]
+        narrow = sets.select(["series", *_FIELDS])
+        tables = pa.array([sent(narrow.slice(i, end - i)) for i, end in zip(first.tolist(), ends)], pa.binary())
+        columns = [sets[c].take(pa.array(first)).combine_chunks() for c in keys[:2]]
+        return pa.RecordBatch.from_arrays([*columns, tables], names=["bucket", "start", "sets"])
+
+    taken, n = [], 0
     for batch in batches:
-        sets = pa.Table.from_batches([batch]).group_by(["series", "start"]).aggregate(
-            [("value", "count"), ("value", "sum"), ("value", "min"), ("value", "max"), ("resolution", "max")]
-        )
-        names = ["series", "start", "value_count", "value_sum", "value_min", "value_max", "resolution_max"]
-        yield from sets.select(names).rename_columns(["series", "start", *_FIELDS]).to_batches()
+        taken.append(batch)
+        n += batch.num_rows
+        if n >= _ROWS:
+            yield reduced(taken)
+            taken, n = [], 0
+    if n:
+        yield reduced(taken)
 
 
-def merged(a: tuple | None, b: tuple) -> tuple:
-    """Two sets as one; a part that is null counts as absent."""
-    if a is None:
-        return b
+def sent(sets: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, sets.schema) as writer:
+        writer.write_table(sets)
+    return sink.getvalue().to_pybytes()
 
-    def both(how, x, y):
-        return y if x is None else x if y is None else how(x, y)
 
-    return (
-        a[0] + b[0],
-        both(lambda x, y: x + y, a[1], b[1]),
-        both(min, a[2], b[2]),
-        both(max, a[3], b[3]),
-        both(max, a[4], b[4]),
-    )
+def received(sets: bytes) -> pa.Table:
+    return pa.ipc.open_stream(bytes(sets)).read_all()
+
+
+def merged(sets: list[pa.Table]) -> pa.Table:
+    """One set for each series; a part that is null or NaN counts as absent."""
+    how = list(zip(_FIELDS, ["sum", "sum", "min", "max", "max"]))
+    all_sets = pa.concat_tables(sets)
+    for i, (name, kind) in enumerate(zip(all_sets.column_names, all_sets.schema.types)):
+        if pa.types.is_floating(kind):
+            values = all_sets[name]
+            all_sets = all_sets.set_column(i, name, pc.if_else(pc.is_nan(values), pa.scalar(None, kind), values))
+    out = all_sets.group_by("series", use_threads=False).aggregate(how)
+    return out.select(["series", *[f"{c}_{h}" for c, h in how]]).rename_columns(["series", *_FIELDS])
 
 
-class OpenSet(StatefulProcessor):
-    """The set of one series and interval until the watermark has passed the interval."""
+def packed(sets: pa.Table) -> list[tuple[bytes]]:
+    """Sets as entries of the state."""
+    return [(sent(sets.slice(start, _CHUNK)),) for start in range(0, sets.num_rows, _CHUNK)]
+
+
+class OpenSets(StatefulProcessor):
+    """The sets of a bucket of series and an interval until the watermark has passed the interval."""
 
     def __init__(self, interval_us: int) -> None:
         self.interval_us = interval_us
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", _SET)
+        self.sets = handle.getListState("sets", "sets binary")
+        # Sets that are merged, and those that came since.
+        self.held = handle.getValueState("held", "merged long, added long")
+
+    def _known(self) -> list[pa.Table]:
+        return [received(entry[0]) for entry in self.sets.get()]
 
-    def _rows(self, key, late: bool, sets: list[tuple]) -> pd.DataFrame:
-        table = pd.DataFrame(sets, columns=_FIELDS).astype({"n": "int64", "resolution": "Int64"})
-        return table.assign(series=key[0], start=int(key[1]), late=late)[["series", "start", "late", *_FIELDS]]
+    def _frames(self, key, late: bool, sets: pa.Table) -> Iterator[pd.DataFrame]:
+        for start in range(0, sets.num_rows, _CHUNK):
+            frame = sets.slice(start, _CHUNK).to_pandas().astype({"n": "int64", "resolution": "Int64"})
+            yield frame.assign(start=int(key[1]), late=late)[["series", "start", "late", *_FIELDS]]
 
     def handleInputRows(self, key, rows, timerValues):
         closes = (int(key[1]) + self.interval_us) // 1000 - 1
-        new = None
-        for frame in rows:
-            for row in frame[_FIELDS].astype(object).itertuples(index=False):
-                values = [None if pd.isna(x) else x for x in row]
-                ints = [None if values[i] is None else int(values[i]) for i in (0, 4)]
-                new = merged(new, (ints[0], *values[1:4], ints[1]))
+        new = merged([received(sets) for frame in rows for sets in frame["sets"]])
         if timerValues.getCurrentWatermarkInMs() > closes:
-            yield self._rows(key, True, [new])
+            yield from self._frames(key, True, new)
+            return
+        held = self.held.get()
+        if held is None:
+            self.handle.registerTimer(closes)
+        known, added = held or (0, 0)
+        added += new.num_rows
+        if added < known:
+            self.sets.appendList(packed(new))
         else:
-            if self.open.exists():
-                new = merged(tuple(self.open.get()), new)
-            else:
-                self.handle.registerTimer(closes)
-            self.open.update(new)
+            new = merged([*self._known(), new]) if known else new
+            self.sets.put(packed(new))
+            known, added = new.num_rows, 0
+        self.held.update((known, added))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield self._rows(key, False, [tuple(self.open.get())])
-        self.open.clear()
+        yield from self._frames(key, False, merged(self._known()))
+        self.sets.clear()
+        self.held.clear()
 
     def close(self) -> None:
         pass
@@ -110,10 +158,11 @@ def rolled(metrics: DataFrame, interval_seconds: int, delay: str, end: str | Non
         F.col("storage_resolution").cast("long").alias("resolution"),
     )
     sets = (
-        narrow.mapInArrow(partial_sets, _PARTIAL)
-        .groupBy("series", "start")
+        narrow.withColumn("bucket", F.pmod(F.xxhash64("series"), F.lit(BUCKETS)).cast("int"))
+        .mapInArrow(partial_sets, "bucket int, start long, sets binary")
+        .groupBy("bucket", "start")
         .transformWithStateInPandas(
-            statefulProcessor=OpenSet(interval_seconds * 1_000_000),
+            statefulProcessor=OpenSets(interval_seconds * 1_000_000),
             outputStructType=_OUT,
             outputMode="Append",
             timeMode="EventTime",

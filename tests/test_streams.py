@@ -93,6 +93,25 @@ def test_rollup_of_files_that_cut_intervals(spark, tmp_path):
     assert (late.stats.sample_count, late.stats.sum, late.value) == (2, 62.0, 31.0)
 
 
+def state_rows(query):
+    query.awaitTermination()
+    return max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def test_rollup_of_many_series_keeps_few_state_rows(spark, tmp_path):
+    folder = str(tmp_path / "m")
+    pieces = [[metric(s, float(i % 7) if i % 11 else None, f"m{i}") for i in range(1500) for s in at] for at in ((0, 5, 70), (6, 75, 130), (7,))]
+    for k, piece in enumerate(pieces):
+        put(spark, piece, schemas.METRIC, folder, 1000 + k)
+    put(spark, [metric((END - T0).total_seconds(), 0.0)], schemas.METRIC, folder, 5000)
+    opts = options(tmp_path, delay="5 minutes", end=str(END.replace(tzinfo=None)))
+    assert state_rows(jobs.rollup_stream(jobs.read_files(spark, folder, schemas.METRIC, "parquet", 1), 60, opts)) < 1500
+    columns = ["name", "ts", "value", "dimensions", "stats", "storage_resolution"]
+    shown = lambda df: sorted((str(r) for r in df.select(*columns).collect()))
+    batch = stat_rollup(spark.createDataFrame([r for piece in pieces for r in piece], schemas.METRIC), 60)
+    assert shown(spark.read.parquet(opts.output)) == shown(batch)
+
+
 def test_three_exports_from_one_entry(spark, tmp_path):
     import json
 
