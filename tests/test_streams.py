@@ -112,6 +112,20 @@ def test_rollup_of_many_series_keeps_few_state_rows(spark, tmp_path):
     assert shown(spark.read.parquet(opts.output)) == shown(batch)
 
 
+def test_ticks_of_many_endpoints_keep_few_state_rows(spark, tmp_path):
+    folder = str(tmp_path / "m")
+    put(spark, [metric(s, float(i), "a\n\\n\"b", f"h{i}") for i in range(1200) for s in (0, 70)], schemas.METRIC, folder, 1000)
+    put(spark, [metric(9, float(i), "c", f"h{i}") for i in range(1200)], schemas.METRIC, folder, 2000)
+    put(spark, [metric((END - T0).total_seconds(), 0.0)], schemas.METRIC, folder, 3000)
+    opts = options(tmp_path, delay="5 minutes", end=str(END.replace(tzinfo=None)))
+    stream = jobs.read_files(spark, folder, schemas.METRIC, "parquet", 1)
+    assert state_rows(jobs.metric_stream(stream, 60, opts, MetricOptions(max_points=10))) < 1200
+    got = sorted((r.host_id, int(r.tick.timestamp() - T0.timestamp()), [(m.name, m.value) for m in r.metrics]) for r in spark.read.parquet(opts.output).collect())
+    name = "a\n\\n\"b"
+    whole = lambda i: [(f"h{i}", 0, [(name, float(i)), ("c", float(i))]), (f"h{i}", 60, [(name, float(i))])]
+    assert got == sorted(x for i in range(1200) for x in whole(i))
+
+
 def test_three_exports_from_one_entry(spark, tmp_path):
     import json
 
