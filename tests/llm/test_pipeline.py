@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -53,6 +54,12 @@ def test_stages(spark, docs, tmp_path):
     assert Counter(r.decoded_sha256 for r in out["tokens"]) == Counter(hashlib.sha256(r.text.encode()).hexdigest() for r in out["mix"])
 
 
+def test_mix_joins_slots_by_merge(spark, docs):
+    """The drawn slots of all sources would not fit the driver as a broadcast."""
+    plan = corpus_pipeline.mix(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"(\w+Join)\b[^\n]*drawn_block", plan)) == {"SortMergeJoin"}
+
+
 def test_empty_table(spark, docs):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
